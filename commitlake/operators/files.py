@@ -2,10 +2,12 @@
 
 O2 file_extensions, O8 latest_files, O9 file_history / file_commits.
 
-Each operator first narrows the ``files`` array to the fields it needs
-(``transform`` or ``files.<field>``) before exploding it, so a Parquet scan
-reads only those nested fields and large ones such as ``patch`` never enter
-a shuffle unless asked for.
+Each operator narrows the ``files`` array to the fields it needs in a
+projection below the ``explode``: the array is rebuilt with ``arrays_zip``
+from ``files.<field>`` extractions, which nested schema pruning can see
+(a ``transform`` lambda hides them, and nested fields selected next to a
+generator are read whole). So a Parquet scan reads only those nested fields
+and large ones such as ``patch`` never enter a shuffle unless asked for.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ _TIE_FIELDS = ("sha", "status", "additions")
 
 def _files_with(fields: Sequence[str]):
     """``files`` narrowed to ``fields`` (in that order)."""
-    return F.transform("files", lambda f: F.struct(*[f[name].alias(name) for name in fields]))
+    return F.arrays_zip(*[F.col(f"files.{name}").alias(name) for name in fields])
 
 
 def file_extensions(df: DataFrame) -> DataFrame:
@@ -67,11 +69,17 @@ def latest_files(
     if unknown:
         raise ValueError(f"unknown file fields {unknown}")
     carried = list(dict.fromkeys([*fields, "filename", *_TIE_FIELDS]))
-    files = df.select(
-        repo_name(URL, default=NO_REPO).alias("repo"),
+    narrowed = df.select(
+        F.col(URL).alias("_url"),
         F.col(COMMITTED).alias("_date"),
         F.col(SHA).alias("_commit_sha"),
-        F.explode(_files_with(carried)).alias("_f"),
+        _files_with(carried).alias("_files"),
+    )
+    files = narrowed.select(
+        repo_name("_url", default=NO_REPO).alias("repo"),
+        "_date",
+        "_commit_sha",
+        F.explode("_files").alias("_f"),
     ).where(F.col("_f.filename").isNotNull())
     newest_first = Window.partitionBy("repo", F.col("_f.filename")).orderBy(
         F.desc("_date"),
@@ -85,7 +93,7 @@ def latest_files(
     )
     if not keep_empty_repos:
         return latest
-    named = F.coalesce(F.exists("files", lambda f: f["filename"].isNotNull()), F.lit(False))
+    named = F.coalesce(F.exists(F.col("files.filename"), lambda name: name.isNotNull()), F.lit(False))
     empty = (
         df.groupBy(repo_name(URL, default=NO_REPO).alias("repo"))
         .agg(F.max(named).alias("_named"))
@@ -98,7 +106,8 @@ def latest_files(
 def _repo_files(df: DataFrame, repository: str, fields: Sequence[str]) -> DataFrame:
     return (
         df.where(repo_name(URL, default=NO_REPO) == repository)
-        .select(F.col(SHA).alias("_commit_sha"), F.explode(_files_with(fields)).alias("_f"))
+        .select(F.col(SHA).alias("_commit_sha"), _files_with(fields).alias("_files"))
+        .select("_commit_sha", F.explode("_files").alias("_f"))
         .where(F.col("_f.filename").isNotNull())
     )
 
