@@ -293,10 +293,11 @@ def oracle_sql() -> dict[str, str]:
            GROUP BY p.parent_sha HAVING count(*) >= 2""",
         "fork_points": _with(_COMMITS, _PARENTS)
         + f""" SELECT pc.repo_name AS parent_repo_name, cc.repo_name AS child_repo_name,
-                 pc.sha AS parent_sha, p.child_sha
+                 pc.sha AS parent_sha, p.child_sha, pc.n
            FROM p
            JOIN (SELECT k, {full} AS repo_name FROM c) cc ON p.k = cc.k
-           JOIN (SELECT sha, {full} AS repo_name FROM c) pc ON p.parent_sha = pc.sha
+           JOIN (SELECT sha, {full} AS repo_name, count(*) AS n FROM c GROUP BY 1, 2) pc
+             ON p.parent_sha = pc.sha
            WHERE pc.repo_name <> cc.repo_name""",
         "load_commits_jsonl": _with(_COMMITS, _PARENTS, _FILES)
         + """ SELECT c.sha, c.committer, c.cdate AS timestamp, c.adate AS authored,

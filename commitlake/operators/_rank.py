@@ -1,75 +1,80 @@
-"""Global 0-based rank by (count desc, lower(name), name) without one task.
+"""Global 0-based position of rows in a total order, without one task.
 
-``row_number().over(Window.orderBy(...))`` moves every row to a single task
-(``Exchange SinglePartition``). Because the count is the leading sort key,
-the position of a row is
+``row_number().over(Window.orderBy(...))`` moves every row into a single
+task (``Exchange SinglePartition``). This is the DataFrame form of
+``sortBy(...).zipWithIndex()``:
 
-    (rows with a larger count)
-  + (rows with the same count and a smaller name bucket)
-  + (position inside its (count, bucket) group),
+1. range-partition the rows on the order keys into ``partitions`` parts
+   (Spark samples the keys for the bounds, so parts are balanced when the
+   keys are distinct) and sort inside each part;
+2. record the part number and the position inside the part, and write that
+   to the checkpoint folder, so every later reader sees the same numbers
+   (a recomputation after a lost executor reads the checkpoint);
+3. count the rows per part: a table of at most ``partitions`` rows, whose
+   running total gives each part's offset; it is broadcast (size bound:
+   the number of parts, fixed by the caller);
+4. position = offset of the part + position inside the part.
 
-where the bucket is the first ``prefix_len`` characters of ``lower(name)``.
-Truncation keeps string order, so buckets are ordered like the names in
-them. The first two terms come from a histogram with one row per
-(count, bucket); the last is a window partitioned by (count, bucket), so the
-work is spread over as many tasks as there are buckets.
-
-Sizes: the unpartitioned window runs over the distinct counts only. Their
-number d is bounded by the data: the counts are distinct positive integers
-that sum to at most the number of input rows N, so d(d+1)/2 <= N and
-d <= sqrt(2N) (about 1.4 million for N = 10^12). The bucket window is
-partitioned by count. The largest group in the last window holds the names
-that share one count and one ``prefix_len``-character prefix; raise
-``prefix_len`` if such a group gets large.
+The order keys must make the order total (e.g. end with a unique name);
+otherwise equal keys get arbitrary, though still unique, positions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from commitlake.session import ensure_checkpoint_dir
 
-def rank_by_count(
-    df: DataFrame, name: str, count: str, rank: str = "rank", prefix_len: int = 4
+# Position inside a part is the low 33 bits of monotonically_increasing_id().
+_LOCAL_BITS = 33
+
+
+def global_position(
+    df: DataFrame, order: Sequence[Column], name: str = "position", partitions: int | None = None
 ) -> DataFrame:
-    """Add ``rank`` (bigint, 0 = largest count) to one-row-per-name ``df``.
+    """``df`` plus ``name`` (bigint, 0-based) following ``order``.
 
-    Ties on the count are broken by ``lower(name)`` and then by ``name``,
-    NULL names first.
+    Eager: the ranged rows are checkpointed when this is called.
     """
-    lowered = F.lower(F.col(name))
-    keyed = df.withColumn("_bucket", F.substring(lowered, 1, prefix_len))
-    hist = keyed.groupBy(count, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
-
-    before = Window.unboundedPreceding
-    per_count = hist.groupBy(count).agg(F.sum("_size").alias("_count_size"))
-    count_offsets = per_count.select(
-        count,
-        F.coalesce(
-            F.sum("_count_size").over(Window.orderBy(F.desc(count)).rowsBetween(before, -1)),
-            F.lit(0),
-        ).alias("_count_offset"),
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if partitions is None:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (
+        df.repartitionByRange(partitions, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn(
+            "_local",
+            F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("bigint"), _LOCAL_BITS),
+        )
+        .checkpoint(eager=True)
     )
-    bucket_offsets = hist.select(
-        count,
-        "_bucket",
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select(
+        "_part",
         F.coalesce(
-            F.sum("_size").over(
-                Window.partitionBy(count).orderBy(F.asc_nulls_first("_bucket")).rowsBetween(before, -1)
-            ),
+            F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
-        ).alias("_bucket_offset"),
+        ).alias("_offset"),
     )
-    offsets = bucket_offsets.join(count_offsets, count).select(
-        F.struct(count, "_bucket").alias("_group"),
-        (F.col("_count_offset") + F.col("_bucket_offset")).alias("_offset"),
-    )
-    # One struct key for the join and the window: struct equality treats
-    # NULL fields as equal, and both operators then share one partitioning.
-    grouped = keyed.withColumn("_group", F.struct(count, "_bucket"))
-    in_group = Window.partitionBy("_group").orderBy(F.asc_nulls_first(lowered), F.asc_nulls_first(name))
     return (
-        grouped.join(offsets, "_group")
-        .withColumn(rank, F.col("_offset") + F.row_number().over(in_group) - 1)
-        .drop("_group", "_bucket", "_offset")
+        ranged.join(F.broadcast(offsets), "_part")
+        .withColumn(name, F.col("_offset") + F.col("_local"))
+        .drop("_part", "_local", "_offset")
     )
+
+
+def rank_by_count(
+    df: DataFrame, name: str, count: str, rank: str = "rank", partitions: int | None = None
+) -> DataFrame:
+    """Add ``rank`` (bigint, 0 = largest count) to one-row-per-name ``df``.
+
+    Ties on the count are broken by ``lower(name)`` and then by ``name``,
+    NULL names first; names are unique, so the order is total.
+    """
+    order = [F.desc(count), F.asc_nulls_first(F.lower(F.col(name))), F.asc_nulls_first(name)]
+    return global_position(df, order, rank, partitions)

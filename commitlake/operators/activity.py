@@ -23,16 +23,19 @@ def commit_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_commits"))
 
 
-def author_ranking(df: DataFrame, prefix_len: int = 4) -> DataFrame:
+def author_ranking(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """O3: ``rank, author, n_commits`` for every author.
 
     Rank 0 has the most commits; equal counts are ordered by the lower-cased
-    name, then by the name itself. Rows come out ordered by rank. See
-    ``commitlake.operators._rank`` for why this needs no single-task window.
+    name, then by the name itself. Rows come out ordered by rank: they are
+    range-partitioned and sorted on the rank order already, so no further
+    sort is planned. See ``commitlake.operators._rank`` for how the rank is
+    numbered without a single-task window. Eager: the ranked authors are
+    checkpointed when this is called.
     """
     authors = df.groupBy(F.col(AUTHOR).alias("author")).agg(F.count(F.lit(1)).alias("n_commits"))
-    ranked = rank_by_count(authors, "author", "n_commits", prefix_len=prefix_len)
-    return ranked.select("rank", "author", "n_commits").orderBy("rank")
+    ranked = rank_by_count(authors, "author", "n_commits", partitions=partitions)
+    return ranked.select("rank", "author", "n_commits")
 
 
 def commits_by_committer(df: DataFrame, committers: Iterable[str]) -> DataFrame:
@@ -90,37 +93,56 @@ def commit_gaps(df: DataFrame, committer: str | None = None) -> DataFrame:
     committer's previous commit (0 for the first one), in time order.
 
     With ``committer`` only that committer's rows are returned, as in the
-    reference; without it every committer is handled at once.
-
-    A committer may own a large share of all rows, so the rows are never
-    grouped by committer alone. A day-difference only changes at the first
-    commit of a calendar day; every later commit of that day has 0. So:
-
-    * rows are partitioned by (committer, day) and the first commit of each
-      day is marked with ``row_number`` ordered by (date, sha);
-    * one row per (committer, day) is kept, and ``lag`` over those rows
-      (partitioned by committer, at most one row per calendar day) gives the
-      committer's previous active day;
-    * the two are joined on the same (committer, day) key the rows are
-      already partitioned by, so the commit rows are shuffled once.
+    reference; without it every committer is handled at once. Commits are
+    ordered by (date, sha); ``time_diff`` depends on dates only, so the
+    tie-break does not change any value.
+
+    A committer, or one committer's day, may hold a large share of all rows,
+    so no window runs over the commit rows. A day-difference is non-zero only
+    at the first commit of a committer's calendar day:
+
+    * ``days``: one row per (committer, day) with the first (date, sha) of
+      the day, an aggregate with partial aggregation; ``lag`` over these rows
+      (partitioned by committer: at most one row per calendar day) gives the
+      previous active day;
+    * the commit rows are joined to ``days`` on (committer, day); adaptive
+      execution splits a skewed join key;
+    * rows that are not the first of their day get 0. The first-of-day rows
+      (one per day, more only for copies of the same commit) take the gap; a
+      window over just those rows gives it to one copy.
     """
     if committer is not None:
         df = df.where(F.col(COMMITTER) == committer)
-    key = F.struct(F.col(COMMITTER).alias("who"), commit_day(COMMITTED).alias("day"))
-    rows = df.withColumn("_key", key)
-    first_of_day = Window.partitionBy("_key").orderBy(F.col(COMMITTED), F.col(SHA))
-    rows = rows.withColumn("_first", F.row_number().over(first_of_day) == 1)
+    rows = df.withColumn(
+        "_key", F.struct(F.col(COMMITTER).alias("who"), commit_day(COMMITTED).alias("day"))
+    ).withColumn("_at", F.struct(F.col(COMMITTED).alias("date"), F.col(SHA).alias("sha")))
 
-    days = df.select(key.alias("_key")).distinct()
     by_committer = Window.partitionBy("_key.who").orderBy("_key.day")
-    days = days.withColumn("_prev_day", F.lag("_key.day").over(by_committer))
-
+    days = (
+        rows.groupBy("_key")
+        .agg(F.min("_at").alias("_first"))
+        .withColumn("_prev_day", F.lag("_key.day").over(by_committer))
+    )
+    joined = rows.join(days, "_key")
+    # ``_first`` is the minimum of ``_at``, so "not after it" means "equal".
+    # Written without '=', the test stays a filter and both branches below
+    # read the one shuffle of the rows by (committer, day).
+    is_later = F.col("_at") > F.col("_first")
     gap = F.coalesce(F.datediff(F.col("_key.day"), F.col("_prev_day")), F.lit(0))
+
+    later = joined.where(is_later).withColumn("time_diff", F.lit(0))
+    # Only the first-of-day rows are shuffled again, by their own key, so the
+    # join above stays free to be split by skew handling.
+    # (The one struct key is not implied by the join's partitioning on
+    # ``_key``, so Spark plans that exchange instead of reusing the join's.)
+    one_copy = Window.partitionBy(F.struct("_key", "_at")).orderBy(F.col(URL))
+    first = joined.where(~is_later).withColumn(
+        "time_diff", F.when(F.row_number().over(one_copy) == 1, gap).otherwise(F.lit(0))
+    )
     return (
-        rows.join(days, "_key", "left")
-        .withColumn("time_diff", F.when(F.col("_first"), gap).otherwise(F.lit(0)))
-        .drop("_key", "_first", "_prev_day")
-        .orderBy(F.col(COMMITTED), F.col(SHA))
+        later.unionByName(first)
+        .drop("_key", "_at", "_first", "_prev_day")
+        .orderBy(F.col(COMMITTED), F.col(SHA), F.col(URL))
     )
 
 

@@ -81,10 +81,13 @@ def latest_files(
         "_commit_sha",
         F.explode("_files").alias("_f"),
     ).where(F.col("_f.filename").isNotNull())
+    # Every carried field takes part in the order, so only rows equal in all
+    # output columns can tie: the result does not depend on which one wins.
+    rest = [name for name in carried if name not in _TIE_FIELDS and name != "filename"]
     newest_first = Window.partitionBy("repo", F.col("_f.filename")).orderBy(
         F.desc("_date"),
         F.desc("_commit_sha"),
-        *[F.desc(f"_f.{name}") for name in _TIE_FIELDS],
+        *[F.desc(f"_f.{name}") for name in [*_TIE_FIELDS, *rest]],
     )
     latest = (
         files.withColumn("_rn", F.row_number().over(newest_first))

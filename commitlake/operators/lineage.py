@@ -38,10 +38,14 @@ def branch_points(df: DataFrame) -> DataFrame:
 def fork_points(df: DataFrame) -> DataFrame:
     """Child commits whose parent commit is in another repository.
 
-    ``parent_repo_name, child_repo_name, parent_sha, child_sha``, names as
-    ``owner/repo`` ('' for an url without one). Bag semantics as in the
-    reference: every (child row, parent reference, parent row) match with
-    different repository names is one output row.
+    ``parent_repo_name, child_repo_name, parent_sha, child_sha, n``, names
+    as ``owner/repo`` ('' for an url without one). The reference joins every
+    (exploded) parent reference with every commit row of the parent sha, so
+    a parent stored k times in one repository gives k equal rows. Here the
+    parent side is first reduced to one row per (sha, repository) with its
+    number of copies ``n`` (partial aggregation, so a sha copied into a large
+    share of all rows costs one row per task), and each output row stands
+    for ``n`` equal rows of the reference's result.
 
     Plan: an equi-join on the parent sha with the ``<>`` test as a join
     condition. A parent referenced by a large share of all commits makes one
@@ -54,13 +58,13 @@ def fork_points(df: DataFrame) -> DataFrame:
         F.col("_sha").alias("child_sha"),
         F.explode(F.col("parents.sha")).alias("parent_sha"),
     )
-    parents = base.select(F.col("_repo").alias("parent_repo_name"), F.col("_sha").alias("parent_sha"))
+    parents = base.groupBy(
+        F.col("_sha").alias("parent_sha"), F.col("_repo").alias("parent_repo_name")
+    ).agg(F.count(F.lit(1)).alias("n"))
     joined = children.join(
         parents,
         (children.parent_sha == parents.parent_sha)
         & (children.child_repo_name != parents.parent_repo_name),
         "inner",
     )
-    return joined.select(
-        "parent_repo_name", "child_repo_name", parents.parent_sha, "child_sha"
-    )
+    return joined.select("parent_repo_name", "child_repo_name", parents.parent_sha, "child_sha", "n")

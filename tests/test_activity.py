@@ -36,9 +36,9 @@ def test_rank_by_count_matches_global_sort(spark):
         names.add(stem + str(rng.randint(0, 99999)) + rng.choice(["", "X", "x"]))
     rows = [(n, rng.choice([1, 1, 1, 2, 2, 3, 5, 8, 13])) for n in sorted(names)]
     df = spark.createDataFrame(rows, "name string, n bigint")
-    for prefix_len in (1, 4):
-        got = {r["name"]: r["rank"] for r in rank_by_count(df, "name", "n", prefix_len=prefix_len).collect()}
-        want = sorted(rows, key=lambda r: (-r[1], r[0].lower(), r[0]))
+    want = sorted(rows, key=lambda r: (-r[1], r[0].lower(), r[0]))
+    for partitions in (1, 7, 32):
+        got = {r["name"]: r["rank"] for r in rank_by_count(df, "name", "n", partitions=partitions).collect()}
         assert [got[name] for name, _ in want] == list(range(len(want)))
 
 
@@ -139,3 +139,16 @@ def test_commit_gaps_equal_timestamps(commits):
     ])
     got = dict(ops.commit_gaps(df).select("sha", "time_diff").collect())
     assert got == {"w": 0, "x1": 2, "x2": 0}
+
+
+def test_commit_gaps_copies_of_one_commit(commits):
+    # the same commit in three repositories, first of its day: one copy gets the gap
+    df = commits([
+        commit("p", committer="c", date="2019-01-01T10:00:00"),
+        commit("x", committer="c", date="2019-01-05T10:00:00", url_="https://api.github.com/repos/a/r/commits/x"),
+        commit("x", committer="c", date="2019-01-05T10:00:00", url_="https://api.github.com/repos/b/r/commits/x"),
+        commit("x", committer="c", date="2019-01-05T10:00:00", url_="https://api.github.com/repos/c/r/commits/x"),
+        commit("y", committer="c", date="2019-01-05T11:00:00"),
+    ])
+    got = sorted((r.sha, r.time_diff) for r in ops.commit_gaps(df).collect())
+    assert got == [("p", 0), ("x", 0), ("x", 0), ("x", 4), ("y", 0)]

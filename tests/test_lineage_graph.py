@@ -53,10 +53,10 @@ def test_fork_points(commits):
     ])
     got = sorted(tuple(r) for r in ops.fork_points(df).collect())
     assert got == [
-        ("NantesJS/site", "", "p", "orphan"),
-        ("NantesJS/site", "jtanguy/site", "p", "c"),
+        ("NantesJS/site", "", "p", "orphan", 1),
+        ("NantesJS/site", "jtanguy/site", "p", "c", 1),
     ]
-    assert ops.fork_points(df).columns == ["parent_repo_name", "child_repo_name", "parent_sha", "child_sha"]
+    assert ops.fork_points(df).columns == ["parent_repo_name", "child_repo_name", "parent_sha", "child_sha", "n"]
 
 
 def test_graph(commits):
@@ -78,3 +78,14 @@ def test_graph(commits):
     want = sorted({(java_vertex_id(c), java_vertex_id(r)) for c, r in [
         ("dev1", "o/r"), ("dev2", "o/r"), ("dev1", "norepo"), ("o/r", "x/y")]})
     assert edges == want
+
+
+def test_fork_points_copies_counted(commits):
+    df = commits([
+        commit("p", url_=url("up", "r", "p")),
+        commit("p", url_=url("up", "r", "p")),
+        commit("p", url_=url("other", "r", "p")),
+        commit("c", url_=url("fork", "r", "c"), parents=["p"]),
+    ])
+    got = sorted(tuple(r) for r in ops.fork_points(df).collect())
+    assert got == [("other/r", "fork/r", "p", "c", 1), ("up/r", "fork/r", "p", "c", 2)]
