@@ -101,47 +101,49 @@ def commit_gaps(df: DataFrame, committer: str | None = None) -> DataFrame:
     so no window runs over the commit rows. A day-difference is non-zero only
     at the first commit of a committer's calendar day:
 
-    * ``days``: one row per (committer, day) with the first (date, sha) of
-      the day, an aggregate with partial aggregation; ``lag`` over these rows
+    * ``days``: one row per (committer, day) with the first instant of the
+      day, a hash aggregate with partial aggregation; ``lag`` over these rows
       (partitioned by committer: at most one row per calendar day) gives the
       previous active day;
     * the commit rows are joined to ``days`` on (committer, day); adaptive
       execution splits a skewed join key;
-    * rows that are not the first of their day get 0. The first-of-day rows
-      (one per day, more only for copies of the same commit) take the gap; a
-      window over just those rows gives it to one copy.
+    * rows after the first instant of their day get 0. Of the rows at that
+      instant (one per day, more only for equal timestamps or copies of one
+      commit) the smallest (sha, url) takes the gap, chosen by a window over
+      just those rows.
     """
     if committer is not None:
         df = df.where(F.col(COMMITTER) == committer)
     rows = df.withColumn(
         "_key", F.struct(F.col(COMMITTER).alias("who"), commit_day(COMMITTED).alias("day"))
-    ).withColumn("_at", F.struct(F.col(COMMITTED).alias("date"), F.col(SHA).alias("sha")))
+    )
 
     by_committer = Window.partitionBy("_key.who").orderBy("_key.day")
     days = (
         rows.groupBy("_key")
-        .agg(F.min("_at").alias("_first"))
+        .agg(F.min(COMMITTED).alias("_first_at"))
         .withColumn("_prev_day", F.lag("_key.day").over(by_committer))
     )
     joined = rows.join(days, "_key")
-    # ``_first`` is the minimum of ``_at``, so "not after it" means "equal".
-    # Written without '=', the test stays a filter and both branches below
-    # read the one shuffle of the rows by (committer, day).
-    is_later = F.col("_at") > F.col("_first")
+    # ``_first_at`` is the minimum date of the day, so "not after it" means
+    # "equal". Written without '=', the test stays a filter and both
+    # branches below read the one shuffle of the rows by (committer, day).
+    # (A row without a date is compared as not later: it gets 0.)
+    is_later = F.coalesce(F.col(COMMITTED) > F.col("_first_at"), F.lit(False))
     gap = F.coalesce(F.datediff(F.col("_key.day"), F.col("_prev_day")), F.lit(0))
 
     later = joined.where(is_later).withColumn("time_diff", F.lit(0))
-    # Only the first-of-day rows are shuffled again, by their own key, so the
-    # join above stays free to be split by skew handling.
-    # (The one struct key is not implied by the join's partitioning on
-    # ``_key``, so Spark plans that exchange instead of reusing the join's.)
-    one_copy = Window.partitionBy(F.struct("_key", "_at")).orderBy(F.col(URL))
+    # Rows at the first instant of their day: usually one; the smallest sha
+    # (then url, for copies of one commit) takes the gap. Only these rows
+    # are shuffled again, by a key the join's partitioning does not imply,
+    # so the join above stays free to be split by skew handling.
+    first_instant = Window.partitionBy(F.struct("_key", "_first_at")).orderBy(F.col(SHA), F.col(URL))
     first = joined.where(~is_later).withColumn(
-        "time_diff", F.when(F.row_number().over(one_copy) == 1, gap).otherwise(F.lit(0))
+        "time_diff", F.when(F.row_number().over(first_instant) == 1, gap).otherwise(F.lit(0))
     )
     return (
         later.unionByName(first)
-        .drop("_key", "_at", "_first", "_prev_day")
+        .drop("_key", "_first_at", "_prev_day")
         .orderBy(F.col(COMMITTED), F.col(SHA), F.col(URL))
     )
 

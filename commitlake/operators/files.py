@@ -69,17 +69,15 @@ def latest_files(
     if unknown:
         raise ValueError(f"unknown file fields {unknown}")
     carried = list(dict.fromkeys([*fields, "filename", *_TIE_FIELDS]))
+    # The repository name is taken once per commit, before the explode.
     narrowed = df.select(
-        F.col(URL).alias("_url"),
+        repo_name(URL, default=NO_REPO).alias("repo"),
         F.col(COMMITTED).alias("_date"),
         F.col(SHA).alias("_commit_sha"),
         _files_with(carried).alias("_files"),
     )
     files = narrowed.select(
-        repo_name("_url", default=NO_REPO).alias("repo"),
-        "_date",
-        "_commit_sha",
-        F.explode("_files").alias("_f"),
+        "repo", "_date", "_commit_sha", F.explode("_files").alias("_f")
     ).where(F.col("_f.filename").isNotNull())
     # Every carried field takes part in the order, so only rows equal in all
     # output columns can tie: the result does not depend on which one wins.

@@ -152,3 +152,14 @@ def test_commit_gaps_copies_of_one_commit(commits):
     ])
     got = sorted((r.sha, r.time_diff) for r in ops.commit_gaps(df).collect())
     assert got == [("p", 0), ("x", 0), ("x", 0), ("x", 4), ("y", 0)]
+
+
+def test_commit_gaps_keeps_rows_without_date(commits):
+    df = commits([
+        commit("a", committer="c", date="2019-01-01T10:00:00"),
+        commit("n1", committer="c", date=None),
+        commit("n2", committer="c", date=None),
+        commit("b", committer="c", date="2019-01-03T10:00:00"),
+    ])
+    got = dict(ops.commit_gaps(df).select("sha", "time_diff").collect())
+    assert got == {"a": 0, "n1": 0, "n2": 0, "b": 2}
