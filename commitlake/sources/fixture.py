@@ -7,7 +7,8 @@ definitions are written in SQL in ``__spark_entry__.py``; ``FIXTURES.md``
 lists them.
 
 Scale: the files array is built by one aggregation of ``lineitem`` by order
-key (a bounded group: the lines of one order) and one equi-join with
+key (a bounded group: the lines of one order, at most 17 in the test data)
+and one equi-join with
 ``orders`` on the same key, so both sides are hash-partitioned on
 ``o_orderkey`` once. ``part`` is joined on ``p_partkey`` without a broadcast
 hint; adaptive execution turns it into a broadcast only when the runtime
