@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commitlake.functions import NO_REPO, repo_full, repo_name, stat_or_zero, url_piece_owner
@@ -102,10 +102,12 @@ def repo_committers(df: DataFrame) -> DataFrame:
     # Partial aggregation first: the shuffle carries one row per distinct
     # (owner, repo, committer) and task, however many commits a repository has.
     triples = keyed.groupBy("owner", "repo", "committer").agg(F.count(F.lit(1)).alias("_n"))
-    # The repository total is a window sum over those de-duplicated rows: a
-    # window partition holds one row per committer of one repository.
-    per_repo = Window.partitionBy("owner", "repo")
-    return triples.select("owner", "repo", F.sum("_n").over(per_repo).alias("n_commits"), "committer")
+    # The repository total is summed from those rows (one per repository
+    # after partial aggregation) and joined back. A join, not a window over
+    # all committers of a repository: adaptive execution can split the join
+    # when one repository has a large share of all committers.
+    totals = triples.groupBy("owner", "repo").agg(F.sum("_n").alias("n_commits"))
+    return triples.join(totals, ["owner", "repo"]).select("owner", "repo", "n_commits", "committer")
 
 
 def committer_repo_stats(df: DataFrame) -> DataFrame:

@@ -39,3 +39,12 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
     assert got == _rows(cols, res.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(registry.OPERATOR_QUERIES))
+def test_query_on_empty_table(spark, name):
+    from commitlake.schema import COMMIT
+
+    empty = spark.createDataFrame([], COMMIT)
+    rows = registry.OPERATOR_QUERIES[name][1](empty).collect()
+    assert rows == ([(0,)] if name == "commit_count" else [])
