@@ -56,18 +56,21 @@ def commits_by_committer(df: DataFrame, committers: Iterable[str]) -> DataFrame:
     )
 
 
-def weekly_commits(df: DataFrame) -> DataFrame:
+def weekly_commits(df: DataFrame, iso_year: bool = False) -> DataFrame:
     """Commits per ``repository, week, year``.
 
     ``week`` is the ISO week and ``year`` the calendar year of the commit
-    day, so 2018-12-31 counts as week 1 of 2018. An url without a repository
-    gives ``repository = ''``.
+    day, as in the reference, so 2018-12-31 counts as week 1 of 2018. With
+    ``iso_year=True`` the year is the ISO week-numbering year instead
+    (2018-12-31 is week 1 of 2019). An url without a repository gives
+    ``repository = ''``.
     """
     day = commit_day(COMMITTED)
+    year = F.extract(F.lit("YEAROFWEEK"), day) if iso_year else F.year(day)
     return df.groupBy(
         repo_name(URL, default="").alias("repository"),
         F.weekofyear(day).alias("week"),
-        F.year(day).alias("year"),
+        year.alias("year"),
     ).agg(F.count(F.lit(1)).alias("count"))
 
 

@@ -25,20 +25,27 @@ def _stat_sums() -> list:
     return [F.sum(stat_or_zero(f)).alias(f) for f in STAT_FIELDS]
 
 
-def user_stats(df: DataFrame, users: Iterable[str] | DataFrame) -> DataFrame:
-    """Summed ``total, additions, deletions`` per listed **author**.
-
-    Missing stats count as zeros; a listed name without commits does not
-    appear. ``users`` is a list of names, or a one-column DataFrame of names
-    for a long list (then a left-semi join keeps the matching commits).
+def user_stats(
+    df: DataFrame, users: Iterable[str] | DataFrame, role: str = "author"
+) -> DataFrame:
+    """Summed ``total, additions, deletions`` per listed user.
+
+    The user is the commit **author** by default, as the reference computes
+    it (its description says committer: ``role="committer"`` gives that).
+    The name column is called ``author`` either way. Missing stats count as
+    zeros; a listed name without commits does not appear. ``users`` is a
+    list of names, or a one-column DataFrame of names for a long list (then
+    a left-semi join keeps the matching commits).
     """
-    author = F.col(AUTHOR)
+    if role not in ("author", "committer"):
+        raise ValueError(f"role must be 'author' or 'committer', not {role!r}")
+    person = F.col(AUTHOR if role == "author" else COMMITTER)
     if isinstance(users, DataFrame):
         names = users.select(users.columns[0]).withColumnRenamed(users.columns[0], "_name")
-        kept = df.join(names, author == F.col("_name"), "left_semi")
+        kept = df.join(names, person == F.col("_name"), "left_semi")
     else:
-        kept = df.where(author.isin(list(users)))
-    return kept.groupBy(author.alias("author")).agg(*_stat_sums())
+        kept = df.where(person.isin(list(users)))
+    return kept.groupBy(person.alias("author")).agg(*_stat_sums())
 
 
 def exclusive_people(df: DataFrame) -> DataFrame:

@@ -163,3 +163,9 @@ def test_commit_gaps_keeps_rows_without_date(commits):
     ])
     got = dict(ops.commit_gaps(df).select("sha", "time_diff").collect())
     assert got == {"a": 0, "n1": 0, "n2": 0, "b": 2}
+
+
+def test_weekly_commits_iso_year_option(commits):
+    df = commits([commit("a", date="2018-12-31T10:00:00"), commit("b", date="2021-01-02T10:00:00")])
+    got = sorted(tuple(r) for r in ops.weekly_commits(df, iso_year=True).collect())
+    assert got == [("repo", 1, 2019, 1), ("repo", 53, 2020, 1)]

@@ -73,3 +73,12 @@ def test_committer_repo_stats_zero_when_all_missing(commits):
     ])
     got = sorted(tuple(r) for r in ops.committer_repo_stats(df).collect())
     assert got == [("GitHub", "danfe", 0, 0, 0), ("ivan", "AIM-Chat", 75, 45, 30), ("ivan", "norepo", 1, 1, 0)]
+
+
+def test_user_stats_by_committer_role(commits):
+    df = commits([
+        commit("a", author="Otto", committer="GitHub", stats=(10, 7, 3)),
+        commit("b", author="GitHub", committer="Otto", stats=(1, 1, 0)),
+    ])
+    assert [tuple(r) for r in ops.user_stats(df, ["Otto"], role="committer").collect()] == [("Otto", 1, 1, 0)]
+    assert [tuple(r) for r in ops.user_stats(df, ["Otto"]).collect()] == [("Otto", 10, 7, 3)]
