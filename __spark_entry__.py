@@ -241,7 +241,8 @@ def oracle_sql() -> dict[str, str]:
                           CASE WHEN o = '' THEN 'norepo' ELSE n END AS repo,
                           committer, count(*) AS cnt
                    FROM r GROUP BY ALL)
-           SELECT owner, repo, CAST(sum(cnt) OVER (PARTITION BY owner, repo) AS BIGINT) AS n_commits, committer
+           SELECT owner, repo, CAST(sum(cnt) OVER (PARTITION BY owner, repo) AS BIGINT) AS n_commits, committer,
+                  cnt AS committer_commits
            FROM t""",
         "latest_files": _with(_COMMITS, _FILES)
         + f""", named AS (SELECT {norepo_bare} AS repo, cdate, sha, file_sha, filename, status, f_additions

@@ -9,6 +9,7 @@ from commitlake.functions.columns import (
     repo_full,
     repo_name,
     repo_owner,
+    repo_owner_and_name,
     stat_or_zero,
     url_piece_owner,
     vertex_id,
@@ -23,6 +24,7 @@ __all__ = [
     "repo_full",
     "repo_name",
     "repo_owner",
+    "repo_owner_and_name",
     "stat_or_zero",
     "url_piece_owner",
     "vertex_id",

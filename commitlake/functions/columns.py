@@ -20,29 +20,76 @@ NO_REPO = "norepo"
 UNKNOWN_EXTENSION = "unknown"
 
 
+REPOS_MARK = "/repos/"
+# Line terminators: ``.`` in the patterns does not match them.
+_LINE_BREAKS = ("\n", "\r", "\u0085", "\u2028", "\u2029")
+
+
 def _with_default(extracted: Column, default: str) -> Column:
-    # regexp_extract gives '' when the pattern does not match. The DataFrame
-    # style of the operators keeps '' (default ''), the row style uses
-    # 'norepo'.
+    # '' means the pattern did not match. The DataFrame style of the
+    # operators keeps '' (default ''); the row style uses 'norepo', also for
+    # a NULL url, and is then never NULL (so joins on it infer no filters).
     if default == "":
         return extracted
-    return F.when(extracted == "", F.lit(default)).otherwise(extracted)
+    return F.coalesce(F.nullif(extracted, F.lit("")), F.lit(default))
+
+
+def _url_pieces(url: Column):
+    """(fits, owner, repo) read from the text after the last ``/repos/``.
+
+    The patterns start with a greedy ``.*``, so they match at the last
+    ``/repos/`` whose next two pieces fit ``[^/]+/[^/]+/``. When that last
+    occurrence fits (and the url has no line break, which ``.`` would not
+    cross) its pieces are the pattern's groups; this is a few linear scans
+    instead of a backtracking regex. Other urls fall back to the regex.
+    """
+    rest = F.substring_index(url, REPOS_MARK, -1)
+    pieces = F.split(rest, "/", 3)
+    owner, repo = F.get(pieces, 0), F.get(pieces, 1)
+    fits = (F.instr(url, REPOS_MARK) > 0) & (F.size(pieces) == 3) & (owner != "") & (repo != "")
+    for brk in _LINE_BREAKS:
+        # plain substring tests: a regex character class here costs as much
+        # as the pattern it replaces
+        fits = fits & ~url.contains(brk)
+    return fits, owner, repo
 
 
 def repo_name(url="url", default: str = NO_REPO) -> Column:
     """Bare repository name of a commit url (the part after the owner)."""
-    return _with_default(F.regexp_extract(as_col(url), REPO_NAME_PATTERN, 1), default)
+    url = as_col(url)
+    fits, _owner, repo = _url_pieces(url)
+    extracted = F.when(fits, repo).otherwise(F.regexp_extract(url, REPO_NAME_PATTERN, 1))
+    return _with_default(extracted, default)
 
 
 def repo_full(url="url", default: str = NO_REPO) -> Column:
     """``owner/repo`` of a commit url."""
-    return _with_default(F.regexp_extract(as_col(url), REPO_FULL_PATTERN, 1), default)
+    url = as_col(url)
+    fits, owner, repo = _url_pieces(url)
+    extracted = F.when(fits, F.concat(owner, F.lit("/"), repo)).otherwise(
+        F.regexp_extract(url, REPO_FULL_PATTERN, 1)
+    )
+    return _with_default(extracted, default)
 
 
 def repo_owner(url="url", default: str = NO_REPO) -> Column:
     """Owner taken with the same pattern as the full name (owner and repo
     both present, otherwise ``default``)."""
-    return _with_default(F.regexp_extract(as_col(url), OWNER_REPO_PATTERN, 1), default)
+    url = as_col(url)
+    fits, owner, _repo = _url_pieces(url)
+    extracted = F.when(fits, owner).otherwise(F.regexp_extract(url, OWNER_REPO_PATTERN, 1))
+    return _with_default(extracted, default)
+
+
+def repo_owner_and_name(url="url", default: str = NO_REPO) -> tuple[Column, Column]:
+    """(owner, bare name) from one match of the owner/repo pattern; both are
+    ``default`` when the url does not match."""
+    url = as_col(url)
+    fits, owner, repo = _url_pieces(url)
+    # Both groups are non-empty when the pattern matches and '' when not.
+    owner = F.when(fits, owner).otherwise(F.regexp_extract(url, OWNER_REPO_PATTERN, 1))
+    repo = F.when(fits, repo).otherwise(F.regexp_extract(url, OWNER_REPO_PATTERN, 2))
+    return _with_default(owner, default), _with_default(repo, default)
 
 
 def url_piece_owner(url="url") -> Column:

@@ -105,8 +105,14 @@ def latest_files(
 
 
 def _repo_files(df: DataFrame, repository: str, fields: Sequence[str]) -> DataFrame:
+    in_repo = repo_name(URL, default=NO_REPO) == repository
+    if repository != NO_REPO:
+        # A url whose repository is ``repository`` contains "/repository/";
+        # the cheap substring test goes first and spares most rows the
+        # name extraction.
+        in_repo = F.col(URL).contains(f"/{repository}/") & in_repo
     return (
-        df.where(repo_name(URL, default=NO_REPO) == repository)
+        df.where(in_repo)
         .select(F.col(SHA).alias("_commit_sha"), _files_with(fields).alias("_files"))
         .select("_commit_sha", F.explode("_files").alias("_f"))
         .where(F.col("_f.filename").isNotNull())

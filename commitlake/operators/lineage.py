@@ -52,7 +52,14 @@ def fork_points(df: DataFrame) -> DataFrame:
     join partition large; adaptive execution's skew-join handling splits it
     (``spark.sql.adaptive.skewJoin.enabled``).
     """
-    base = df.select(repo_full(URL, default="").alias("_repo"), F.col(SHA).alias("_sha"), "parents")
+    # A row without url has no repository name and can never pass the '<>'
+    # test: it is dropped at the scan. The name is then never NULL, so Spark
+    # infers no not-NULL filter that would compute it a second time.
+    base = df.where(F.col(URL).isNotNull()).select(
+        F.coalesce(repo_full(URL, default=""), F.lit("")).alias("_repo"),
+        F.col(SHA).alias("_sha"),
+        "parents",
+    )
     children = base.select(
         F.col("_repo").alias("child_repo_name"),
         F.col("_sha").alias("child_sha"),

@@ -15,7 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.functions import NO_REPO, repo_full, repo_name, stat_or_zero, url_piece_owner
+from commitlake.functions import NO_REPO, repo_name, repo_owner_and_name, stat_or_zero, url_piece_owner
 from commitlake.operators._paths import AUTHOR, COMMITTER, MESSAGE, URL
 
 STAT_FIELDS = ("total", "additions", "deletions")
@@ -93,19 +93,14 @@ def repo_committers(df: DataFrame) -> DataFrame:
 
     The key is (owner, repository) from the url (``norepo`` for both when
     it does not match). Output is flat, one row per distinct committer:
-    ``owner, repo, n_commits, committer``, where ``n_commits`` is the
-    repository's total. A per-repository list would put all committers of
-    one repository into one row; ``collect_set`` over this frame gives it
+    ``owner, repo, n_commits, committer, committer_commits``, where
+    ``n_commits`` is the repository's total and ``committer_commits`` that
+    committer's share of it. A per-repository list would put all committers
+    of one repository into one row; ``collect_set`` over this frame gives it
     where repositories are known to be small.
     """
-    # One regex per row: ``owner/repo`` is split on its only slash.
-    full = repo_full(URL, default="")
-    matched = full != ""
-    keyed = df.select(
-        F.when(matched, F.substring_index(full, "/", 1)).otherwise(F.lit(NO_REPO)).alias("owner"),
-        F.when(matched, F.substring_index(full, "/", -1)).otherwise(F.lit(NO_REPO)).alias("repo"),
-        F.col(COMMITTER).alias("committer"),
-    )
+    owner, repo = repo_owner_and_name(URL, default=NO_REPO)
+    keyed = df.select(owner.alias("owner"), repo.alias("repo"), F.col(COMMITTER).alias("committer"))
     # Partial aggregation first: the shuffle carries one row per distinct
     # (owner, repo, committer) and task, however many commits a repository has.
     triples = keyed.groupBy("owner", "repo", "committer").agg(F.count(F.lit(1)).alias("_n"))
@@ -114,7 +109,11 @@ def repo_committers(df: DataFrame) -> DataFrame:
     # all committers of a repository: adaptive execution can split the join
     # when one repository has a large share of all committers.
     totals = triples.groupBy("owner", "repo").agg(F.sum("_n").alias("n_commits"))
-    return triples.join(totals, ["owner", "repo"]).select("owner", "repo", "n_commits", "committer")
+    # Both join sides use the per-committer count, so they are the same
+    # aggregate and adaptive execution runs its scan and shuffle once.
+    return triples.join(totals, ["owner", "repo"]).select(
+        "owner", "repo", "n_commits", "committer", F.col("_n").alias("committer_commits")
+    )
 
 
 def committer_repo_stats(df: DataFrame) -> DataFrame:

@@ -117,3 +117,65 @@ def test_helpers_are_jvm_expressions(spark):
     out = df.select(file_extension("f"), repo_name("url"), vertex_id("f"), F.col("url"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+TRICKY_URLS = [
+    "https://api.github.com/repos/own/rep/commits/abc",
+    "https://api.github.com/repos/a/b/repos/c/d/commits/e",
+    "https://api.github.com/repos/a/b/c/repos/x",          # last /repos/ does not fit
+    "https://api.github.com/repos/a/b/c/repos//y/z",       # empty owner after the last one
+    "https://api.github.com/repos/a/b/\nx/repos/c/d/e",    # line break: '.' stops there
+    "https://api.github.com/repos/a\nb/c/d",                # line break inside the owner
+    "x/repos/a/b",                                          # no slash after the repo
+    "/repos/a/b/",
+    "/repos/repos/x/y/",
+    "no match at all",
+    "",
+    None,
+]
+
+
+def test_url_fast_path_equals_regex(spark):
+    from commitlake.functions.columns import (
+        OWNER_REPO_PATTERN, REPO_FULL_PATTERN, REPO_NAME_PATTERN, repo_owner_and_name,
+    )
+
+    df = spark.createDataFrame([(u,) for u in TRICKY_URLS], "url string")
+    owner, repo = repo_owner_and_name("url")
+    rows = df.select(
+        "url",
+        repo_name("url", default="").alias("bare"),
+        F.regexp_extract("url", REPO_NAME_PATTERN, 1).alias("bare_re"),
+        repo_full("url", default="").alias("full"),
+        F.regexp_extract("url", REPO_FULL_PATTERN, 1).alias("full_re"),
+        repo_owner("url", default="").alias("owner"),
+        F.regexp_extract("url", OWNER_REPO_PATTERN, 1).alias("owner_re"),
+        owner.alias("o2"),
+        repo.alias("r2"),
+        F.regexp_extract("url", OWNER_REPO_PATTERN, 2).alias("r2_re"),
+        repo_name("url").alias("bare_norepo"),
+    ).collect()
+    for r in rows:
+        assert (r.bare, r.full, r.owner) == (r.bare_re, r.full_re, r.owner_re), r.url
+        if r.url is not None:
+            assert (r.o2, r.r2) == ((r.owner_re, r.r2_re) if r.owner_re else ("norepo", "norepo")), r.url
+            assert r.bare_norepo == (r.bare_re or "norepo")
+        else:
+            assert r.bare_norepo == "norepo" and r.o2 == "norepo"
+
+
+def test_url_fast_path_equals_regex_random(spark):
+    import random
+
+    from commitlake.functions.columns import OWNER_REPO_PATTERN, REPO_FULL_PATTERN, REPO_NAME_PATTERN
+
+    rng = random.Random(11)
+    tokens = ["/repos/", "/", "/", "a", "bc", "repos", "\n", "\r", "x/y", "//"]
+    urls = ["".join(rng.choice(tokens) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    df = spark.createDataFrame([(u,) for u in urls], "url string")
+    bad = df.where(
+        (repo_name("url", default="") != F.regexp_extract("url", REPO_NAME_PATTERN, 1))
+        | (repo_full("url", default="") != F.regexp_extract("url", REPO_FULL_PATTERN, 1))
+        | (repo_owner("url", default="") != F.regexp_extract("url", OWNER_REPO_PATTERN, 1))
+    )
+    assert bad.count() == 0

@@ -56,11 +56,11 @@ def test_repo_committers_flat(commits):
     ])
     got = sorted(tuple(r) for r in ops.repo_committers(df).collect())
     assert got == [
-        ("SharedUmbrella", "SharedUmbrella", 1, "AlbertGandolf"),
-        ("norepo", "norepo", 1, "c9"),
-        ("o1", "r", 3, "c1"),
-        ("o1", "r", 3, "c2"),
-        ("o2", "r", 1, "c1"),
+        ("SharedUmbrella", "SharedUmbrella", 1, "AlbertGandolf", 1),
+        ("norepo", "norepo", 1, "c9", 1),
+        ("o1", "r", 3, "c1", 2),
+        ("o1", "r", 3, "c2", 1),
+        ("o2", "r", 1, "c1", 1),
     ]
 
 
