@@ -31,7 +31,9 @@ def _with_default(extracted: Column, default: str) -> Column:
     # a NULL url, and is then never NULL (so joins on it infer no filters).
     if default == "":
         return extracted
-    return F.coalesce(F.nullif(extracted, F.lit("")), F.lit(default))
+    # (A CASE, not nullif: Spark rewrites nullif into a common-expression
+    # projection, which stops nested-column pruning below a generator.)
+    return F.coalesce(F.when(extracted != "", extracted), F.lit(default))
 
 
 def _url_pieces(url: Column):
