@@ -27,8 +27,10 @@ _TIE_FIELDS = ("sha", "status", "additions")
 
 
 def _files_with(fields: Sequence[str]):
-    """``files`` narrowed to ``fields`` (in that order)."""
-    return F.arrays_zip(*[F.col(f"files.{name}").alias(name) for name in fields])
+    """``files`` narrowed to ``fields`` (in that order), field ``x`` named
+    ``_f_x``; ``inline`` turns it into one row per file with those columns
+    (no struct in between, which is cheaper than ``explode`` + field access)."""
+    return F.arrays_zip(*[F.col(f"files.{name}").alias(f"_f_{name}") for name in fields])
 
 
 def file_extensions(df: DataFrame) -> DataFrame:
@@ -76,21 +78,23 @@ def latest_files(
         F.col(SHA).alias("_commit_sha"),
         _files_with(carried).alias("_files"),
     )
-    files = narrowed.select(
-        "repo", "_date", "_commit_sha", F.explode("_files").alias("_f")
-    ).where(F.col("_f.filename").isNotNull())
+    files = narrowed.select("repo", "_date", "_commit_sha", F.inline("_files")).where(
+        F.col("_f_filename").isNotNull()
+    )
     # Every carried field takes part in the order, so only rows equal in all
     # output columns can tie: the result does not depend on which one wins.
     rest = [name for name in carried if name not in _TIE_FIELDS and name != "filename"]
-    newest_first = Window.partitionBy("repo", F.col("_f.filename")).orderBy(
+    # File name first: it varies far more than the repository, so the sort
+    # prefix (first bytes of the first key) decides most comparisons.
+    newest_first = Window.partitionBy("_f_filename", "repo").orderBy(
         F.desc("_date"),
         F.desc("_commit_sha"),
-        *[F.desc(f"_f.{name}") for name in [*_TIE_FIELDS, *rest]],
+        *[F.desc(f"_f_{name}") for name in [*_TIE_FIELDS, *rest]],
     )
     latest = (
         files.withColumn("_rn", F.row_number().over(newest_first))
         .where(F.col("_rn") == 1)
-        .select("repo", *[F.col(f"_f.{name}").alias(name) for name in fields])
+        .select("repo", *[F.col(f"_f_{name}").alias(name) for name in fields])
     )
     if not keep_empty_repos:
         return latest
@@ -114,8 +118,8 @@ def _repo_files(df: DataFrame, repository: str, fields: Sequence[str]) -> DataFr
     return (
         df.where(in_repo)
         .select(F.col(SHA).alias("_commit_sha"), _files_with(fields).alias("_files"))
-        .select("_commit_sha", F.explode("_files").alias("_f"))
-        .where(F.col("_f.filename").isNotNull())
+        .select("_commit_sha", F.inline("_files"))
+        .where(F.col("_f_filename").isNotNull())
     )
 
 
@@ -128,8 +132,8 @@ def file_history(df: DataFrame, repository: str) -> DataFrame:
     file's ``changes``. The commit shas themselves are in ``file_commits``.
     """
     files = _repo_files(df, repository, ("filename", "additions", "deletions"))
-    additions, deletions = F.col("_f.additions"), F.col("_f.deletions")
-    return files.groupBy(F.col("_f.filename").alias("filename")).agg(
+    additions, deletions = F.col("_f_additions"), F.col("_f_deletions")
+    return files.groupBy(F.col("_f_filename").alias("filename")).agg(
         F.count(F.lit(1)).alias("n_commits"),
         F.sum(additions + deletions).alias("total"),
         F.sum(additions).alias("additions"),
@@ -142,4 +146,4 @@ def file_commits(df: DataFrame, repository: str) -> DataFrame:
     one repository, repeats kept. One row per list entry of the reference's
     per-file sha list, without gathering a list per file."""
     files = _repo_files(df, repository, ("filename",))
-    return files.select(F.col("_f.filename").alias("filename"), F.col("_commit_sha").alias("sha"))
+    return files.select(F.col("_f_filename").alias("filename"), F.col("_commit_sha").alias("sha"))
