@@ -97,7 +97,7 @@ def commit_gaps(df: DataFrame, committer: str | None = None) -> DataFrame:
 
     With ``committer`` only that committer's rows are returned, as in the
     reference; without it every committer is handled at once. Commits are
-    ordered by (date, sha); ``time_diff`` depends on dates only, so the
+    ordered by (date, sha, url); ``time_diff`` depends on dates only, so the
     tie-break does not change any value.
 
     A committer, or one committer's day, may hold a large share of all rows,

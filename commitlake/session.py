@@ -26,6 +26,9 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.shuffle.partitions": "8",
     "spark.driver.memory": "8g",
+    # remove checkpoint files (the ranked parts of author_ranking) once the
+    # frames that use them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
