@@ -48,3 +48,21 @@ def test_query_on_empty_table(spark, name):
     empty = spark.createDataFrame([], COMMIT)
     rows = registry.OPERATOR_QUERIES[name][1](empty).collect()
     assert rows == ([(0,)] if name == "commit_count" else [])
+
+
+ZONE_SENSITIVE = ["weekly_commits", "weekday_commits", "commit_gaps", "commit_age", "commit_delay",
+                  "commits_by_committer", "load_commits_jsonl"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_query_matches_oracle_in_other_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = registry.queries()[name](spark, SF)
+        got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = con.execute(registry.oracle_sql()[name])
+    cols = [d[0] for d in res.description]
+    assert got == _rows(cols, res.fetchall())
