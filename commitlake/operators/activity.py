@@ -38,22 +38,23 @@ def author_ranking(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return ranked.select("rank", "author", "n_commits")
 
 
-def commits_by_committer(df: DataFrame, committers: Iterable[str]) -> DataFrame:
+def commits_by_committer(
+    df: DataFrame, committers: Iterable[str], ordered: bool = True
+) -> DataFrame:
     """``committer, sha, timestamp`` of the listed committers, by time.
 
     The name filter reaches a Parquet scan as a pushed ``In`` filter on the
-    nested field. Equal timestamps are ordered by sha.
+    nested field. Equal timestamps are ordered by sha. ``ordered=False``
+    leaves out the global sort (a sampling job and a range shuffle) when the
+    caller does not need the order.
     """
     names = list(committers)
-    return (
-        df.where(F.col(COMMITTER).isin(names))
-        .select(
-            F.col(COMMITTER).alias("committer"),
-            F.col(SHA).alias("sha"),
-            F.col(COMMITTED).alias("timestamp"),
-        )
-        .orderBy("timestamp", "sha")
+    rows = df.where(F.col(COMMITTER).isin(names)).select(
+        F.col(COMMITTER).alias("committer"),
+        F.col(SHA).alias("sha"),
+        F.col(COMMITTED).alias("timestamp"),
     )
+    return rows.orderBy("timestamp", "sha") if ordered else rows
 
 
 def weekly_commits(df: DataFrame, iso_year: bool = False) -> DataFrame:
@@ -91,7 +92,7 @@ def commit_age(df: DataFrame, snapshot) -> DataFrame:
     return df.withColumn("age", F.lit(_epoch(snapshot)) - epoch_seconds(COMMITTED))
 
 
-def commit_gaps(df: DataFrame, committer: str | None = None) -> DataFrame:
+def commit_gaps(df: DataFrame, committer: str | None = None, ordered: bool = True) -> DataFrame:
     """All columns plus ``time_diff``, calendar days since the
     committer's previous commit (0 for the first one), in time order.
 
@@ -114,6 +115,10 @@ def commit_gaps(df: DataFrame, committer: str | None = None) -> DataFrame:
       instant (one per day, more only for equal timestamps or copies of one
       commit) the smallest (sha, url) takes the gap, chosen by a window over
       just those rows.
+
+    ``ordered=False`` leaves out the final global sort (a sampling job and a
+    range shuffle of all rows) when the caller does not need the order; the
+    values are the same.
     """
     if committer is not None:
         df = df.where(F.col(COMMITTER) == committer)
@@ -144,11 +149,8 @@ def commit_gaps(df: DataFrame, committer: str | None = None) -> DataFrame:
     first = joined.where(~is_later).withColumn(
         "time_diff", F.when(F.row_number().over(first_instant) == 1, gap).otherwise(F.lit(0))
     )
-    return (
-        later.unionByName(first)
-        .drop("_key", "_first_at", "_prev_day")
-        .orderBy(F.col(COMMITTED), F.col(SHA), F.col(URL))
-    )
+    result = later.unionByName(first).drop("_key", "_first_at", "_prev_day")
+    return result.orderBy(F.col(COMMITTED), F.col(SHA), F.col(URL)) if ordered else result
 
 
 def weekday_commits(df: DataFrame) -> DataFrame:

@@ -169,3 +169,14 @@ def test_weekly_commits_iso_year_option(commits):
     df = commits([commit("a", date="2018-12-31T10:00:00"), commit("b", date="2021-01-02T10:00:00")])
     got = sorted(tuple(r) for r in ops.weekly_commits(df, iso_year=True).collect())
     assert got == [("repo", 1, 2019, 1), ("repo", 53, 2020, 1)]
+
+
+def test_unordered_variants_give_the_same_rows(commits):
+    rows = [commit(f"s{i}", committer=f"c{i % 3}", date=f"2019-01-{1 + i % 9:02d}T0{i % 10}:00:00") for i in range(40)]
+    df = commits(rows)
+    a = sorted(tuple(r) for r in ops.commit_gaps(df).select("sha", "time_diff").collect())
+    b = sorted(tuple(r) for r in ops.commit_gaps(df, ordered=False).select("sha", "time_diff").collect())
+    assert a == b
+    assert "rangepartitioning" not in ops.commit_gaps(df, ordered=False)._jdf.queryExecution().executedPlan().toString()
+    c = sorted(tuple(r) for r in ops.commits_by_committer(df, ["c1"], ordered=False).collect())
+    assert c == sorted(tuple(r) for r in ops.commits_by_committer(df, ["c1"]).collect())
