@@ -16,7 +16,11 @@ task (``Exchange SinglePartition``). This is the DataFrame form of
 4. position = offset of the part + position inside the part.
 
 The order keys must make the order total (e.g. end with a unique name);
-otherwise equal keys get arbitrary, though still unique, positions.
+otherwise equal keys get arbitrary, though still unique, positions, and a
+key shared by many rows cannot be split across parts. A part may hold up to
+2^33 rows (the position inside it is the low 33 bits of
+``monotonically_increasing_id``); choose ``partitions`` so that rows / parts
+stays far below that.
 """
 
 from __future__ import annotations
