@@ -41,6 +41,11 @@ def test_no_unscalable_nodes(table, name):
     assert not summary.flags["nested_loop"], name
     if name not in SINGLE_PARTITION_OK:
         assert summary.single_partition == 0, name
+    # With automatic broadcasts off, a broadcast in the plan is a hint in
+    # the code; the only one allowed is the rank's table of part offsets
+    # (as many rows as parts).
+    if name != "author_ranking":
+        assert summary.broadcasts == 0, name
 
 
 def _q(table, name):
