@@ -61,3 +61,32 @@ def test_file_history_and_commits(commits):
     assert hist == {"rustfmt.toml": (3, 12, 12, 0), "x": (2, 5, 1, 4)}
     shas = sorted(tuple(r) for r in ops.file_commits(df, "gitlab-rs").collect())
     assert shas == [("rustfmt.toml", "a"), ("rustfmt.toml", "b"), ("rustfmt.toml", "b"), ("x", "a"), ("x", "d")]
+
+
+def test_latest_files_random_against_brute_force(commits):
+    import datetime as dt
+    import random
+
+    rng = random.Random(4)
+    rows, best = [], {}
+    for i in range(400):
+        repo = rng.choice(["a", "b"])
+        when = dt.datetime(2019, 1, 1) + dt.timedelta(days=rng.randint(0, 5))  # many equal dates
+        files = []
+        for _ in range(rng.randint(0, 4)):
+            name = rng.choice(["x.py", "y.py", "z", None])
+            fsha = f"f{rng.randint(0, 30)}"
+            status = rng.choice(["added", "removed", "modified"])
+            adds = rng.randint(0, 3)
+            files.append(file(name, sha=fsha, status=status, additions=adds))
+            if name is not None:
+                key = (when, f"c{i:03d}", fsha, status, adds)
+                if (repo, name) not in best or key > best[(repo, name)]:
+                    best[(repo, name)] = key
+        rows.append(commit(f"c{i:03d}", url_=url("o", repo, f"c{i}"), date=when, files=files))
+    got = {
+        (r.repo, r.filename): (r.sha, r.status, r.additions)
+        for r in ops.latest_files(commits(rows), fields=("filename", "sha", "status", "additions"),
+                                  keep_empty_repos=False).collect()
+    }
+    assert got == {k: v[2:] for k, v in best.items()}

@@ -89,3 +89,27 @@ def test_fork_points_copies_counted(commits):
     ])
     got = sorted(tuple(r) for r in ops.fork_points(df).collect())
     assert got == [("other/r", "fork/r", "p", "c", 1), ("up/r", "fork/r", "p", "c", 2)]
+
+
+def test_fork_points_random_against_brute_force(commits):
+    rng = random.Random(9)
+    rows, raw = [], []
+    repos = [("o1", "r"), ("o2", "r"), ("o3", "s")]
+    for i in range(500):
+        sha = f"s{rng.randint(0, 250)}"  # repeats: copies of one commit
+        owner, repo = rng.choice(repos)
+        parents = [f"s{rng.randint(0, 250)}" for _ in range(rng.randint(0, 2))]
+        rows.append(commit(sha, url_=url(owner, repo, sha), parents=parents))
+        raw.append((sha, f"{owner}/{repo}", parents))
+    bag = {}
+    for child_sha, child_repo, parents in raw:
+        for p in parents:
+            for parent_sha, parent_repo, _ in raw:
+                if parent_sha == p and parent_repo != child_repo:
+                    key = (parent_repo, child_repo, parent_sha, child_sha)
+                    bag[key] = bag.get(key, 0) + 1
+    got = {}
+    for r in ops.fork_points(commits(rows)).collect():
+        key = (r.parent_repo_name, r.child_repo_name, r.parent_sha, r.child_sha)
+        got[key] = got.get(key, 0) + r.n
+    assert got == bag
