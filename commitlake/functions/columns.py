@@ -9,17 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from commitlake.fixed import (  # noqa: F401  (re-exported)
+    NO_REPO,
+    OWNER_REPO_PATTERN,
+    REPO_FULL_PATTERN,
+    REPO_NAME_PATTERN,
+    UNKNOWN_EXTENSION,
+)
 from commitlake.functions._util import as_col
 
-# Fixed values that results depend on: the three url patterns, the default
-# repository names and the text for a missing file extension.
-REPO_NAME_PATTERN = r".*/repos/[^/]+/([^/]+)/.*"
-REPO_FULL_PATTERN = r".*/repos/([^/]+/[^/]+)/.*"
-OWNER_REPO_PATTERN = r".*/repos/([^/]+)/([^/]+)/.*"
-NO_REPO = "norepo"
-UNKNOWN_EXTENSION = "unknown"
-
-
 REPOS_MARK = "/repos/"
 # Line terminators: ``.`` in the patterns does not match them.
 _LINE_BREAKS = ("\n", "\r", "\u0085", "\u2028", "\u2029")

@@ -16,12 +16,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.functions import NO_REPO, repo_full, vertex_id
+from commitlake.fixed import DEVELOPER, NO_REPO, REPOSITORY
+from commitlake.functions import repo_full, vertex_id
 from commitlake.operators._paths import COMMITTER, URL
 
-DEVELOPER = "developer"
-REPOSITORY = "repository"
-
 
 def _pairs(df: DataFrame) -> DataFrame:
     return df.select(

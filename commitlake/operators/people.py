@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commitlake.functions import NO_REPO, repo_name, repo_owner_and_name, stat_or_zero, url_piece_owner
+from commitlake.fixed import REVERT_WORD
 from commitlake.operators._paths import AUTHOR, COMMITTER, MESSAGE, URL
 
 STAT_FIELDS = ("total", "additions", "deletions")
@@ -78,9 +79,9 @@ def revert_streaks(df: DataFrame) -> DataFrame:
     streak is the number of ``Revert`` occurrences anywhere in the message
     (so ``Reverted`` counts too). Columns ``author, streak, n``.
     """
-    streaks = df.where(F.col(MESSAGE).startswith("Revert")).select(
+    streaks = df.where(F.col(MESSAGE).startswith(REVERT_WORD)).select(
         F.col(AUTHOR).alias("author"),
-        F.regexp_count(F.col(MESSAGE), F.lit("Revert")).alias("streak"),
+        F.regexp_count(F.col(MESSAGE), F.lit(REVERT_WORD)).alias("streak"),
     )
     per_streak = streaks.groupBy("author", "streak").agg(F.count(F.lit(1)).alias("n"))
     # Input is one row per (author, streak length): small.
