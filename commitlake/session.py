@@ -51,7 +51,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     bench on one machine) gets a fresh folder of its own, because a
     machine-local folder is not reachable from other executors.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns the checkpoint folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server") from None
+        return configured
     configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if not sc.getCheckpointDir():
