@@ -92,6 +92,10 @@ def commit_age(df: DataFrame, snapshot) -> DataFrame:
     return df.withColumn("age", F.lit(_epoch(snapshot)) - epoch_seconds(COMMITTED))
 
 
+# Copies of one row are re-generated at most this many per array.
+_COPY_CHUNK = 4096
+
+
 def commit_gaps(df: DataFrame, committer: str | None = None, ordered: bool = True) -> DataFrame:
     """All columns plus ``time_diff``, calendar days since the
     committer's previous commit (0 for the first one), in time order.
@@ -114,7 +118,10 @@ def commit_gaps(df: DataFrame, committer: str | None = None, ordered: bool = Tru
     * rows after the first instant of their day get 0. Of the rows at that
       instant (one per day, more only for equal timestamps or copies of one
       commit) the smallest (sha, url) takes the gap, chosen by a window over
-      just those rows.
+      just those rows after identical rows are counted by a partial
+      aggregate; the copies are then generated again, in bounded chunks,
+      with a copy index that also ends the final sort key. (Copies at a
+      later instant of a day keep equal sort keys and share one sort task.)
 
     ``ordered=False`` leaves out the final global sort (a sampling job and a
     range shuffle of all rows) when the caller does not need the order; the
@@ -138,19 +145,48 @@ def commit_gaps(df: DataFrame, committer: str | None = None, ordered: bool = Tru
     # branches below read the one shuffle of the rows by (committer, day).
     # (A row without a date is compared as not later: it gets 0.)
     is_later = F.coalesce(F.col(COMMITTED) > F.col("_first_at"), F.lit(False))
-    gap = F.coalesce(F.datediff(F.col("_key.day"), F.col("_prev_day")), F.lit(0))
 
-    later = joined.where(is_later).withColumn("time_diff", F.lit(0))
+    later = (
+        joined.where(is_later)
+        .withColumn("time_diff", F.lit(0))
+        .withColumn("_copy", F.lit(0).cast("bigint"))
+        .drop("_key", "_first_at", "_prev_day")
+    )
     # Rows at the first instant of their day: usually one; the smallest sha
-    # (then url, for copies of one commit) takes the gap. Only these rows
-    # are shuffled again, by a key the join's partitioning does not imply,
+    # (then url) takes the gap. Identical rows (copies of one commit, which
+    # may be a large share of all rows) are first counted by a partial
+    # aggregate, so they cross the next shuffles as one row each. Grouping by
+    # the row's own columns rather than ``_key`` makes that a new shuffle,
     # so the join above stays free to be split by skew handling.
-    first_instant = Window.partitionBy(F.struct("_key", "_first_at")).orderBy(F.col(SHA), F.col(URL))
-    first = joined.where(~is_later).withColumn(
-        "time_diff", F.when(F.row_number().over(first_instant) == 1, gap).otherwise(F.lit(0))
+    distinct_first = joined.where(~is_later).groupBy(*df.columns, "_first_at", "_prev_day").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    first_instant = Window.partitionBy(
+        F.col(COMMITTER), commit_day(COMMITTED), F.col("_first_at")
+    ).orderBy(F.col(SHA), F.col(URL))
+    day_gap = F.coalesce(F.datediff(commit_day(COMMITTED), F.col("_prev_day")), F.lit(0))
+    # One row per copy again, generated in chunks of at most _COPY_CHUNK
+    # indices so no array grows with the number of copies; copy 0 of the
+    # first distinct row takes the gap.
+    n = F.col("_n")
+    first = (
+        distinct_first.withColumn("_first", F.row_number().over(first_instant) == 1)
+        .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / _COPY_CHUNK))).alias("_chunk"))
+        .select(
+            "*",
+            F.explode(
+                F.sequence(F.col("_chunk") * _COPY_CHUNK, F.least(n, (F.col("_chunk") + 1) * _COPY_CHUNK) - 1)
+            ).alias("_copy"),
+        )
+        .withColumn("time_diff", F.when(F.col("_first") & (F.col("_copy") == 0), day_gap).otherwise(F.lit(0)))
+        .select(*df.columns, "time_diff", "_copy")
     )
-    result = later.unionByName(first).drop("_key", "_first_at", "_prev_day")
-    return result.orderBy(F.col(COMMITTED), F.col(SHA), F.col(URL)) if ordered else result
+    result = later.unionByName(first)
+    if not ordered:
+        return result.drop("_copy")
+    # The copy index ends the sort key, so the range partitioning can split
+    # copies of one commit at a first instant across tasks.
+    return result.orderBy(F.col(COMMITTED), F.col(SHA), F.col(URL), F.col("_copy")).drop("_copy")
 
 
 def weekday_commits(df: DataFrame) -> DataFrame:

@@ -154,6 +154,21 @@ def test_commit_gaps_copies_of_one_commit(commits):
     assert got == [("p", 0), ("x", 0), ("x", 0), ("x", 4), ("y", 0)]
 
 
+def test_commit_gaps_many_copies_counted_before_the_window(commits):
+    # copies of one commit at the first instant of a day: counted by a
+    # partial aggregate, generated again after the window, one takes the gap
+    copy = commit("x", committer="c", date="2019-01-05T10:00:00")
+    rows = [commit("p", committer="c", date="2019-01-01T10:00:00")] + [copy] * 5000
+    rows.append(commit("y", committer="c", date="2019-01-05T11:00:00"))
+    out = ops.commit_gaps(commits(rows))
+    got = [(r.sha, r.time_diff) for r in out.select("sha", "time_diff").collect()]
+    assert len(got) == 5002
+    assert got[0] == ("p", 0) and got[-1] == ("y", 0)
+    assert sorted(got[1:-1]) == [("x", 0)] * 4999 + [("x", 4)]
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in text and "row_number" in text
+
+
 def test_commit_gaps_keeps_rows_without_date(commits):
     df = commits([
         commit("a", committer="c", date="2019-01-01T10:00:00"),
