@@ -169,6 +169,20 @@ def test_commit_gaps_many_copies_counted_before_the_window(commits):
     assert "partial_count" in text and "row_number" in text
 
 
+def test_commit_gaps_one_commit_in_many_forks(commits):
+    # same sha and date in many repositories: the smallest url takes the gap
+    rows = [commit("p", committer="c", date="2019-01-01T10:00:00")]
+    rows += [
+        commit("x", committer="c", date="2019-01-05T10:00:00", url_=f"https://api.github.com/repos/o{i:04d}/r/commits/x")
+        for i in range(3000)
+    ]
+    got = ops.commit_gaps(commits(rows)).select("sha", "url", "time_diff").collect()
+    assert len(got) == 3001
+    gaps = [(r.sha, r.url) for r in got if r.time_diff != 0]
+    assert gaps == [("x", "https://api.github.com/repos/o0000/r/commits/x")]
+    assert [r.url for r in got[1:]] == sorted(r.url for r in got[1:])
+
+
 def test_commit_gaps_keeps_rows_without_date(commits):
     df = commits([
         commit("a", committer="c", date="2019-01-01T10:00:00"),
