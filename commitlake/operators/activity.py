@@ -12,6 +12,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from commitlake.functions import commit_day, epoch_seconds, repo_name
 from commitlake.operators._paths import AUTHOR, AUTHORED, COMMITTED, COMMITTER, SHA, URL
@@ -96,6 +97,17 @@ def commit_age(df: DataFrame, snapshot) -> DataFrame:
 _COPY_CHUNK = 4096
 
 
+def _groupable(data_type: T.DataType) -> bool:
+    """Whether Spark can group by a column of this type (no map inside)."""
+    if isinstance(data_type, T.MapType):
+        return False
+    if isinstance(data_type, T.StructType):
+        return all(_groupable(f.dataType) for f in data_type.fields)
+    if isinstance(data_type, T.ArrayType):
+        return _groupable(data_type.elementType)
+    return True
+
+
 def commit_gaps(df: DataFrame, committer: str | None = None, ordered: bool = True) -> DataFrame:
     """All columns plus ``time_diff``, calendar days since the
     committer's previous commit (0 for the first one), in time order.
@@ -162,9 +174,13 @@ def commit_gaps(df: DataFrame, committer: str | None = None, ordered: bool = Tru
     # aggregate, so they cross the next shuffles as one row each. Grouping by
     # the row's own columns rather than ``_key`` makes that a new shuffle,
     # so the join above stays free to be split by skew handling.
-    distinct_first = joined.where(~is_later).groupBy(*df.columns, "_first_at", "_prev_day").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    first_rows = joined.where(~is_later)
+    if _groupable(df.schema):
+        distinct_first = first_rows.groupBy(*df.columns, "_first_at", "_prev_day").agg(
+            F.count(F.lit(1)).alias("_n")
+        )
+    else:  # a map column cannot be grouped: every row stands for itself
+        distinct_first = first_rows.drop("_key").withColumn("_n", F.lit(1).cast("bigint"))
     first_instant = Window.partitionBy(
         F.col(COMMITTER), commit_day(COMMITTED), F.col("_first_at")
     ).orderBy(F.col(SHA), F.col(URL))

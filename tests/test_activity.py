@@ -183,6 +183,19 @@ def test_commit_gaps_one_commit_in_many_forks(commits):
     assert [r.url for r in got[1:]] == sorted(r.url for r in got[1:])
 
 
+def test_commit_gaps_with_a_map_column(commits):
+    # a map column cannot be grouped: copies are then not counted first
+    from pyspark.sql import functions as F
+
+    df = commits([
+        commit("p", committer="c", date="2019-01-01T10:00:00"),
+        commit("x", committer="c", date="2019-01-05T10:00:00"),
+        commit("x", committer="c", date="2019-01-05T10:00:00"),
+    ]).withColumn("tags", F.create_map(F.lit("k"), F.col("sha")))
+    got = sorted((r.sha, r.time_diff) for r in ops.commit_gaps(df).collect())
+    assert got == [("p", 0), ("x", 0), ("x", 4)]
+
+
 def test_commit_gaps_keeps_rows_without_date(commits):
     df = commits([
         commit("a", committer="c", date="2019-01-01T10:00:00"),
