@@ -20,7 +20,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(registry.queries()) == set(registry.oracle_sql())
+    assert set(registry.commit_queries()) == set(registry.commit_oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -31,11 +31,11 @@ def con():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(registry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.commit_queries()))
 def test_query_matches_oracle(spark, con, name):
-    df = registry.queries()[name](spark, SF)
+    df = registry.commit_queries()[name](spark, SF)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
-    res = con.execute(registry.oracle_sql()[name])
+    res = con.execute(registry.commit_oracle_sql()[name])
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
     assert got == _rows(cols, res.fetchall())
@@ -59,10 +59,10 @@ def test_query_matches_oracle_in_other_session_zone(spark, con, name):
     old = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
     try:
-        df = registry.queries()[name](spark, SF)
+        df = registry.commit_queries()[name](spark, SF)
         got = _rows(df.columns, [tuple(r) for r in df.collect()])
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
-    res = con.execute(registry.oracle_sql()[name])
+    res = con.execute(registry.commit_oracle_sql()[name])
     cols = [d[0] for d in res.description]
     assert got == _rows(cols, res.fetchall())
