@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import decontaminate
+from commitlake.llm import decontaminate, mixing, url_filter
 from commitlake.llm.common import table
 
 
@@ -28,6 +28,26 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.Mix(docs).report().drop("source")
+
+
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pages with ``good``: the labels of the document that the url's path names
+    (``/en/825``): quality 1 and not toxic; null where it has no labels."""
+    pages, labels = table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels")
+    rated = labels.where("quality IS NOT NULL").groupBy("doc_id")
+    rated = rated.agg((F.min("quality") * (1 - F.coalesce(F.max("toxic"), F.lit(0))) > 0).alias("good"))
+    number = F.regexp_extract(url_filter.path_of(F.col("url")), "^/[^/]*/([0-9]{1,18})", 1)
+    named = pages.withColumn("doc_id", F.when(number != "", number).cast("long"))
+    return named.join(rated, "doc_id", "left")
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(page_outcomes(spark, sf_dir), F.col("good"))
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _OP1 = rf"""
@@ -56,5 +76,53 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hw USING (r) LEFT JOIN hi USING (r)"""
 
-QUERIES = {"op1_decontaminate": op1_decontaminate}
-ORACLE_SQL = {"op1_decontaminate": _OP1}
+_OP6_LEVEL = """
+  SELECT {key}, {parent}, n, good, n + m AS weight, (good + m * mu) / (n + m) AS mean
+  FROM {name}, (
+    SELECT 1 / least(greatest(coalesce((sum(n * pow(good / n - mu, 2)) FILTER (n > 0) - sum(mu * (1 - mu)) FILTER (n > 0))
+               / nullif(sum((n - 1) * mu * (1 - mu)) FILTER (n > 0), 0), 0.001), 0.001), 0.5) - 1 AS m FROM {name})"""
+
+_OP6 = rf"""
+WITH rated AS (
+  SELECT doc_id, min(quality) * (1 - coalesce(max(toxic), 0)) > 0 AS good
+  FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, CASE WHEN url IS NULL OR instr(url, '://') = 0 THEN ''
+                             ELSE substr(url, instr(url, '://') + 3) END AS rest FROM pages)),
+q AS (
+  SELECT p.*, good FROM p LEFT JOIN rated
+  ON rated.doc_id = TRY_CAST(nullif(regexp_extract(path, '^/[^/]*/([0-9]{{1,18}})', 1), '') AS BIGINT)),
+h0 AS (
+  SELECT host, count(good) AS n, count(*) FILTER (good) AS good,
+         regexp_extract(host, '([^.]+\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix
+  FROM q GROUP BY host),
+d0 AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM h0 GROUP BY ALL),
+s0 AS (SELECT suffix, '' AS top, sum(n) AS n, sum(good) AS good,
+              (sum(sum(good)) OVER () + 1) / (sum(sum(n)) OVER () + 2) AS mu FROM d0 GROUP BY suffix),
+s AS ({_OP6_LEVEL.format(key="suffix", parent="top", name="s0")}),
+d1 AS (SELECT d0.*, s.mean AS mu FROM d0 JOIN s USING (suffix)),
+d AS ({_OP6_LEVEL.format(key="domain", parent="suffix", name="d1")}),
+h1 AS (SELECT h0.*, d.mean AS mu FROM h0 JOIN d USING (domain)),
+h AS ({_OP6_LEVEL.format(key="host", parent="domain", name="h1")}),
+v AS (SELECT host, mean + 2.326 * sqrt(mean * (1 - mean) / (weight + 1)) < 0.5
+             AND (SELECT sum(n) FROM h0) > 0 AS blocked FROM h),
+r AS (
+  SELECT page_id, host, path, blocked, CASE
+    WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM q JOIN v USING (host))
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN blocked THEN 'block' ELSE 'allow' END AS verdict
+FROM r"""
+
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op5_mixing": op5_mixing,
+    "op6_url_filter": op6_url_filter,
+}
+ORACLE_SQL = {"op1_decontaminate": _OP1, "op6_url_filter": _OP6}
