@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import decontaminate, mixing, url_filter
-from commitlake.llm.common import table
+from commitlake.llm import decontaminate, mixing, quality_rules, url_filter
+from commitlake.llm.common import cut, table
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,17 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(page_outcomes(spark, sf_dir), F.col("good"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("stratum"), "text")
+    counted = docs.withColumn("x", quality_rules.text_counts(F.col("text").cast("string")))
+    counted = cut(counted.select("doc_id", "stratum", "x.*"))
+    labels = table(spark, sf_dir, "labels").where("quality IS NOT NULL").groupBy("doc_id")
+    labels = labels.agg((F.min("quality") == 1).alias("good"))
+    judged = quality_rules.with_verdict(counted.join(labels, "doc_id", "left"), F.coalesce("good", F.lit(False)))
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *counts, "base_failed", "kept")
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _OP1 = rf"""
@@ -124,5 +135,6 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
+    "op7_quality_rules": op7_quality_rules,
 }
 ORACLE_SQL = {"op1_decontaminate": _OP1, "op6_url_filter": _OP6}
