@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import decontaminate, mixing, quality_rules, url_filter
-from commitlake.llm.common import cut, table
+from commitlake.llm import decontaminate, language_id, mixing, quality_rules, url_filter
+from commitlake.llm.common import crc_mod, cut, table
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,15 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    net = language_id.train(docs.where(crc_mod("doc_id", 4) != 2))
+    return docs.withColumn("x", language_id.language(F.col("text"), net)).select(
+        "doc_id", held_out.alias("held_out"), F.col("x.lang").alias("lang_pred"), "x.score"
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.Mix(docs).report().drop("source")
@@ -133,6 +142,7 @@ FROM r"""
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_language_id": op2_language_id,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
