@@ -6,11 +6,14 @@ its table and derives the digest columns from the operator's output.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import decontaminate, language_id, mixing, quality_rules, url_filter
+from commitlake.llm import decontaminate, language_id, mixing, quality_rules, token_files, url_filter
 from commitlake.llm.common import crc_mod, cut, table
+from commitlake.session import scratch_path
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +40,27 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Fixed values of the token files.
+TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
+
+
+def token_report(docs: DataFrame) -> DataFrame:
+    """Writes token files of ``docs`` to a new folder below the checkpoint folder
+    and reads them back: doc_id, start, n_tokens, ids_crc32."""
+    import public_tokenizers
+
+    path = scratch_path(docs.sparkSession, f"token-files-{uuid.uuid4().hex}")
+    files = token_files.write(docs, path, public_tokenizers.path(TOKENIZER), END_ID)
+    return files.read_all().select(
+        F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.Mix(docs).report().drop("source")
@@ -143,6 +167,7 @@ FROM r"""
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language_id": op2_language_id,
+    "op3_token_files": op3_token_files,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
