@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import decontaminate, language_id, mixing, quality_rules, token_files, url_filter
+from commitlake.llm import decontaminate, jaccard_join, language_id, mixing, quality_rules, token_files, url_filter
 from commitlake.llm.common import crc_mod, cut, table
 from commitlake.session import scratch_path
 
@@ -92,6 +92,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.JaccardJoin(docs).result().withColumnRenamed("n", "n_shingles")
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _OP1 = rf"""
@@ -164,6 +169,22 @@ SELECT page_id, host, path, rule,
             WHEN blocked THEN 'block' ELSE 'allow' END AS verdict
 FROM r"""
 
+_OP8 = rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT r, w[i:i+2] AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 0) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+l AS (
+  SELECT x, y FROM (SELECT a.r AS x, b.r AS y, count(*) AS o FROM s a JOIN s b USING (g) WHERE a.r <> b.r GROUP BY ALL)
+  JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * o >= 90 * (p.n + q.n - o)),
+c AS (SELECT r, r AS o FROM d UNION SELECT c.r, l.y FROM c JOIN l ON l.x = c.o)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(e.doc_id) AS component_id
+FROM c JOIN d USING (r) JOIN d e ON e.r = c.o LEFT JOIN n ON n.r = d.r GROUP BY d.r, d.doc_id, n.n"""
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language_id": op2_language_id,
@@ -171,5 +192,6 @@ QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
+    "op8_jaccard_join": op8_jaccard_join,
 }
-ORACLE_SQL = {"op1_decontaminate": _OP1, "op6_url_filter": _OP6}
+ORACLE_SQL = {"op1_decontaminate": _OP1, "op6_url_filter": _OP6, "op8_jaccard_join": _OP8}
