@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +16,16 @@ from commitlake.session import ensure_checkpoint_dir
 SPACES = b" \t\n\x0b\x0c\r"
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers on this machine import the package wherever the
+    session was started; on a cluster the package is installed or shipped."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    if spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
