@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import decontaminate, jaccard_join, language_id, mixing, quality_rules, token_files, url_filter
+from commitlake.llm import decontaminate, jaccard_join, language_id, mixing, quality_classifier, quality_rules, token_files, toxicity, url_filter
 from commitlake.llm.common import crc_mod, cut, table
 from commitlake.session import scratch_path
 
@@ -97,6 +97,23 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.JaccardJoin(docs).result().withColumnRenamed("n", "n_shingles")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    model = toxicity.train(docs, labels.where(crc_mod("doc_id", 5) != 0))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.toxicity(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False))
+    model = quality_classifier.train(docs, labels.where(crc_mod("doc_id", 4) != 2))
+    score = quality_classifier.quality(F.col("text"), spark.sparkContext.broadcast(model))
+    scored = docs.select("doc_id", held_out.alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _OP1 = rf"""
@@ -193,5 +210,7 @@ QUERIES = {
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_toxicity": op9_toxicity,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE_SQL = {"op1_decontaminate": _OP1, "op6_url_filter": _OP6, "op8_jaccard_join": _OP8}
