@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import decontaminate, jaccard_join, language_id, mixing, quality_classifier, quality_rules, token_files, toxicity, url_filter
+from commitlake.llm import decontaminate, jaccard_join, language_id, mixing, quality_classifier, quality_rules, secret_scan, token_files, toxicity, url_filter
 from commitlake.llm.common import crc_mod, cut, table
 from commitlake.session import scratch_path
 
@@ -61,6 +61,21 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        *map(count, ("assign", "access", "hex")),
+        F.sha2(secret_scan.joined(base), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.Mix(docs).report().drop("source")
@@ -206,6 +221,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_language_id": op2_language_id,
     "op3_token_files": op3_token_files,
+    "op4_secret_scan": op4_secret_scan,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
     "op7_quality_rules": op7_quality_rules,
