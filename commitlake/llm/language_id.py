@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import struct_array, text_bytes
+from commitlake.llm.common import free_name, struct_array, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -37,6 +37,8 @@ EPOCHS = 5
 #: Windows that a task holds at once.
 _BLOCK = 64
 UNKNOWN = "und"
+#: Scores below this are uncertain: hardly better than a guess among three.
+MIN_SCORE = 0.35
 
 _IS_LETTER = np.zeros(256, np.float32)
 _IS_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
@@ -217,6 +219,16 @@ def language(text: Column, net: ByteNet) -> Column:
     return F.arrow_udf(predict, "lang string, score double").asNondeterministic()(text.cast("string"))
 
 
+def accepted(docs: DataFrame, net: ByteNet, least: float = MIN_SCORE) -> DataFrame:
+    """The rows of ``docs`` in a known language with a score of ``least`` at least;
+    all rows where the network has learned no language."""
+    if not net.classes:
+        return docs
+    own = free_name(docs.columns, "found_language")
+    known = (F.col(f"{own}.lang") != UNKNOWN) & (F.col(f"{own}.score") >= least)
+    return docs.withColumn(own, language(F.col("text"), net)).where(known).drop(own)
+
+
 def _parts(texts: list, size: int = 4_000_000) -> Iterator[list]:
     """The texts in runs of about ``size`` bytes."""
     part, held = [], 0

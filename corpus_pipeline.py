@@ -1,12 +1,68 @@
-"""Training-data pipeline over ``documents`` (stages are added as they are built)."""
+"""Training-data pipeline over ``documents``.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
+as Parquet and read again as the next stage's ``docs``; all but the last return
+the columns of ``documents``:
+
+1. language ID: documents without a language, or with an uncertain one, go;
+2. n-gram Jaccard join: one document of each group of near copies stays;
+3. benchmark decontamination: documents with a benchmark window go;
+4. mixing: documents as often as the mix takes them;
+5. token ids: files of the mix; a row for each of its documents, read back.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from commitlake.llm import decontaminate, jaccard_join, language_id, mixing
+from commitlake.llm.common import importable, table
+from commitlake.llm.queries import token_report
+from commitlake.session import scratch_path
+
+
+def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return language_id.accepted(docs, language_id.train(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return jaccard_join.one_of_each(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), mode="drop")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
+    return token_report(docs)
+
+
+STAGES = [
+    ("language ID", detect_language),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_benchmark),
+    ("mixing sources", mix_sources),
+    ("token ids", write_tokens),
+]
+
+#: The language network, the sampling hash and the tokenizer are not in SQL; the
+#: tests hold every stage against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    folder = scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
+    for i, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
+    return docs

@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from helpers import awkward, empty, random_text
+from pyspark.sql import functions as F
+
+from commitlake.llm import mixing as M
+
+
+def brute_targets(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    """Shares by weight; what is above twice a source goes to the others."""
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    w = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, capped = share * sum(sizes.values()), set()
+    while True:
+        open_ = [s for s in order if s not in capped]
+        left = total - sum(most * sizes[s] for s in capped)
+        target = {s: left * w[s] / sum(w[x] for x in open_) for s in open_}
+        above = [s for s in open_ if target[s] > most * sizes[s]]
+        if not above:
+            return {**{s: most * sizes[s] for s in capped}, **target}
+        capped.update(above)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    r = random.Random(2)
+    rows = []
+    for i in range(3000):
+        source = "hot" if i % 3 == 0 else r.choice(["a", "b", "c", None, "\u00fc"])
+        text = random_text(r, r.randrange(1, 60)) + ("$$ ## " * r.randrange(8) if i % 5 == 0 else "")
+        rows.append((i, source, text))
+    return spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(7)
+
+
+def test_targets_and_taken(docs):
+    rows = M.Mix(docs).report().collect()
+    sizes, taken, target = {}, {}, {}
+    for r in rows:
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+        assert 0 <= r.taken <= 2 * r.size and r.taken % max(r.size, 1) == 0
+    assert len(rows) == 3000
+    for s, want in brute_targets(sizes).items():
+        assert target[s] == pytest.approx(want)
+        assert abs(taken[s] - want) <= 60
+    for s in sizes:  # whole epochs come first
+        least = target[s] // sizes[s]
+        assert all(r.taken >= least * r.size for r in rows if r.source == s)
+
+
+def test_sizes_are_words(spark):
+    texts = [None, "", " \t\n", "a", "a\x0bb\x0cc\rd", "a\u00a0b c\x1cd"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").select(M.n_words(F.col("text")))
+    assert [r[0] for r in df.collect()] == [0, 0, 0, 1, 4, 2]
+
+
+def test_partitions_do_not_matter(docs):
+    a = {tuple(r) for r in M.Mix(docs).report().collect()}
+    assert a == {tuple(r) for r in M.Mix(docs.repartition(3).orderBy(F.desc("doc_id"))).report().collect()}
+
+
+def test_better_documents_are_taken_more_often(spark):
+    rows = [(i, "a" if i < 2000 else "b", ("w " * 20) if i % 2 else "w " * 10 + "$$$### " * 10) for i in range(4000)]
+    got = M.Mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), weights=(1, 3), share=0.5).report()
+    share = {r.odd: r.s for r in got.groupBy((F.col("doc_id") % 2 == 1).alias("odd")).agg(F.avg(F.col("taken") / F.col("size")).alias("s")).collect()}
+    assert share[True] > share[False] + 0.1
+
+
+def test_mix_makes_the_rows_that_the_report_takes(docs):
+    want = {(r.doc_id, r.taken // r.size) for r in M.Mix(docs).report().collect() if r.taken}
+    got = {(r.doc_id, r.n) for r in M.mix(docs).groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("chunk", [4096, 7])
+def test_rows_alike_are_split_at_the_budget(spark, monkeypatch, chunk):
+    monkeypatch.setattr(M, "_COPIES", chunk)
+    rows = [(1, "a", "w " * 10)] * 300 + [(i, "a", "v " * 10) for i in range(2, 302)] + [(999, "b", "u " * 6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    mix = M.Mix(docs, weights=(1, 3), share=0.7)
+    report = mix.report().collect()
+    assert len(report) == 601
+    assert abs(sum(r.taken for r in report if r.doc_id != 999) - report[0].target) <= 12000
+    a = [r for r in report if r.source == "a"]
+    assert abs(sum(r.taken for r in a) - a[0].target) <= 10
+    assert M.mix(docs, weights=(1, 3), share=0.7).where("source = 'a'").count() == sum(r.taken for r in a) // 10
+
+
+def test_awkward_rows_and_empty_tables(spark):
+    docs = awkward(spark)
+    assert M.Mix(docs).report().count() == docs.count()
+    mixed = M.mix(docs)
+    assert mixed.columns == docs.columns and mixed.count() > 0
+    assert M.Mix(empty(spark)).report().count() == 0 and M.mix(empty(spark)).count() == 0
+    only = spark.createDataFrame([(1, None, None)], "doc_id long, source string, text string")
+    assert [(r.size, r.source_size, r.target, r.taken) for r in M.Mix(only).report().collect()] == [(0, 0, 0.0, 0)]

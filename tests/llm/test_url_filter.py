@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from commitlake.llm import url_filter as U
+
+URLS = [
+    "http://ththre.EXAMPLE.com/fr/825?page=2", "https://m.a.example.net/en/25#top", "http://a.example.com/de/1", "x.org/fr/1",
+    "https://b.org/fr/9", "http://b.org", "http://c.net", "http://c.net/", "http://net/x", "http://notnet/x", None, "", "a://b://c/d",
+    "http://myexample.net/en/1", "http://example.net/en/", "http://u:p@h.net:80/x?y", "http://\u00dcber.net/x", "://", "http://x?y/z",
+]
+
+
+def brute(url):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    host = re.split(r"[/?#]", rest, maxsplit=1)[0]
+    path = re.split(r"[?#]", rest[len(host) :], maxsplit=1)[0]
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fits = [r for _, r in U.RULES if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[len(r.split("/")[0]) :])]
+    return host, path, max(fits, key=len, default=None)
+
+
+def test_hosts_paths_and_rules(spark):
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    verdict = {r: v for v, r in U.RULES}
+    for r in U.judge(pages, F.lit(None).cast("boolean")).collect():
+        assert (r.host, r.path, r.rule) == brute(URLS[r.page_id]), URLS[r.page_id]
+        assert r.verdict == verdict.get(r.rule, "allow")
+
+
+@pytest.fixture
+def outcomes(spark):
+    rows = []
+    for i in range(40):  # good hosts, and two bad ones
+        bad = i in (3, 7)
+        rows += [(f"h{i}.site{i % 4}.com", (k % 10 == 0) == bad) for k in range(60)]
+    rows += [("few.site1.com", False), ("new.site1.com", None), ("other.org", None), ("", None), (None, True)]
+    return spark.createDataFrame(rows, "host string, good boolean")
+
+
+def test_reputation_blocks_only_hosts_that_are_surely_bad(outcomes):
+    got = {r.host: r for r in U.reputation(outcomes.where("host IS NOT NULL")).collect()}
+    assert {h for h, r in got.items() if r.blocked} == {"h3.site3.com", "h7.site3.com"}
+    # one bad page shrinks towards the domain; unlabelled hosts take their parents' rate
+    assert got["few.site1.com"].mean > 0.5 and got["new.site1.com"].n == 0
+    assert got["few.site1.com"].mean < got["new.site1.com"].mean
+    assert abs(got["new.site1.com"].mean - 0.9) < 0.1
+    assert got["h0.site0.com"].upper > got["h0.site0.com"].mean
+    assert (got["h3.site3.com"].domain, got["h3.site3.com"].suffix) == ("site3.com", "com")
+
+
+def test_suffixes(spark, outcomes):
+    rows = spark.createDataFrame([("a.b.co.uk", True), ("co.uk", True), ("x", True)], "host string, good boolean")
+    got = {r.host: (r.domain, r.suffix) for r in U.reputation(rows, suffixes=("co.uk",)).collect()}
+    assert got == {"a.b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "x": ("x", "x")}
+
+
+def test_empty_repeated_and_unlabelled(spark, outcomes):
+    none = spark.createDataFrame([], "page_id long, url string")
+    assert U.judge(none, F.lit(True)).count() == 0
+    assert not U.reputation(outcomes.where("good IS NULL AND host IS NOT NULL")).where("blocked").count()
+    pages = spark.createDataFrame([(1, "http://a.b/c", "x")] * 3, "page_id long, url string, host string")
+    assert [r.verdict for r in U.judge(pages, F.lit(None).cast("boolean")).collect()] == ["allow"] * 3
