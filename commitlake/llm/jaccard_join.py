@@ -52,9 +52,19 @@ PERCENT = 90
 BLOCK = 256
 #: Words whose hashes a task remembers.
 _WORDS = 400_000
+#: A list is hot from a share of 1 / _HOT of the sampled rows on, and ``_RARE`` rows.
+_HOT, _RARE, _SAMPLED = 100_000, 50, 64
+#: Rows that are broadcast at most (some 32 bytes each).
+_SMALL = 500_000
 _SET = "n long, h1 long, h2 long, lists array<long>"
 
 
+def small(rows: DataFrame) -> DataFrame:
+    """Checkpointed narrow rows, to be broadcast where they are few; where they
+    are more, Spark joins by a shuffle."""
+    return F.broadcast(rows) if rows.count() <= _SMALL else rows
+
+
 class Rule(NamedTuple):
     n: int = N
     percent: int = PERCENT
@@ -207,21 +217,19 @@ class JaccardJoin:
         self.labels = self._labels(made)
 
     def _labels(self, made: DataFrame) -> DataFrame:
-        listed = made.select("h1", F.explode("lists").alias("list"))
-        shared = listed.groupBy("list").agg(F.min("h1").alias("leader"), F.max("h1").alias("last"))
-        shared = shared.where("leader < last").select("list", "leader")
-        # a member's leaders: the smallest members of the lists that it is in
-        pairs = listed.join(shared, "list").where("h1 <> leader").select("h1", "leader").distinct()
-        pairs = cut(pairs)
+        pairs = self._leaders(made)
         wanted = cut(pairs.select("h1").union(pairs.select("leader")).distinct())
         # the texts of one document of each wanted set
         one = made.where("n > 0").join(wanted, "h1").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "t")).alias("one"))
         one = one.select("h1", "h2", F.col("one.doc_id").alias("id"), F.col("one.t").alias("t"))
+        one = cut(one)
         texts = self.texts.withColumnRenamed("t", "t0").join(
-            one, (F.col("t0") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("id"))
+            small(one), (F.col("t0") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("id"))
         )
         sets = cut(texts.select("h1", "h2", _shingle_udf(F.col("text"), self.rule.n).alias("set")))
-        sets = sets.dropDuplicates(["h1", "h2"]).select(F.struct("h1", "h2").alias("node"), "h1", "set")
+        if sets.count() > one.count():  # rows that are repeated as a whole
+            sets = cut(sets.dropDuplicates(["h1", "h2"]))
+        sets = sets.select(F.struct("h1", "h2").alias("node"), "h1", "set")
         pairs = cut(self._measured(pairs, sets))
         near = components(pairs.where("linked").select("a", "b"))
         more = self._outside(pairs, near, sets)
@@ -229,10 +237,35 @@ class JaccardJoin:
             return near
         return components(pairs.where("linked").select("a", "b").union(more))
 
+    def _leaders(self, made: DataFrame) -> DataFrame:
+        """h1, leader: the smallest members of the lists that a set is in.
+
+        Lists are dealt by their key, once for the leaders and the members.
+        A list with very many rows (found by the counts of a sample of rows; at
+        most ``_HOT`` lists) is not dealt: its leader comes from a
+        pre-aggregated minimum and is broadcast to its members.
+        """
+        listed = made.select("h1", F.explode("lists").alias("list"))
+        ends = (F.min("h1").alias("leader"), F.max("h1").alias("last"))
+        some = made.where(F.pmod(F.xxhash64("doc_id", "t"), F.lit(_SAMPLED)) == 0)
+        counts = some.select(F.explode("lists").alias("list")).groupBy("list").count()
+        least = max(_RARE, math.ceil((counts.agg(F.sum("count")).first()[0] or 0) / _HOT))
+        hot = cut(counts.where(F.col("count") >= least).select("list"))
+        heated = not hot.isEmpty()
+        dealt = (listed.join(F.broadcast(hot), "list", "left_anti") if heated else listed).repartition("list")
+        shared = dealt.groupBy("list").agg(*ends).where("leader < last").select("list", "leader")
+        pairs = dealt.join(shared, "list")
+        if heated:
+            top = listed.join(F.broadcast(hot), "list").groupBy("list").agg(*ends).where("leader < last")
+            pairs = pairs.unionByName(listed.join(F.broadcast(cut(top.select("list", "leader"))), "list"))
+        return cut(pairs.where("h1 <> leader").select("h1", "leader").distinct())
+
     def _measured(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """a, b, distance, linked, n_a: each member a and leader b compared."""
         a = sets.select(F.col("node").alias("a"), F.col("h1"), F.col("set").alias("set_a"))
-        b = sets.select(F.col("node").alias("b"), F.col("h1").alias("leader"), F.col("set").alias("set_b"))
+        leaders = small(cut(pairs.select(F.col("leader").alias("h1")).distinct()))
+        b = sets.join(leaders, "h1", "left_semi")
+        b = b.select(F.col("node").alias("b"), F.col("h1").alias("leader"), F.col("set").alias("set_b"))
         rule = self.rule
 
         def compare(x: pa.Array, y: pa.Array) -> pa.Array:
@@ -400,7 +433,8 @@ def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFram
     t = free_name(docs.columns, "text_hash")
     hashed = docs.withColumn(t, F.xxhash64(F.col("text").cast("string")))
     same = hashed["doc_id"].eqNullSafe(F.col("id")) & (hashed[t] == F.col("t"))
-    out = hashed.join(rows.where("NOT stays"), same, "left_anti")
+    gone = small(cut(rows.where("NOT stays")))
+    out = hashed.join(gone, same, "left_anti")
     again = rows.where("stays AND c > 1")
     if again.isEmpty():
         return out.drop(t)
