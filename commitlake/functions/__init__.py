@@ -8,7 +8,6 @@ from commitlake.functions.columns import (
     file_extension,
     repo_full,
     repo_name,
-    repo_owner,
     repo_owner_and_name,
     stat_or_zero,
     url_piece_owner,
@@ -23,7 +22,6 @@ __all__ = [
     "file_extension",
     "repo_full",
     "repo_name",
-    "repo_owner",
     "repo_owner_and_name",
     "stat_or_zero",
     "url_piece_owner",

@@ -72,15 +72,6 @@ def repo_full(url="url", default: str = NO_REPO) -> Column:
     return _with_default(extracted, default)
 
 
-def repo_owner(url="url", default: str = NO_REPO) -> Column:
-    """Owner taken with the same pattern as the full name (owner and repo
-    both present, otherwise ``default``)."""
-    url = as_col(url)
-    fits, owner, _repo = _url_pieces(url)
-    extracted = F.when(fits, owner).otherwise(F.regexp_extract(url, OWNER_REPO_PATTERN, 1))
-    return _with_default(extracted, default)
-
-
 def repo_owner_and_name(url="url", default: str = NO_REPO) -> tuple[Column, Column]:
     """(owner, bare name) from one match of the owner/repo pattern; both are
     ``default`` when the url does not match."""

@@ -8,11 +8,10 @@ O17 commit_delay.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from commitlake.functions import commit_day, epoch_seconds, repo_name
 from commitlake.operators._paths import AUTHOR, AUTHORED, COMMITTED, COMMITTER, SHA, URL
@@ -40,22 +39,27 @@ def author_ranking(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def commits_by_committer(
-    df: DataFrame, committers: Iterable[str], ordered: bool = True
+    df: DataFrame, committers: Iterable[str] | DataFrame, ordered: bool = True
 ) -> DataFrame:
     """``committer, sha, timestamp`` of the listed committers, by time.
 
     The name filter reaches a Parquet scan as a pushed ``In`` filter on the
     nested field. Equal timestamps are ordered by sha. ``ordered=False``
     leaves out the global sort (a sampling job and a range shuffle) when the
-    caller does not need the order.
+    caller does not need the order. A long list of names can be given as a
+    DataFrame (its first column), which is joined instead.
     """
-    names = list(committers)
-    rows = df.where(F.col(COMMITTER).isin(names)).select(
+    if isinstance(committers, DataFrame):
+        names = committers.select(F.col(committers.columns[0]).alias("_name"))
+        rows = df.join(names, F.col(COMMITTER) == F.col("_name"), "left_semi")
+    else:
+        rows = df.where(F.col(COMMITTER).isin(list(committers)))
+    rows = rows.select(
         F.col(COMMITTER).alias("committer"),
         F.col(SHA).alias("sha"),
         F.col(COMMITTED).alias("timestamp"),
     )
-    return rows.orderBy("timestamp", "sha") if ordered else rows
+    return _ordered(rows, "timestamp", "sha") if ordered else rows
 
 
 def weekly_commits(df: DataFrame, iso_year: bool = False) -> DataFrame:
@@ -93,51 +97,40 @@ def commit_age(df: DataFrame, snapshot) -> DataFrame:
     return df.withColumn("age", F.lit(_epoch(snapshot)) - epoch_seconds(COMMITTED))
 
 
-# Copies of one row are re-generated at most this many per array.
-_COPY_CHUNK = 4096
-
-
-def _groupable(data_type: T.DataType) -> bool:
-    """Whether Spark can group by a column of this type (no map inside)."""
-    if isinstance(data_type, T.MapType):
-        return False
-    if isinstance(data_type, T.StructType):
-        return all(_groupable(f.dataType) for f in data_type.fields)
-    if isinstance(data_type, T.ArrayType):
-        return _groupable(data_type.elementType)
-    return True
-
-
-def commit_gaps(df: DataFrame, committer: str | None = None, ordered: bool = True) -> DataFrame:
+def commit_gaps(
+    df: DataFrame,
+    committer: str | None = None,
+    ordered: bool = True,
+    columns: Sequence[str | Column] | None = None,
+) -> DataFrame:
     """All columns plus ``time_diff``, calendar days since the
-    committer's previous commit (0 for the first one), in time order.
+    committer's previous commit (0 for the first one), in time order. With
+    ``columns`` only these (names or expressions over ``df``) are carried, so a
+    caller that needs few fields reads and shuffles no others.
 
     With ``committer`` only that committer's rows are returned, as in the
     reference; without it every committer is handled at once. Commits are
     ordered by (date, sha, url); ``time_diff`` depends on dates only, so the
-    tie-break does not change any value.
+    tie-break does not change any value. A commit without a date gets 0.
 
     A committer, or one committer's day, may hold a large share of all rows,
     so no window runs over the commit rows. A day-difference is non-zero only
     at the first commit of a committer's calendar day:
 
-    * ``days``: one row per (committer, day) with the first instant of the
-      day, a hash aggregate with partial aggregation; ``lag`` over these rows
-      (partitioned by committer: at most one row per calendar day) gives the
-      previous active day;
-    * the commit rows are joined to ``days`` on (committer, day); adaptive
-      execution splits a skewed join key;
-    * rows after the first instant of their day get 0. Of the rows at that
-      instant (one per day, more only for equal timestamps or copies of one
-      commit) the smallest (sha, url) takes the gap, chosen by a window over
-      just those rows after identical rows are counted by a partial
-      aggregate; the copies are then generated again, in bounded chunks,
-      with a copy index that also ends the final sort key. (Copies at a
-      later instant of a day keep equal sort keys and share one sort task;
-      one commit in many forks -- same sha and date, other urls -- gives
-      distinct rows that share one window partition. A partial ``min`` per
-      instant joined back avoids that window but doubled the time on
-      unskewed input, so it was not kept.)
+    * the keys (committer, date, sha, url) are counted, then reduced to the
+      smallest of each (committer, day), both with partial aggregation;
+      ``lag`` over these days (partitioned by committer: at most one row per
+      calendar day) gives the previous active day;
+    * the commit rows are joined to the days on (committer, day); adaptive
+      execution splits a skewed join key. The row with the smallest key takes
+      the gap; it is an expression over the joined row;
+    * where that key has copies, exactly one of them takes the gap. Only such
+      rows pass through a second join and two small windows: first within
+      (committer, day, task), then over one row of each task. Without copies
+      that branch is empty, and adaptive execution drops its join.
+
+    Other columns than the keys are only carried along, so columns of any
+    type are allowed.
 
     ``ordered=False`` leaves out the final global sort (a sampling job and a
     range shuffle of all rows) when the caller does not need the order; the
@@ -145,68 +138,47 @@ def commit_gaps(df: DataFrame, committer: str | None = None, ordered: bool = Tru
     """
     if committer is not None:
         df = df.where(F.col(COMMITTER) == committer)
-    rows = df.withColumn(
-        "_key", F.struct(F.col(COMMITTER).alias("who"), commit_day(COMMITTED).alias("day"))
-    )
+    key = F.struct(F.col(COMMITTED).alias("at"), F.col(SHA).alias("sha"), F.col(URL).alias("url"))
+    who_day = F.struct(F.col(COMMITTER).alias("who"), commit_day(COMMITTED).alias("day"))
+    rows = df.select(*(columns or ["*"]), who_day.alias("_key"), key.alias("_own"))
+    out = [F.col(f"`{c}`") for c in rows.columns[:-2]]
 
+    counted = rows.groupBy("_key", "_own").agg(F.count(F.lit(1)).alias("n"))
     by_committer = Window.partitionBy("_key.who").orderBy("_key.day")
     days = (
-        rows.groupBy("_key")
-        .agg(F.min(COMMITTED).alias("_first_at"))
+        counted.groupBy("_key")
+        .agg(F.min(F.struct("_own", "n")).alias("_first"))
         .withColumn("_prev_day", F.lag("_key.day").over(by_committer))
     )
+    is_first = F.col("_own.at").isNotNull() & (F.col("_own") == F.col("_first._own"))
+    copied = F.col("_first.n") > 1
+    gap = F.coalesce(F.datediff(F.col("_key.day"), F.col("_prev_day")), F.lit(0))
+
     joined = rows.join(days, "_key")
-    # ``_first_at`` is the minimum date of the day, so "not after it" means
-    # "equal". Written without '=', the test stays a filter and both
-    # branches below read the one shuffle of the rows by (committer, day).
-    # (A row without a date is compared as not later: it gets 0.)
-    is_later = F.coalesce(F.col(COMMITTED) > F.col("_first_at"), F.lit(False))
-
-    later = (
-        joined.where(is_later)
-        .withColumn("time_diff", F.lit(0))
-        .withColumn("_copy", F.lit(0).cast("bigint"))
-        .drop("_key", "_first_at", "_prev_day")
-    )
-    # Rows at the first instant of their day: usually one; the smallest sha
-    # (then url) takes the gap. Identical rows (copies of one commit, which
-    # may be a large share of all rows) are first counted by a partial
-    # aggregate, so they cross the next shuffles as one row each. Grouping by
-    # the row's own columns rather than ``_key`` makes that a new shuffle,
-    # so the join above stays free to be split by skew handling.
-    first_rows = joined.where(~is_later)
-    if _groupable(df.schema):
-        distinct_first = first_rows.groupBy(*df.columns, "_first_at", "_prev_day").agg(
-            F.count(F.lit(1)).alias("_n")
-        )
-    else:  # a map column cannot be grouped: every row stands for itself
-        distinct_first = first_rows.drop("_key").withColumn("_n", F.lit(1).cast("bigint"))
-    first_instant = Window.partitionBy(
-        F.col(COMMITTER), commit_day(COMMITTED), F.col("_first_at")
-    ).orderBy(F.col(SHA), F.col(URL))
-    day_gap = F.coalesce(F.datediff(commit_day(COMMITTED), F.col("_prev_day")), F.lit(0))
-    # One row per copy again, generated in chunks of at most _COPY_CHUNK
-    # indices so no array grows with the number of copies; copy 0 of the
-    # first distinct row takes the gap.
-    n = F.col("_n")
-    first = (
-        distinct_first.withColumn("_first", F.row_number().over(first_instant) == 1)
-        .select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((n - 1) / _COPY_CHUNK))).alias("_chunk"))
-        .select(
-            "*",
-            F.explode(
-                F.sequence(F.col("_chunk") * _COPY_CHUNK, F.least(n, (F.col("_chunk") + 1) * _COPY_CHUNK) - 1)
-            ).alias("_copy"),
-        )
-        .withColumn("time_diff", F.when(F.col("_first") & (F.col("_copy") == 0), day_gap).otherwise(F.lit(0)))
-        .select(*df.columns, "time_diff", "_copy")
+    plain = joined.where(~(is_first & copied)).withColumn("time_diff", F.when(is_first, gap).otherwise(F.lit(0)))
+    # One of the copies of a first key: the first of its task's copies, then
+    # of the tasks'. Which one is chosen makes no difference but for columns
+    # in which rows with equal keys differ.
+    copies = rows.join(days.where(copied & F.col("_first._own.at").isNotNull()), "_key").where(is_first)
+    in_task = Window.partitionBy("_key", "_task").orderBy("_own")
+    of_tasks = Window.partitionBy("_key", F.when(F.col("_rn") == 1, F.lit(-1)).otherwise(F.col("_task"))).orderBy("_task")
+    copies = (
+        copies.withColumn("_task", F.spark_partition_id())
+        .withColumn("_rn", F.row_number().over(in_task))
+        .withColumn("_takes", (F.col("_rn") == 1) & (F.row_number().over(of_tasks) == 1))
+        .withColumn("time_diff", F.when(F.col("_takes"), gap).otherwise(F.lit(0)))
     )
-    result = later.unionByName(first)
-    if not ordered:
-        return result.drop("_copy")
-    # The copy index ends the sort key, so the range partitioning can split
-    # copies of one commit at a first instant across tasks.
-    return result.orderBy(F.col(COMMITTED), F.col(SHA), F.col(URL), F.col("_copy")).drop("_copy")
+    result = plain.select(*out, "time_diff", "_own").union(copies.select(*out, "time_diff", "_own"))
+    if ordered:
+        result = _ordered(result, "_own.at", "_own.sha", "_own.url")
+    return result.drop("_own")
+
+
+def _ordered(df: DataFrame, *keys: str) -> DataFrame:
+    """Global sort; rows with equal keys may be split over tasks, as a row
+    number (of no meaning) ends the sort key."""
+    numbered = df.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.orderBy(*(F.col(k) for k in keys), "_row").drop("_row")
 
 
 def weekday_commits(df: DataFrame) -> DataFrame:

@@ -81,9 +81,10 @@ def latest_files(
     files = narrowed.select("repo", "_date", "_commit_sha", F.inline("_files")).where(
         F.col("_f_filename").isNotNull()
     )
-    # Every carried field takes part in the order, so only rows equal in all
-    # output columns can tie: the result does not depend on which one wins.
-    rest = [name for name in carried if name not in _TIE_FIELDS and name != "filename"]
+    # Every carried field but the patch text takes part in the order, so only
+    # rows equal in all other output columns can tie. The patch is left out:
+    # it would be compared and sorted with every candidate.
+    rest = [name for name in carried if name not in (*_TIE_FIELDS, "filename", "patch")]
     # File name first: it varies far more than the repository, so the sort
     # prefix (first bytes of the first key) decides most comparisons.
     newest_first = Window.partitionBy("_f_filename", "repo").orderBy(
@@ -98,7 +99,8 @@ def latest_files(
     )
     if not keep_empty_repos:
         return latest
-    named = F.coalesce(F.exists(F.col("files.filename"), lambda name: name.isNotNull()), F.lit(False))
+    # array_max skips NULL and stays inside generated code, unlike a lambda
+    named = F.array_max(F.col("files.filename")).isNotNull()
     empty = (
         df.groupBy(repo_name(URL, default=NO_REPO).alias("repo"))
         .agg(F.max(named).alias("_named"))

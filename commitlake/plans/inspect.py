@@ -15,8 +15,11 @@ from pyspark.sql import DataFrame
 
 # Plan nodes that stop a query from scaling out, when found over row data.
 RED_FLAGS = {
-    "single_partition": re.compile(r"Exchange SinglePartition"),
-    "python_udf": re.compile(r"BatchEvalPython|ArrowEvalPython"),
+    # in formatted text the node and its partitioning are on different lines
+    "single_partition": re.compile(r"Arguments: SinglePartition"),
+    "python_udf": re.compile(
+        r"BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroupsIn|FlatMapCoGroupsIn|AggregateInPandas|WindowInPandas"
+    ),
     "cartesian": re.compile(r"CartesianProduct"),
     "nested_loop": re.compile(r"BroadcastNestedLoopJoin"),
 }

@@ -47,9 +47,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     The cluster names it in ``spark.checkpoint.dir``; that value is always
-    used as it is. Only a local-mode session without the setting (tests, the
-    bench on one machine) gets a fresh folder of its own, because a
-    machine-local folder is not reachable from other executors.
+    used as it is. Only a local-mode session without the setting (one process,
+    as in tests) gets a fresh folder of its own; elsewhere a missing setting is
+    an error, because a machine-local folder is not reachable from other
+    executors. Spark removes checkpoint files once their frames are gone where
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on, as in
+    ``LOCAL_CONF``; a cluster's session should set it too.
     """
     try:
         sc = spark.sparkContext
@@ -63,7 +66,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; name a shared folder for the cluster"
         )

@@ -1,21 +1,33 @@
 """Read commit records.
 
 The records come as JSON (one pretty-printed document or array per file, or
-JSON Lines) or as Parquet with the nested commit schema. The schema is always
-given to the reader, so there is no inference pass over the data, and both
-dates come out as UTC ``timestamp_ntz``.
+JSON Lines) or as Parquet with the nested commit schema. JSON is always read
+with the commit schema, so there is no inference pass over the data; Parquet
+brings its own. Both dates come out as UTC ``timestamp_ntz``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from commitlake.schema import COMMIT_JSON, normalise_dates
 
 FORMATS = ("json", "jsonl", "parquet")
 
 
-def load_commits(spark: SparkSession, path: str | list[str], fmt: str = "json") -> DataFrame:
+def read_json(reader, path, fmt: str, mode: str = "PERMISSIVE", corrupt: str | None = None) -> DataFrame:
+    """JSON commits by a batch or streaming reader (see ``load_commits``)."""
+    schema = COMMIT_JSON if corrupt is None else T.StructType([*COMMIT_JSON.fields, T.StructField(corrupt, T.StringType())])
+    reader = reader.schema(schema).option("mode", mode).option("multiLine", fmt == "json")
+    if corrupt is not None:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    return reader.json(path)
+
+
+def load_commits(
+    spark: SparkSession, path: str | list[str], fmt: str = "json", mode: str = "PERMISSIVE", corrupt: str | None = None
+) -> DataFrame:
     """Load commits from ``path`` (a file, a folder or a list of either).
 
     ``fmt``:
@@ -27,13 +39,14 @@ def load_commits(spark: SparkSession, path: str | list[str], fmt: str = "json")
       read, and filters on them reach the scan.
 
     Malformed dates, a missing ``stats`` and a missing ``files`` come out as
-    NULL.
+    NULL. ``mode`` says what a record that is not JSON becomes: a commit of
+    NULLs, counted like others (``PERMISSIVE``), nothing (``DROPMALFORMED``) or
+    an error (``FAILFAST``). With ``corrupt`` its text is kept in a column of
+    that name.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    if fmt == "json":
-        df = spark.read.schema(COMMIT_JSON).option("multiLine", True).json(paths)
-    elif fmt == "jsonl":
-        df = spark.read.schema(COMMIT_JSON).json(paths)
+    if fmt in ("json", "jsonl"):
+        df = read_json(spark.read, paths, fmt, mode, corrupt)
     elif fmt == "parquet":
         df = spark.read.parquet(*paths)
     else:

@@ -17,9 +17,11 @@ Structured Streaming does not support those shapes.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from commitlake.schema import COMMIT, COMMIT_JSON, normalise_dates
+from commitlake.schema import COMMIT, normalise_dates
+from commitlake.sources.commits import read_json
 
 
 def stream_commits(
@@ -29,12 +31,16 @@ def stream_commits(
     reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if fmt == "json":
-        df = reader.schema(COMMIT_JSON).option("multiLine", True).json(path)
-    elif fmt == "jsonl":
-        df = reader.schema(COMMIT_JSON).json(path)
+    if fmt in ("json", "jsonl"):
+        df = read_json(reader, path, fmt)
     elif fmt == "parquet":
-        df = reader.schema(COMMIT).parquet(path)
+        # a stream needs its schema beforehand: that of the files that are there
+        # (whatever type their dates have), else the commit schema
+        try:
+            schema = spark.read.parquet(path).schema
+        except AnalysisException:
+            schema = COMMIT
+        df = reader.schema(schema).parquet(path)
     else:
         raise ValueError(f"fmt must be json, jsonl or parquet, not {fmt!r}")
     return normalise_dates(df)

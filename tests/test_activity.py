@@ -184,7 +184,7 @@ def test_commit_gaps_one_commit_in_many_forks(commits):
 
 
 def test_commit_gaps_with_a_map_column(commits):
-    # a map column cannot be grouped: copies are then not counted first
+    # a column of any type is only carried along
     from pyspark.sql import functions as F
 
     df = commits([
@@ -196,6 +196,38 @@ def test_commit_gaps_with_a_map_column(commits):
     assert got == [("p", 0), ("x", 0), ("x", 4)]
 
 
+def test_commit_gaps_with_a_variant_column(commits):
+    df = commits([
+        commit("p", committer="c", date="2019-01-01T10:00:00"),
+        commit("x", committer="c", date="2019-01-05T10:00:00"),
+        commit("x", committer="c", date="2019-01-05T10:00:00"),
+    ]).selectExpr("*", "parse_json(concat('{\"a\":\"', sha, '\"}')) AS extra")
+    got = sorted((r.sha, r.time_diff, r.a) for r in ops.commit_gaps(df).selectExpr(
+        "sha", "time_diff", "variant_get(extra, '$.a', 'string') AS a").collect())
+    assert got == [("p", 0, "p"), ("x", 0, "x"), ("x", 4, "x")]
+
+
+def test_commits_by_committer_with_a_frame_of_names(commits, spark):
+    df = commits([commit(f"s{i}", committer=f"c{i % 4}", date=f"2019-01-0{1 + i}T10:00:00") for i in range(8)])
+    names = spark.createDataFrame([("c1",), ("c3",), ("c1",), (None,)], "name string")
+    listed = ops.commits_by_committer(df, ["c1", "c3"]).collect()
+    assert ops.commits_by_committer(df, names).collect() == listed and len(listed) == 4
+
+
+def test_commits_by_committer_copies_keep_their_order(commits):
+    rows = [commit("x", committer="c", date="2019-01-05T10:00:00")] * 3000
+    rows += [commit("a", committer="c", date="2019-01-01T10:00:00"), commit("z", committer="c", date="2019-01-06T10:00:00")]
+    got = [r.sha for r in ops.commits_by_committer(commits(rows), ["c"]).collect()]
+    assert got == ["a"] + ["x"] * 3000 + ["z"]
+
+
+def test_commit_gaps_rows_without_date_stay_out_of_the_windows(commits):
+    rows = [commit(f"n{i}", committer="c", date=None) for i in range(500)] + [commit("n0", committer="c", date=None)] * 500
+    rows += [commit("a", committer="c", date="2019-01-01T10:00:00"), commit("b", committer="c", date="2019-01-03T10:00:00")]
+    out = ops.commit_gaps(commits(rows))
+    assert sorted((r.sha, r.time_diff) for r in out.collect() if r.time_diff) == [("b", 2)] and out.count() == 1002
+
+
 def test_commit_gaps_keeps_rows_without_date(commits):
     df = commits([
         commit("a", committer="c", date="2019-01-01T10:00:00"),

@@ -11,12 +11,16 @@ from commitlake.functions import (
     file_extension,
     repo_full,
     repo_name,
-    repo_owner,
+    repo_owner_and_name,
     url_piece_owner,
     vertex_id,
 )
 
 
+def repo_owner(url, default="norepo"):
+    return repo_owner_and_name(url, default)[0]
+
+
 def java_extension(name):
     """Java ``name.split("\\\\.").drop(1).lastOption.getOrElse("unknown")``."""
     if name is None:

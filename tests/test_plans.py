@@ -6,9 +6,12 @@ off, i.e. the shape the plans have when the inputs are large.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
 from commitlake.plans import plan_text, summarize
@@ -16,10 +19,10 @@ from commitlake.sources import commits_view, load_commits
 
 from conftest import TESTDATA
 
-# Queries allowed one SinglePartition exchange, and why it is bounded:
+# Queries with exactly one SinglePartition exchange, and why it is bounded:
 #   commit_count   - final step of a global count (one partial row per task)
-#   author_ranking - running total over the distinct commit counts (<= sqrt(2N) rows)
-SINGLE_PARTITION_OK = {"commit_count", "author_ranking"}
+#   author_ranking - running total over the part sizes (one row per part)
+SINGLE_PARTITION = {"commit_count": 1, "author_ranking": 1}
 
 
 @pytest.fixture(scope="module")
@@ -39,8 +42,7 @@ def test_no_unscalable_nodes(table, name):
     assert not summary.flags["python_udf"], name
     assert not summary.flags["cartesian"], name
     assert not summary.flags["nested_loop"], name
-    if name not in SINGLE_PARTITION_OK:
-        assert summary.single_partition == 0, name
+    assert summary.single_partition == SINGLE_PARTITION.get(name, 0), name
     # With automatic broadcasts off, a broadcast in the plan is a hint in
     # the code; the only one allowed is the rank's table of part offsets
     # (as many rows as parts).
@@ -48,6 +50,16 @@ def test_no_unscalable_nodes(table, name):
         assert summary.broadcasts == 0, name
 
 
+def test_the_check_can_fail(table):
+    numbered = table.select("sha", F.row_number().over(Window.orderBy("sha")).alias("rn"))
+    assert summarize(numbered).single_partition == 1 and summarize(numbered).flags["single_partition"]
+    mapped = table.select("sha").mapInPandas(lambda it: it, "sha string")
+    grouped = table.select("sha").groupBy("sha").applyInPandas(lambda d: d, "sha string")
+    assert summarize(mapped).flags["python_udf"] and summarize(grouped).flags["python_udf"]
+    pairs = table.select("sha").crossJoin(table.select("url"))
+    assert summarize(pairs).flags["cartesian"] or summarize(pairs).flags["nested_loop"]
+
+
 def _q(table, name):
     return registry.OPERATOR_QUERIES[name][1](table)
 
@@ -71,13 +83,16 @@ READS = {
         "files:array<struct<sha:string,filename:string,status:string,additions:bigint>>>",
         "struct<url:string,files:array<struct<filename:string>>>",
     ],
+    "commit_gaps": [
+        "struct<sha:string,url:string,commit:struct<committer:struct<name:string,date:timestamp_ntz>>>"
+    ],
     "branch_points": ["struct<parents:array<struct<sha:string>>>", "struct<sha:string>"],
 }
 
 
 @pytest.mark.parametrize("name", sorted(READS))
 def test_nested_columns_are_pruned(table, name):
-    assert sorted(summarize(_q(table, name)).read_schemas) == sorted(READS[name])
+    assert sorted(set(summarize(_q(table, name)).read_schemas)) == sorted(READS[name])
 
 
 def test_branch_points_join_adds_no_shuffle(table):
@@ -93,14 +108,16 @@ def test_latest_files_limits_before_the_shuffle(table):
     assert "WindowGroupLimit" in below_exchange
 
 
-def test_commit_gaps_never_groups_by_committer_alone(table):
+def test_commit_gaps_windows_only_days_and_copies(table):
     text = plan_text(_q(table, "commit_gaps"))
-    # Commit rows meet the per-day table in a join keyed by (committer,
-    # day); only the per-day table is partitioned by committer.
-    assert "hashpartitioning(_key" in text
-    assert "hashpartitioning(_key#" in text or "hashpartitioning(_key" in text
-    summary = summarize(_q(table, "commit_gaps"))
-    assert summary.range_exchanges == 1
+    tree = text.split("\n\n", 1)[0]
+    # the rows meet their days in joins by (committer, day); the window by
+    # committer alone is over the aggregated days
+    assert re.search(r"hashpartitioning\(_key#\d+, \d+\)", text)
+    by_committer = re.findall(r"hashpartitioning\(_w\d+#\d+|hashpartitioning\(_key#\d+\.who", text)
+    assert by_committer
+    assert tree.count("SortMergeJoin") == 2
+    assert summarize(_q(table, "commit_gaps")).range_exchanges == 1
 
 
 def test_author_ranking_has_no_global_window(table):
