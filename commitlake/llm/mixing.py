@@ -128,7 +128,7 @@ class Mix:
         sizes = self.units.groupBy("source").agg(
             F.sum(F.col("size") * F.col("c")).alias("source_size"), F.sum("c").alias("n"), *counts
         )
-        epochs = F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0)).cast("long")
+        epochs = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0)).cast("long")
         sources = cut(
             targets(sizes, weights, share, most)
             .withColumn("epochs", epochs)

@@ -106,9 +106,9 @@ def test_awkward_rows_and_empty_tables(spark):
     rows = J.JaccardJoin(docs.select("doc_id", "text")).result().collect()
     assert len(rows) == docs.count()
     by = {(r.doc_id, r.n): r.component_id for r in rows}
-    assert by[0, 0] == 0 and by[1, 0] == 1 and by[None, 0] is None and by[None, 2] is None
-    assert by[6, 29_000 if (6, 29_000) in by else max(n for d, n in by if d == 6)] == 6
-    assert by[7, max(n for d, n in by if d == 7)] == 6
+    assert by[0, 0] == 0 and by[1, 0] == 1 and by[None, 0] is None and by[None, 1] is None
+    long = max(n for _, n in by)
+    assert long > 20_000 and by[6, long] == by[7, long] == 6 and by[3, 1] == 3
     kept = J.one_of_each(docs)
     assert kept.columns == docs.columns
     ids = [r.doc_id for r in kept.collect()]
