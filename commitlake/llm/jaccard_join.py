@@ -429,13 +429,18 @@ def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFram
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
     kept = rows.groupBy("label").agg(F.min(own).alias("kept"))
     rows = rows.groupBy("label", "doc_id", "t").agg(F.count("*").alias("c")).join(kept, "label")
-    rows = cut(rows.select(F.col("doc_id").alias("id"), "t", "c", (own == F.col("kept")).alias("stays")))
-    t = free_name(docs.columns, "text_hash")
+    t, own_id, own_t, times, stays = (
+        free_name(docs.columns, x) for x in ("text_hash", "kept_id", "kept_hash", "kept_times", "kept_stays")
+    )
+    rows = rows.select(
+        F.col("doc_id").alias(own_id), F.col("t").alias(own_t), F.col("c").alias(times), (own == F.col("kept")).alias(stays)
+    )
+    rows = cut(rows)
     hashed = docs.withColumn(t, F.xxhash64(F.col("text").cast("string")))
-    same = hashed["doc_id"].eqNullSafe(F.col("id")) & (hashed[t] == F.col("t"))
-    gone = small(cut(rows.where("NOT stays")))
+    same = hashed["doc_id"].eqNullSafe(F.col(own_id)) & (hashed[t] == F.col(own_t))
+    gone = small(cut(rows.where(~F.col(stays))))
     out = hashed.join(gone, same, "left_anti")
-    again = rows.where("stays AND c > 1")
+    again = rows.where(F.col(stays) & (F.col(times) > 1))
     if again.isEmpty():
         return out.drop(t)
     # a kept document whose row is repeated
