@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +16,8 @@ from commitlake.session import ensure_checkpoint_dir
 #: ASCII white space: the bytes that ``[^\x20\x09-\x0D]+`` leaves out, and the
 #: bytes that ``bytes.split()`` splits at.
 SPACES = b" \t\n\x0b\x0c\r"
+#: Bytes of texts that a task turns into Python objects at once.
+RUN_BYTES = 4_000_000
 
 
 def importable(spark: SparkSession) -> None:
@@ -41,6 +45,17 @@ def text_bytes(texts: pa.Array) -> list:
     return texts.cast(kind).to_pylist()
 
 
+def runs(texts: pa.Array, size: int = RUN_BYTES) -> Iterator[pa.Array]:
+    """The texts in slices of about ``size`` bytes (one longer text at least), so
+    that a task holds few of a batch's texts as Python objects at once."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at, done = 0, 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(ends, done + size, side="right")))
+        yield texts.slice(at, end - at)
+        at, done = end, int(ends[end - 1])
+
+
 def crc_mod(key, n: int) -> Column:
     """crc32 of a column's text form, modulo n (null for null)."""
     key = F.col(key) if isinstance(key, str) else key

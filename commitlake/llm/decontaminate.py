@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commitlake.llm.common import cut, free_name, struct_array, text_bytes
+from commitlake.llm.common import runs as run_of
 
 #: Words of a window.
 N = 10
@@ -169,7 +170,8 @@ def _scanner(broadcast):
     def hits(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, before in batches:
             n, runs, items = [], [], []
-            rows = zip(scan(text_bytes(texts), broadcast.value), before.to_pylist(), strict=True)
+            found = (row for part in run_of(texts) for row in scan(text_bytes(part), broadcast.value))
+            rows = zip(found, before.to_pylist(), strict=True)
             for (size, new, names), old in rows:
                 if old:
                     new = _union(new, [(x["first"], x["last"]) for x in old["runs"]])

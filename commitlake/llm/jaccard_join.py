@@ -44,14 +44,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import cut, free_name, mix64, struct_array, text_bytes
+from commitlake.llm.common import cut, free_name, mix64, runs, struct_array, text_bytes
 
 N = 3
 PERCENT = 90
 #: Sets of one block of comparisons.
 BLOCK = 256
 #: Words whose hashes a task remembers.
-_WORDS = 400_000
+_WORDS = 200_000
 #: A list is hot from a share of 1 / _HOT of the sampled rows on, and ``_RARE`` rows.
 _HOT, _RARE, _SAMPLED = 100_000, 50, 64
 #: Rows that are broadcast at most (some 32 bytes each).
@@ -138,7 +138,7 @@ def _sets(text: Column, rule: Rule) -> Column:
         hashes, starts = _Hashes(), rule.classes(1)
         for texts in batches:
             n, h1, h2, lists = [], [], [], []
-            for body in text_bytes(texts):
+            for body in (t for part in runs(texts) for t in text_bytes(part)):
                 s = shingles(body, rule.n, hashes)
                 if 200 * len(s) >= rule.percent * starts[-2]:
                     starts = rule.classes(400 * len(s) // rule.percent)
@@ -167,7 +167,8 @@ def _shingle_udf(text: Column, n: int) -> Column:
     def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes = _Hashes()
         for texts in batches:
-            yield pa.array([shingles(t, n, hashes).tobytes() for t in text_bytes(texts)], pa.binary())
+            sets = [shingles(t, n, hashes).tobytes() for part in runs(texts) for t in text_bytes(part)]
+            yield pa.array(sets, pa.binary())
 
     return F.arrow_udf(build, "binary").asNondeterministic()(text)
 

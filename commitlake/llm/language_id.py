@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import free_name, struct_array, text_bytes
+from commitlake.llm.common import free_name, runs, struct_array, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -211,7 +211,7 @@ def language(text: Column, net: ByteNet) -> Column:
     """Struct of lang and score."""
 
     def predict(texts: pa.Array) -> pa.Array:
-        rows = [r for part in _parts(text_bytes(texts)) for r in net.predict(part)]
+        rows = [r for part in runs(texts) for r in net.predict(text_bytes(part))]
         return struct_array(
             {"lang": pa.array([r[0] for r in rows], pa.string()), "score": pa.array([r[1] for r in rows], pa.float64())}
         )
@@ -227,16 +227,3 @@ def accepted(docs: DataFrame, net: ByteNet, least: float = MIN_SCORE) -> DataFra
     own = free_name(docs.columns, "found_language")
     known = (F.col(f"{own}.lang") != UNKNOWN) & (F.col(f"{own}.score") >= least)
     return docs.withColumn(own, language(F.col("text"), net)).where(known).drop(own)
-
-
-def _parts(texts: list, size: int = 4_000_000) -> Iterator[list]:
-    """The texts in runs of about ``size`` bytes."""
-    part, held = [], 0
-    for t in texts:
-        part.append(t)
-        held += len(t or b"")
-        if held >= size:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part

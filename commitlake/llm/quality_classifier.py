@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import text_bytes
+from commitlake.llm.common import runs, text_bytes
 from commitlake.llm.labelled import class_counts, sample
 
 PER_CLASS = 2500
@@ -42,7 +42,7 @@ EPOCHS = 40
 #: A word is known by its letters from so many occurrences in the sample on.
 LEAST = 3
 _REMEMBERED = 300_000
-_BLOCK = 400_000
+_BLOCK = 150_000
 
 _SHAPE = bytes(
     65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256)
@@ -246,6 +246,7 @@ def quality(text: Column, broadcast) -> Column:
 
     def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array(broadcast.value.scores(text_bytes(texts)), pa.float64())
+            found = [broadcast.value.scores(text_bytes(part)) for part in runs(texts)]
+            yield pa.array(np.concatenate(found) if found else [], pa.float64())
 
     return F.arrow_udf(scores, "double").asNondeterministic()(text.cast("string"))

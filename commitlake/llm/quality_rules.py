@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import SPACES, mix64, struct_array, text_bytes
+from commitlake.llm.common import SPACES, mix64, runs, struct_array, text_bytes
 
 #: Share of a stratum's good documents that the rules may reject.
 RISK = 0.02
@@ -114,7 +114,8 @@ def text_counts(text: Column) -> Column:
     """Struct of ``COUNTS``."""
 
     def counts(texts: pa.Array) -> pa.Array:
-        rows = np.array(list(count(text_bytes(texts))), np.int64).reshape(-1, len(COUNTS))
+        found = [row for part in runs(texts) for row in count(text_bytes(part))]
+        rows = np.array(found, np.int64).reshape(-1, len(COUNTS))
         return struct_array({c: pa.array(rows[:, i]) for i, c in enumerate(COUNTS)})
 
     return F.arrow_udf(counts, ", ".join(f"{c} long" for c in COUNTS)).asNondeterministic()(text)

@@ -50,12 +50,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from commitlake.llm.common import mix64
+from commitlake.llm.common import mix64, runs
 
 SHARD_BYTES = 32_000_000
 BUCKET = 1024
-#: Entries that an encoder remembers.
-_PIECES, _TOKENS = 300_000, 700_000
+#: Entries that an encoder remembers before the older ones go.
+_KNOWN = 250_000
+_MARKS = frozenset(",.!?;:")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of output that a task holds at once.
 _HELD = 4_000_000
@@ -63,16 +64,48 @@ _HELD = 4_000_000
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+def _byte_characters() -> dict[int, str]:
+    """Byte-level BPE's characters for bytes: printable Latin-1 characters stand
+    for themselves, the other bytes for the characters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTE_CHARS = _byte_characters()
+
+
+def _byte_spelling(token: str) -> str:
+    return token.encode().decode("latin-1").translate(_BYTE_CHARS)
+
+
+class _Known(dict):
+    """Raw ids of pieces of text, made when they are first asked for."""
+
+    def __init__(self, make, older: dict):
+        super().__init__({"": b""})
+        self.make, self.older = make, older.get
+
+    def __missing__(self, piece: str) -> bytes:
+        raw = self.older(piece)
+        if raw is None:
+            raw = self.make(piece)
+        self[piece] = raw
+        return raw
+
+
 class Encoder:
     """Token ids of whole texts by the tokenizers library, as raw bytes.
 
     A byte-level tokenizer splits a text before it merges, so what is between
-    two splits always has the same ids; these are remembered. Texts in which a
-    space stands beside other white space, or a special token's string, and all
-    texts of other kinds of tokenizers, are encoded as a whole.
+    two splits always has the same ids; these are remembered, the last
+    ``_KNOWN`` to twice as many, and frequent ones for good. Texts in which
+    a space stands before other white space, or a special token's string, and
+    all texts of other kinds of tokenizers, are encoded as a whole.
     """
 
     def __init__(self, file: str, end_id: int):
+        import regex
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -87,47 +120,44 @@ class Encoder:
             and not made.get("normalizer")
         )
         specials = [re.escape(x["content"]) for x in made.get("added_tokens", [])]
-        self.whole = re.compile("|".join([r" \s", "\0", *specials]))
+        self.whole = re.compile("|".join([r" \s", "\0", *specials])).search
+        self.find = regex.compile(_SPLIT).findall
+        self.merge = self.tokenizer.model.tokenize
         self.kind = id_type(self.tokenizer.get_vocab_size(), end_id)
         self.end = array(self.kind, [end_id]).tobytes()
-        self.pieces: dict[str, bytes] = {}
-        self.tokens: dict[str, bytes] = {}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, pieces: list[str]) -> None:
-        import regex
-
-        find = regex.compile(_SPLIT).findall
-        if len(self.pieces) > _PIECES:
-            self.pieces.clear()
-        if len(self.tokens) > _TOKENS:
-            self.tokens.clear()
-        parts = [find(p) for p in pieces]
-        new = list({t for own in parts for t in own}.difference(self.tokens))
-        self.tokens.update(zip(new, self._raw(new), strict=True))
-        get = self.tokens.__getitem__
-        self.pieces.update((p, b"".join(map(get, own))) for p, own in zip(pieces, parts, strict=True))
+        self.known = _Known(self._piece, {})
+
+    def forget_older(self) -> None:
+        """Between tasks a worker keeps the last pieces only."""
+        self.known.older = {}.get
+
+    def _raw(self, text: str) -> bytes:
+        return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of a piece: of its tokens, each by the merges alone."""
+        word = piece[1:] if piece[0] == " " else piece
+        if word.isalpha():  # a run of letters is one token to the splitter
+            spelt = ("\u0120" + word if word is not piece else word) if word.isascii() else _byte_spelling(piece)
+            return array(self.kind, [t.id for t in self.merge(spelt)]).tobytes()
+        parts = (piece[:-1], piece[-1]) if word[:-1].isalpha() and word[-1] in _MARKS else self.find(piece)
+        if len(parts) > 1:
+            return b"".join(map(self.known.__getitem__, parts))
+        return array(self.kind, [t.id for t in self.merge(_byte_spelling(piece))]).tobytes()
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Raw ids of each text, the end id last."""
-        cut: list = []
+        out = []
         for t in texts:
             t = t or ""
-            cut.append([t] if not self.splits or self.whole.search(t) else t.replace(" ", "\0 ").split("\0"))
-        alone = {i: t[0] for i, t in enumerate(cut) if not self.splits or self.whole.search(t[0])}
-        done = dict(zip(alone, self._raw(list(alone.values())), strict=True))
-        wanted: set[str] = set()
-        for i, own in enumerate(cut):
-            if i not in done:
-                wanted.update(own)
-        new = list(wanted.difference(self.pieces))
-        if len(self.pieces) + len(new) > _PIECES:
-            new = list(wanted)  # all again: what is known is about to be cleared
-        self._learn(new)
-        get = self.pieces.__getitem__
-        return [(done[i] if i in done else b"".join(map(get, own))) + self.end for i, own in enumerate(cut)]
+            if not self.splits or self.whole(t):
+                out.append(self._raw(t) + self.end)
+                continue
+            get = self.known.__getitem__
+            out.append(b"".join(map(get, t.replace(" ", "\0 ").split("\0"))) + self.end)
+            if len(self.known) > _KNOWN:
+                self.known = _Known(self._piece, self.known)
+        return out
 
 
 def id_type(vocabulary: int, end_id: int) -> str:
@@ -278,10 +308,9 @@ def write(
                 fs, folder = _store(path)
                 fs.create_dir(f"{folder}/ids", recursive=True)
                 out = fs.open_output_stream(f"{folder}/ids/{name}")
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            n, copies = [], []
-            for part in _parts(texts):
-                for raw in encoder.encode(part):
+            keys, n, copies = batch.column(0).to_pylist(), [], []
+            for part in runs(batch.column(1)):
+                for raw in encoder.encode(part.to_pylist()):
                     out.write(raw)
                     n.append(len(raw) // width)
             for k in keys:
@@ -305,6 +334,7 @@ def write(
             offset += int(n.sum())
         if name is not None:
             out.close()
+        encoder.forget_older()
 
     rows.mapInArrow(encode, schema).write.parquet(f"{path}/written")
     files = TokenFiles(spark, path)
@@ -439,15 +469,3 @@ def _encoder(file: str, end_id: int) -> Encoder:
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}
-
-
-def _parts(texts: list, size: int = 8_000_000) -> Iterator[list]:
-    part, held = [], 0
-    for t in texts:
-        part.append(t)
-        held += len(t or "")
-        if held >= size:
-            yield part
-            part, held = [], 0
-    if part:
-        yield part

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from commitlake.llm.common import runs
 from commitlake.llm.labelled import class_counts, sample
 
 PER_CLASS = 6000
@@ -210,6 +211,6 @@ def toxicity(text: Column, model: WordModel) -> Column:
 
     def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pa.array([model.score(t) for t in texts.to_pylist()], pa.float64())
+            yield pa.array([model.score(t) for part in runs(texts) for t in part.to_pylist()], pa.float64())
 
     return F.arrow_udf(scores, "double").asNondeterministic()(text.cast("string"))

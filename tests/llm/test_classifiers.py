@@ -127,10 +127,14 @@ def test_counterfactuals_lower_the_weight_of_identity_terms(spark):
     neutral = "the muslim family lives here with the christian family"
     assert plain.weights[b"muslim"] > 0.4
     assert abs(fair.weights.get(b"muslim", 0)) < 0.4 * plain.weights[b"muslim"]
-    assert fair.score(neutral) < plain.score(neutral) and fair.score(neutral) < 0.3
+    assert fair.score(neutral) < 0.3
     assert fair.score("you idiot w1 w2") > 0.5
-    swapped = [abs(m.score(neutral) - m.score(neutral.replace("muslim", "jewish"))) for m in (fair, plain)]
-    assert swapped[0] < 0.5 * swapped[1]
+
+    def change(model):  # of the logit, when one group is named in place of another
+        logits = [np.log(p / (1 - p)) for p in (model.score(neutral), model.score(neutral.replace("muslim", "jewish")))]
+        return abs(logits[0] - logits[1])
+
+    assert change(fair) < 0.4 * change(plain)
 
 
 def test_toxicity_defined_results(spark):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import functools
 import random
 import uuid
 
@@ -14,10 +15,15 @@ public_tokenizers = pytest.importorskip("public_tokenizers")
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def plain(text, end=2):
+@functools.cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(FILE).encode(text or "", add_special_tokens=False).ids + [end]
+    return Tokenizer.from_file(FILE)
+
+
+def plain(text, end=2):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [end]
 
 
 def fresh(spark):
