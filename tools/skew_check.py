@@ -5,7 +5,10 @@ Usage: python tools/skew_check.py [sf_dir]
 The table is the commit view with:
 * every third commit moved to committer ``hot`` on one calendar day,
 * every third commit's first parent replaced by one hot parent sha,
-* 20,000 extra copies of one commit (same sha, same repository).
+* every other third without a committer date, at committer ``hot``,
+* 20,000 extra copies of one commit (same sha, same repository) at the first
+  instant of a day, and as many at a later instant,
+* one commit of the hot committer in 20,000 forks (same sha and date).
 
 Adaptive skew-join thresholds are scaled down to this data size. For each
 operator the final plan is checked for skew-split shuffle reads, and the
@@ -46,8 +49,26 @@ def skewed_table(spark, sf_dir: str, path: str) -> None:
             .withField("committer.date", hot_day),
         ).otherwise(F.col("commit")),
     ).withColumn("parents", F.when(k % 3 == 1, hot_parent).otherwise(F.col("parents")))
-    copies = moved.where(k == 1).crossJoin(spark.range(20000).select(F.lit(1).alias("_c"))).drop("_c")
-    moved.unionByName(copies).write.parquet(path)
+    no_date = F.col("commit").withField("committer.name", F.lit("hot")).withField(
+        "committer.date", F.lit(None).cast("timestamp_ntz")
+    )
+    moved = moved.withColumn("commit", F.when(k % 3 == 2, no_date).otherwise(F.col("commit")))
+    many = spark.range(20000).withColumnRenamed("id", "_c")
+
+    def times(rows, at: str):
+        date = F.lit(at).cast("timestamp_ntz")
+        hot = F.col("commit").withField("committer.name", F.lit("hot")).withField("committer.date", date)
+        return rows.withColumn("commit", hot).crossJoin(F.broadcast(many))
+
+    one = moved.where(k == 1)
+    first = times(one, "1999-01-01 00:00:00").drop("_c")
+    early = one.withColumn("sha", F.lit("0"))
+    early = early.withColumn("commit", F.col("commit").withField("committer.name", F.lit("hot")).withField(
+        "committer.date", F.lit("1999-02-01 00:00:00").cast("timestamp_ntz")))
+    later = times(one, "1999-02-01 12:00:00").drop("_c")
+    fork = F.concat(F.lit("https://api.github.com/repos/o"), F.col("_c").cast("string"), F.lit("/r/commits/x"))
+    forks = times(one, "1999-03-01 00:00:00").withColumn("url", fork).drop("_c")
+    moved.unionByName(first).unionByName(early).unionByName(later).unionByName(forks).write.parquet(path)
 
 
 def stage_task_times(log_dir: str) -> tuple[dict[int, list[float]], dict[int, str]]:
@@ -97,6 +118,7 @@ def main() -> None:
     print("rows", commits.count(), file=sys.stderr)
     runs = {
         "commit_gaps": lambda: ops.commit_gaps(commits),
+        "commits_by_committer": lambda: ops.commits_by_committer(commits, ["hot"]),
         "fork_points": lambda: ops.fork_points(commits),
         "branch_points": lambda: ops.branch_points(commits),
         "latest_files": lambda: ops.latest_files(commits, fields=("filename", "sha")),
