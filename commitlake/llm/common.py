@@ -20,16 +20,25 @@ SPACES = b" \t\n\x0b\x0c\r"
 RUN_BYTES = 4_000_000
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers on this machine import the package wherever the
-    session was started; on a cluster the package is installed or shipped."""
+#: Rows of an Arrow batch: texts are long, so Spark's own 10,000 are too many.
+BATCH_ROWS = 2000
+
+
+def prepare(spark: SparkSession) -> None:
+    """Session settings of the Python tasks: small Arrow batches, unless the
+    session has a setting of its own; and workers on this machine find the
+    package wherever the session was started (on a cluster it is installed or
+    shipped)."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     if spark.sparkContext.master.startswith("local"):
         spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -39,6 +48,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Narrow rows that are broadcast at most (some 32 bytes each).
+SMALL_ROWS = 500_000
+
+
+def small(rows: DataFrame) -> DataFrame:
+    """Checkpointed narrow rows, to be broadcast where a count shows that they are
+    few (Spark knows no size of a checkpoint); where they are more, Spark joins
+    by a shuffle."""
+    return F.broadcast(rows) if rows.count() <= SMALL_ROWS else rows
+
+
 def text_bytes(texts: pa.Array) -> list:
     """UTF-8 bytes of each text (None stays None), without a detour over str."""
     kind = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()

@@ -23,7 +23,6 @@ from collections.abc import Iterator
 from math import lgamma, log
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -174,7 +173,9 @@ def cutoffs(labelled: DataFrame, risk: float = RISK, alpha: float = ALPHA, grid:
     strata = max(1, labelled.select("stratum").distinct().count())
     each_risk, each_alpha = risk / len(names), alpha / (strata * len(names))
 
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+    def choose(rows):
+        import pandas as pd
+
         out = []
         for feature, own in rows.groupby("feature"):
             counts = np.zeros(grid + 1, np.int64)

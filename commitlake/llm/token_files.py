@@ -32,7 +32,6 @@ as by a plain ``encode``.
 
 from __future__ import annotations
 
-import json
 import math
 import os
 import re
@@ -41,7 +40,6 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark import TaskContext
@@ -52,10 +50,10 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from commitlake.llm.common import mix64, runs
 
-SHARD_BYTES = 32_000_000
+SHARD_BYTES = 64_000_000
 BUCKET = 1024
-#: Entries that an encoder remembers before the older ones go.
-_KNOWN = 250_000
+#: Entries (some 180 bytes each) that an encoder remembers before the older ones go.
+KNOWN = 250_000
 _MARKS = frozenset(",.!?;:")
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of output that a task holds at once.
@@ -99,37 +97,33 @@ class Encoder:
 
     A byte-level tokenizer splits a text before it merges, so what is between
     two splits always has the same ids; these are remembered, the last
-    ``_KNOWN`` to twice as many, and frequent ones for good. Texts in which
+    ``known`` to twice as many, and frequent ones for good. Texts in which
     a space stands before other white space, or a special token's string, and
     all texts of other kinds of tokenizers, are encoded as a whole.
     """
 
-    def __init__(self, file: str, end_id: int):
+    def __init__(self, file: str, end_id: int, known: int = KNOWN):
         import regex
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(file)
-        with open(file, encoding="utf-8") as f:
-            made = json.load(f)
-        split = made.get("pre_tokenizer") or {}
+        before = self.tokenizer.pre_tokenizer
         self.splits = (
-            split.get("type") == "ByteLevel"
-            and split.get("use_regex", True)
-            and not split.get("add_prefix_space", True)
-            and not made.get("normalizer")
+            isinstance(before, ByteLevel) and before.use_regex and not before.add_prefix_space and not self.tokenizer.normalizer
         )
-        specials = [re.escape(x["content"]) for x in made.get("added_tokens", [])]
+        specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = re.compile("|".join([r" \s", "\0", *specials])).search
         self.find = regex.compile(_SPLIT).findall
         self.merge = self.tokenizer.model.tokenize
         self.kind = id_type(self.tokenizer.get_vocab_size(), end_id)
         self.end = array(self.kind, [end_id]).tobytes()
-        self.known = _Known(self._piece, {})
+        self.known, self.most = _Known(self._piece, {}), known
 
-    def forget_older(self) -> None:
-        """Between tasks a worker keeps the last pieces only."""
-        self.known.older = {}.get
+    def forget(self) -> None:
+        """Between tasks a worker keeps the tokenizer only."""
+        self.known = _Known(self._piece, {})
 
     def _raw(self, text: str) -> bytes:
         return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -155,7 +149,7 @@ class Encoder:
                 continue
             get = self.known.__getitem__
             out.append(b"".join(map(get, t.replace(" ", "\0 ").split("\0"))) + self.end)
-            if len(self.known) > _KNOWN:
+            if len(self.known) > self.most:
                 self.known = _Known(self._piece, self.known)
         return out
 
@@ -199,7 +193,9 @@ class TokenFiles:
         kind = keys.schema["key"].dataType
         out = StructType([StructField("key", kind), *(StructField(c, LongType()) for c in ("copy", "shard", "offset", "n"))])
 
-        def find(asked: pd.DataFrame, bucket: pd.DataFrame) -> pd.DataFrame:
+        def find(asked, bucket):
+            import pandas as pd
+
             if not len(bucket) or not len(asked):
                 return pd.DataFrame({f.name: pd.Series(dtype="object") for f in out})
             b = bucket.iloc[0]
@@ -277,10 +273,12 @@ def write(
     text: str = "text",
     shard_bytes: int = SHARD_BYTES,
     bucket: int = BUCKET,
+    known: int = KNOWN,
 ) -> TokenFiles:
     """Encodes every whole text and writes the folder ``path`` (which must be new).
 
-    ``tokenizer_file`` is a path that all executors can open.
+    ``tokenizer_file`` is a path that all executors can open; ``known`` bounds what
+    an encoder remembers of it.
     """
     spark = docs.sparkSession
     body = F.col(text).cast("string")
@@ -297,7 +295,7 @@ def write(
     fields = [f.name for f in schema]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_file, end_id)
+        encoder = _encoder(tokenizer_file, end_id, known)
         width = array(encoder.kind).itemsize
         shard, name = TaskContext.get().partitionId(), None
         offset = row = copy = 0
@@ -334,7 +332,7 @@ def write(
             offset += int(n.sum())
         if name is not None:
             out.close()
-        encoder.forget_older()
+        encoder.forget()
 
     rows.mapInArrow(encode, schema).write.parquet(f"{path}/written")
     files = TokenFiles(spark, path)
@@ -377,7 +375,9 @@ def _write_shards(files: TokenFiles, tokenizer_file: str, end_id: int) -> None:
 def _write_index(files: TokenFiles, buckets: int) -> None:
     keys = files.table("keys").select(*_keyed(F.col("key"), F.col("copy")), "shard", "offset", "n")
 
-    def build(rows: pd.DataFrame) -> pd.DataFrame:
+    def build(rows):
+        import pandas as pd
+
         h1, h2 = rows["h1"].to_numpy().view(np.uint64), rows["h2"].to_numpy().view(np.uint64)
         moves, seed = perfect_hash(h1, h2)
         slot = slots(h1, h2, moves, len(rows), seed)
@@ -461,11 +461,13 @@ def _settle(g: np.ndarray, group: np.ndarray, h2: np.ndarray, moves: np.ndarray,
     return False
 
 
-def _encoder(file: str, end_id: int) -> Encoder:
-    """One encoder for each Python worker, so that it remembers between tasks."""
+def _encoder(file: str, end_id: int, known: int = KNOWN) -> Encoder:
+    """One encoder for each Python worker: its file is read once."""
     if (file, end_id) not in _ENCODERS:
         _ENCODERS[file, end_id] = Encoder(file, end_id)
-    return _ENCODERS[file, end_id]
+    encoder = _ENCODERS[file, end_id]
+    encoder.most = known
+    return encoder
 
 
 _ENCODERS: dict[tuple[str, int], Encoder] = {}

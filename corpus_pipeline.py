@@ -5,7 +5,8 @@ as Parquet and read again as the next stage's ``docs``; all but the last return
 the columns of ``documents``:
 
 1. language ID: documents without a language, or with an uncertain one, go;
-2. n-gram Jaccard join: one document of each group of near copies stays;
+2. n-gram Jaccard join: one document of each group of near copies stays, linked as
+   in the join's own contract (three words, 90 %);
 3. benchmark decontamination: documents with a benchmark window go;
 4. mixing: documents as often as the mix takes them;
 5. token ids: files of the mix; a row for each of its documents, read back.
@@ -18,18 +19,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from commitlake.llm import decontaminate, jaccard_join, language_id, mixing
-from commitlake.llm.common import importable, table
+from commitlake.llm.common import prepare, table
 from commitlake.llm.queries import token_report
 from commitlake.session import scratch_path
 
 
 def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return language_id.accepted(docs, language_id.train(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return jaccard_join.one_of_each(docs)
 
 
@@ -38,12 +39,14 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return mixing.mix(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    importable(spark)
-    return token_report(docs)
+    prepare(spark)
+    # its workers have run other stages before: remember less
+    return token_report(docs, known=50_000)
 
 
 STAGES = [
