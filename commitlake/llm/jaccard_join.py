@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import cut, free_name, mix64, runs, struct_array, text_bytes
+from commitlake.llm.common import cut, free_name, mix64, runs, small, struct_array, text_bytes
 
 N = 3
 PERCENT = 90
@@ -54,17 +54,9 @@ BLOCK = 256
 _WORDS = 200_000
 #: A list is hot from a share of 1 / _HOT of the sampled rows on, and ``_RARE`` rows.
 _HOT, _RARE, _SAMPLED = 100_000, 50, 64
-#: Rows that are broadcast at most (some 32 bytes each).
-_SMALL = 500_000
 _SET = "n long, h1 long, h2 long, lists array<long>"
 
 
-def small(rows: DataFrame) -> DataFrame:
-    """Checkpointed narrow rows, to be broadcast where they are few; where they
-    are more, Spark joins by a shuffle."""
-    return F.broadcast(rows) if rows.count() <= _SMALL else rows
-
-
 class Rule(NamedTuple):
     n: int = N
     percent: int = PERCENT

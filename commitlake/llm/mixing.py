@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import cut, free_name
+from commitlake.llm.common import cut, free_name, small
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -138,7 +138,7 @@ class Mix:
 
     def _ends(self, sources: DataFrame) -> DataFrame:
         levels = [f"n{v}" for v in range(1, LEVELS + 1)]
-        narrow = sources.select(F.col("source").alias("s"), "n", "rest", *levels)
+        narrow = small(sources).select(F.col("source").alias("s"), "n", "rest", *levels)
         units = self.units.where("size > 0").join(narrow, F.col("source").eqNullSafe(F.col("s")))
         # the share of the source's documents with a smaller key
         below = sum(
@@ -179,7 +179,7 @@ class Mix:
     def decided(self, rows: DataFrame, source: str) -> DataFrame:
         """``rows`` (with key and h) joined with their source's row and ``extra``:
         1 for rows taken once more, 0 for others, null at the end point."""
-        ends = self.sources.withColumnRenamed("source", "s")
+        ends = small(self.sources).withColumnRenamed("source", "s")
         at, end = F.struct("key", "h"), F.struct(F.col("end_key").alias("key"), F.col("end_h").alias("h"))
         # without an end point the budget holds all that is left
         extra = (

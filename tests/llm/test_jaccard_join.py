@@ -6,6 +6,7 @@ import pytest
 from helpers import awkward, empty, random_text
 from pyspark.sql import functions as F
 
+from commitlake.llm import common
 from commitlake.llm import jaccard_join as J
 
 
@@ -70,7 +71,7 @@ def test_components_equal_brute_force(spark, monkeypatch, seed, block, rare):
     if rare < 50:
         monkeypatch.setattr(J, "_SAMPLED", 1)
         monkeypatch.setattr(J, "_HOT", 10**9)
-        monkeypatch.setattr(J, "_SMALL", 0)
+        monkeypatch.setattr(common, "SMALL_ROWS", 0)
     texts = family_texts(seed)
     got = {r.doc_id: (r.n, r.component_id) for r in J.JaccardJoin(frame(spark, texts), block=block).result().collect()}
     assert got == brute(texts)
