@@ -99,8 +99,10 @@ def latest_files(
     )
     if not keep_empty_repos:
         return latest
-    # array_max skips NULL and stays inside generated code, unlike a lambda
-    named = F.array_max(F.col("files.filename")).isNotNull()
+    # Built-ins stay inside generated code, unlike a lambda: the first name
+    # settles most commits; array_max skips NULL names.
+    names = F.col("files.filename")
+    named = F.get(names, 0).isNotNull() | F.array_max(names).isNotNull()
     empty = (
         df.groupBy(repo_name(URL, default=NO_REPO).alias("repo"))
         .agg(F.max(named).alias("_named"))
