@@ -363,7 +363,8 @@ class JaccardJoin:
     def result(self) -> DataFrame:
         """doc_id, n, component_id of every document row."""
         rows = self.rows()
-        least = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+        # cut, so that a join with a large component can be split
+        least = cut(rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id")))
         linked = rows.join(least, "label").select("doc_id", "n", "component_id")
         alone = self.members.where("node IS NULL").select("doc_id", "n", F.col("doc_id").alias("component_id"))
         return linked.unionByName(alone)
@@ -420,8 +421,9 @@ def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFram
     id (of these, with the smallest text hash). Empty sets all stay."""
     rows = JaccardJoin(docs, n, percent).rows().where("label IS NOT NULL")
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
-    kept = rows.groupBy("label").agg(F.min(own).alias("kept"))
-    rows = rows.groupBy("label", "doc_id", "t").agg(F.count("*").alias("c")).join(kept, "label")
+    # both sides are cut, so that a join with a large component can be split
+    kept = cut(rows.groupBy("label").agg(F.min(own).alias("kept")))
+    rows = cut(rows.groupBy("label", "doc_id", "t").agg(F.count("*").alias("c"))).join(kept, "label")
     t, own_id, own_t, times, stays = (
         free_name(docs.columns, x) for x in ("text_hash", "kept_id", "kept_hash", "kept_times", "kept_stays")
     )
