@@ -10,24 +10,29 @@ smallest alphabet that holds it, and its characters are numbers in it:
 
 A token whose three p-values together (Fisher) speak against randomness is no
 secret. For the others the question is turned round: the null hypothesis is that
-the token deviates from uniformity at least as much as ordinary words and
-identifiers do (``DEVIATION`` of its encoding); chi-squared is then
-non-central and grows with the length, so a short token hardly ever refutes
-it and a long random one does. The false-discovery rate of these refutations is
-controlled (Benjamini-Hochberg at ``RATE``) within each class of lengths, from a
-histogram of the p-values of all tokens, as exact as its fine bins and never
-laxer than them. Tokens that stay are added as spans of the kind ``random``.
+the token is like the ordinary words and identifiers of the corpus. All three
+tests, as normal deviates, count: their joint distribution over ordinary tokens
+is fitted (``fitted``) in each stratum, an encoding and a class of lengths, from a
+histogram of the corpus's distinct tokens, beside the known one of random tokens.
+``ENCODINGS`` gives the start, and the null of a stratum with few ordinary tokens.
+The deviates' best linear score between the two has a p-value under the fitted null.
+The false-discovery rate is controlled (Benjamini-Hochberg at ``RATE``) within each
+stratum over its distinct tokens, from a histogram of their p-values, as exact as
+its fine bins and never laxer than them. Tokens that stay are added as spans of the
+kind ``random``.
 
 Spans are code points, end exclusive. Defined results: a null or empty text has
 no spans; a token that overlaps a base span is not added; tokens of letters only
 or digits only have no encoding and are not tested; rows that repeat are scanned one
-by one and count as often in the rates; an empty table gives no rows.
+by one, but a token counts once in the fit and the rates, however many copies of it
+there are; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -63,6 +68,16 @@ RATE = 0.05
 STRUCTURE = 0.001
 #: Bins of the p-value histogram in a factor of ten, and bins in all.
 _FINE, _BINS = 20, 400
+#: Class of the longest tokens (4,096 characters on).
+_LONGEST = 24
+#: Deviates (chi-squared, runs, serial correlation): bins' widths, and their bounds.
+DEVIATES = ("of_chi", "by_runs", "by_serial")
+_WIDE, _LOW, _HIGH = np.array([0.5, 0.5, 0.5]), np.array([-4.0, -6.0, -6.0]), np.array([16.0, 6.0, 6.0])
+#: Covariance of a random token's deviates: runs see the halves of what serial
+#: correlation sees whole, for an even spread sqrt(3) / 2 of it on either side.
+_RANDOM = np.array([[1.0, 0.0, 0.0], [0.0, 1.0, -0.75], [0.0, -0.75, 1.0]])
+#: Tokens that the start of the fit counts for, and rounds.
+_PRIOR, _ROUNDS = 10.0, 100
 
 
 def _running(lengths: Column) -> Column:
@@ -111,8 +126,9 @@ def _normal(z: Column) -> Column:
 
 
 def tested(tokens: Column) -> Column:
-    """Array of start, end, stratum, structure (Fisher's p-value) and natural (the
-    turned test's) of the tokens that have an encoding.
+    """Array of start, end, stratum, structure (Fisher's p-value), natural (that of
+    chi-squared alone against ``ENCODINGS``), the ``DEVIATES`` and the token's hash,
+    of the tokens that have an encoding.
 
     Each step adds to the structs what the next ones use, so that nothing is
     evaluated again for every character.
@@ -188,9 +204,15 @@ def tested(tokens: Column) -> Column:
     cube = lambda t: (F.pow(t["chi"] / (t["k"] - 1), F.lit(1 / 3)) - (1 - nine(t))) / F.sqrt(nine(t))
     t = step(
         t,
-        uniform=lambda t: F.greatest(_normal(-cube(t)), F.lit(1e-300)),
-        of_runs=lambda t: tail((t["runs"] - t["both"] / t["n"] - 1) / t["spread"]),
-        of_serial=lambda t: tail((t["next"] / t["var"] + 1 / t["n"]) * F.sqrt(t["n"])),
+        of_chi=cube,
+        by_runs=lambda t: (t["runs"] - t["both"] / t["n"] - 1) / t["spread"],
+        by_serial=lambda t: (t["next"] / t["var"] + 1 / t["n"]) * F.sqrt(t["n"]),
+    )
+    t = step(
+        t,
+        uniform=lambda t: F.greatest(_normal(-t["of_chi"]), F.lit(1e-300)),
+        of_runs=lambda t: tail(t["by_runs"]),
+        of_serial=lambda t: tail(t["by_serial"]),
         centre=lambda t: (t["k"] - 1) + t["n"] * t["d"],
     )
     # half of Fisher's statistic, and a chi-squared as uneven as ordinary text's
@@ -204,16 +226,76 @@ def tested(tokens: Column) -> Column:
         lambda t: F.struct(
             t["start"].alias("start"),
             t["end"].alias("end"),
-            _stratum(t["match"]).alias("stratum"),
+            _stratum(t["e"], t["match"]).alias("stratum"),
             (F.exp(-t["half"]) * (1 + t["half"] + t["half"] * t["half"] / 2)).alias("structure"),
             F.greatest(_normal(t["z"]), F.lit(1e-300)).alias("natural"),
+            *(t[x].alias(x) for x in DEVIATES),
+            F.xxhash64(t["match"]).alias("token"),
         ),
     )
 
 
-def _stratum(token: Column) -> Column:
-    """Length class: halves of a doubling."""
-    return F.floor(2 * F.log2(F.length(token))).cast("int")
+def _stratum(encoding: Column, token: Column) -> Column:
+    """100 times the encoding's number and the length class: halves of a doubling."""
+    return encoding * 100 + F.least(F.floor(2 * F.log2(F.length(token))), F.lit(_LONGEST)).cast("int")
+
+
+def _start(stratum: int) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of ordinary tokens' deviates, as ``ENCODINGS`` has them."""
+    (alphabet, d), n = list(ENCODINGS.items())[stratum // 100 - 1], 2 ** ((stratum % 100 + 0.5) / 2)
+    free = len(alphabet) - 1
+    centre, nine = free + n * d, 2 / (9 * free)
+    mean, cov = np.zeros(3), _RANDOM.copy()
+    mean[0] = ((centre / free) ** (1 / 3) - (1 - nine)) / math.sqrt(nine)
+    slope = (centre / free) ** (-2 / 3) / (3 * free * math.sqrt(nine))
+    cov[0, 0] = max(2 * (centre + n * d) * slope**2, 1.0)
+    return mean, cov
+
+
+def fitted(stratum: int, x: np.ndarray, n: np.ndarray) -> tuple[list[float], float]:
+    """Weights of the deviates and an offset: the score, standard normal for ordinary
+    tokens and low for random ones.
+
+    ``x``: deviates (rows of three), each ``n`` times. A mixture of random tokens,
+    whose distribution is known, and ordinary ones, normal, by expectation
+    maximisation.
+    """
+
+    def density(mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
+        off = x - mean
+        return np.exp(-0.5 * np.einsum("ij,jk,ik->i", off, np.linalg.inv(cov), off)) / math.sqrt(np.linalg.det(cov))
+
+    mean0, cov0 = mean, cov = _start(stratum)
+    random, share = density(np.zeros(3), _RANDOM), 0.1
+    for _ in range(_ROUNDS):
+        a, b = share * random, (1 - share) * density(mean, cov)
+        ordinary = n * np.where(a + b > 0, b / np.maximum(a + b, 1e-300), 1.0)
+        share = float(np.clip(1 - ordinary.sum() / n.sum(), 1e-6, 1 - 1e-6))
+        weight = _PRIOR + ordinary.sum()
+        mean = (_PRIOR * mean0 + ordinary @ x) / weight
+        off, start = x - mean, mean0 - mean
+        cov = (_PRIOR * (cov0 + np.outer(start, start)) + (off * ordinary[:, None]).T @ off) / weight
+        cov = cov + np.diag(_WIDE**2 / 12)
+    w = np.linalg.solve(cov, mean)
+    w /= math.sqrt(w @ cov @ w)
+    return [float(v) for v in w], float(-w @ mean)
+
+
+def fits(tokens: DataFrame) -> dict[int, tuple[list[float], float]]:
+    """``fitted`` of each stratum; ``tokens``: stratum and ``DEVIATES``, a row for each
+    distinct token. The histogram has at most 8 * 17 strata of 40 * 24 * 24 bins."""
+    bins = [
+        F.floor((F.least(F.greatest(F.col(c), F.lit(float(a))), F.lit(float(b))) - float(a)) / float(w)).alias(c)
+        for c, a, b, w in zip(DEVIATES, _LOW, _HIGH, _WIDE, strict=True)
+    ]
+    cells: dict[int, list] = {}
+    for r in tokens.select("stratum", *bins).groupBy("stratum", *DEVIATES).count().toLocalIterator():
+        cells.setdefault(r[0], []).append(tuple(r)[1:])
+    out = {}
+    for stratum in sorted(cells):
+        rows = np.array(sorted(cells.pop(stratum)), float)
+        out[stratum] = fitted(stratum, _LOW + (rows[:, :3] + 0.5) * _WIDE, rows[:, 3])
+    return out
 
 
 def base_spans(text: Column) -> Column:
@@ -233,11 +315,11 @@ def base_spans(text: Column) -> Column:
 
 
 def thresholds(tokens: DataFrame, rate: float = RATE) -> dict[int, int]:
-    """For each length class the lowest bin of p-values that is a discovery.
+    """For each stratum the lowest bin of p-values that is a discovery.
 
     ``tokens``: stratum and bin (``_FINE`` bins to a factor of ten, higher for
-    smaller p-values), a row for each tested token. The histogram has at most
-    some 60 classes of ``_BINS`` bins.
+    smaller p-values), a row for each distinct token. The histogram has at most
+    8 * 17 strata of ``_BINS`` bins.
     """
     bins = tokens.groupBy("stratum", "bin").agg(F.count("*").alias("n"))
     down = W.partitionBy("stratum").orderBy(F.col("bin").desc())
@@ -261,21 +343,38 @@ def scan(docs: DataFrame, rate: float = RATE) -> DataFrame:
             t["start"].alias("start"),
             t["end"].alias("end"),
             t["stratum"].alias("stratum"),
-            F.least(F.floor(-F.log10(t["natural"]) * _FINE), F.lit(_BINS)).cast("int").alias("bin"),
+            t["token"].alias("token"),
+            *(t[x].alias(x) for x in DEVIATES),
             (t["structure"] >= STRUCTURE).alias("even"),
         ),
     )
     # a column of its own, and only where there is a token, so that most rows do nothing here
     found = found.select("doc_id", "base", F.when(F.size("tokens") > 0, apart).alias("apart"))
-    none = F.array().cast("array<struct<start:int,end:int,stratum:int,bin:int,even:boolean>>")
+    fields = ",".join(f"{x}:double" for x in DEVIATES)
+    none = F.array().cast(f"array<struct<start:int,end:int,stratum:int,token:bigint,{fields},even:boolean>>")
     found = cut(found.select("doc_id", "base", F.when(F.size("apart") > 0, kept).otherwise(none).alias("tokens")))
-    limits = thresholds(found.select(F.explode("tokens").alias("t")).select("t.stratum", "t.bin"), rate)
+    once = found.select(F.explode("tokens").alias("t")).groupBy("t.stratum", "t.token")
+    once = cut(once.agg(*(F.first(f"t.{x}").alias(x) for x in DEVIATES)))
+    models = fits(once)
+
+    def bin_of(stratum: Column, deviates: list[Column]) -> Column:
+        """Bin of the p-value under the stratum's null."""
+        parts = [F.lit(v) for k, (w, at) in models.items() for v in (k, [*w, at])]
+        model = F.element_at(F.create_map(*parts), stratum)
+        z = F.element_at(model, 4)
+        for i, x in enumerate(deviates, 1):
+            z = z + F.element_at(model, i) * x
+        return F.least(F.floor(-F.log10(F.greatest(_normal(z), F.lit(1e-300))) * _FINE), F.lit(_BINS)).cast("int")
+
+    limits = {}
+    if models:
+        limits = thresholds(once.select("stratum", bin_of(F.col("stratum"), [F.col(x) for x in DEVIATES]).alias("bin")), rate)
 
     def discovered(t: Column) -> Column:
-        hit = F.lit(False)
-        for stratum, least in limits.items():
-            hit = hit | ((t["stratum"] == stratum) & (t["bin"] >= least))
-        return hit & t["even"]
+        if not limits:
+            return F.lit(False)
+        hit = F.element_at(F.create_map(*(F.lit(v) for x in limits.items() for v in x)), t["stratum"])
+        return F.coalesce(bin_of(t["stratum"], [t[x] for x in DEVIATES]) >= hit, F.lit(False)) & t["even"]
 
     random = F.transform(
         F.filter("tokens", discovered),

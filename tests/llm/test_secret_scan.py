@@ -110,3 +110,41 @@ def test_main_path_has_no_python(spark):
     docs = spark.createDataFrame([(1, "x")], "doc_id long, text string")
     plan = docs.select(S.base_spans(F.col("text")), S.tested(S.matches(F.col("text"), S.TOKEN)))
     assert not re.search("Python|Arrow|Pandas", plan._jdf.queryExecution().executedPlan().toString())
+
+
+def rare_keys(r, n, share=0.01):
+    """Ordinary identifiers with a number in them, and a ``share`` of random keys
+    of 32 and 40 characters: base62, base64, lower-case letters and digits."""
+    sounds = ["".join(p) for p in zip("bcdfglmnprstvw" * 5, "aeiou" * 14)] + ["st", "er", "on", "al", "ing", "th", "or"]
+    words = ["".join(r.choice(sounds) for _ in range(r.randint(2, 4))) for _ in range(5000)]
+    alphabets = [string.ascii_letters + string.digits, string.ascii_letters + string.digits + "+/", string.ascii_lowercase + string.digits]
+    joins = [lambda w: w[0] + "".join(x.capitalize() for x in w[1:]), "/".join, "".join]
+    names, keys = [], []
+    for join, alphabet in zip(joins, alphabets):
+        while len(names) < n * (1 + joins.index(join)):
+            w = [r.choice(words) for _ in range(r.randint(2, 8))]
+            w.insert(r.randint(1, len(w)), str(r.randrange(10 ** r.randint(1, 4))))
+            names += [join(w)] if 32 <= len(join(w)) <= 44 else []
+        for i in range(int(n * share)):
+            keys.append("a1" + "".join(r.choice(alphabet) for _ in range((30, 38)[i % 2])))
+    return names, keys
+
+
+def found_random(spark, tokens):
+    docs = spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate(tokens)], "doc_id long, text string")
+    return {r.doc_id for r in S.scan(docs).where(F.exists("spans", lambda s: s["kind"] == "random")).collect()}
+
+
+def test_rare_keys_are_found_among_ordinary_tokens(spark):
+    names, keys = rare_keys(random.Random(21), 5000)
+    got = found_random(spark, names + keys)
+    right = sum(i >= len(names) for i in got)
+    assert right >= 0.7 * len(keys), (right, len(keys), len(got))
+    assert len(got) - right <= 0.1 * len(got), (right, len(keys), len(got))
+
+
+def test_copies_of_a_token_count_once(spark):
+    names, keys = rare_keys(random.Random(22), 1000)
+    once = found_random(spark, keys + names)
+    assert once & set(range(len(keys)))
+    assert found_random(spark, keys + names + names[:200] * 40) & set(range(len(keys))) == once & set(range(len(keys)))
