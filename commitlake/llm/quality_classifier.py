@@ -2,7 +2,7 @@
 
 Every word has a sparse random index vector, made from its hash. A word's
 vector is the sum of the index vectors of the words around it (``REACH`` to
-either side) over a bounded sample of labelled documents. A word counts twice:
+either side) over the whole texts of all documents, labelled or not. A word counts twice:
 by its letters, and by its shape (the classes of its characters, runs
 shortened), so that unknown words still tell what they look like. A document
 is the mean of its words' vectors, of either kind, with its length and its share
@@ -10,8 +10,10 @@ of distinct words. A two-layer network in numpy maps that to a logit; a
 temperature fitted on documents held back from the network's training calibrates
 the probability.
 
-The sample is ``PER_CLASS`` documents of each class at most, and ``SPANS`` spans of
-``SPAN`` words of each, spread over its text. Scores are made from whole texts.
+The sample is ``PER_CLASS`` documents of each class at most. The words that have
+vectors are those of the sample's whole texts; their contexts are summed in every
+task over its documents, then by blocks of words. The network learns, and scores
+are made, from whole texts.
 
 Defined results: a null or empty text is a document without words and has the score
 of the zero vector; without labels every score is 0.5, with one class its smoothed
@@ -21,6 +23,7 @@ share; rows that repeat get equal scores. Null labels do not teach.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,20 +32,21 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import runs, text_bytes
+from commitlake.llm.common import cut, runs, text_bytes
 from commitlake.llm.labelled import class_counts, sample
 
 PER_CLASS = 2500
-SPANS, SPAN = 4, 100
 DIMENSIONS = 48
 NONZERO = 6
 REACH = 2
 HIDDEN = 24
 EPOCHS = 40
-#: A word is known by its letters from so many occurrences in the sample on.
+#: A word is known by its letters from so many occurrences on.
 LEAST = 3
 _REMEMBERED = 300_000
 _BLOCK = 150_000
+#: Words whose contexts are summed at once, and parts of a block of sums.
+_AT_ONCE, _PARTS = 30_000, 256
 
 _SHAPE = bytes(
     65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256)
@@ -66,44 +70,129 @@ def index_vectors(names: list[bytes], dimensions: int = DIMENSIONS) -> np.ndarra
     return out
 
 
-class WordVectors:
-    """A vector for each known part; row 0 is the unknown part's, zero."""
-
-    def __init__(self, texts: list[list[bytes]]):
-        split = [[parts(w) for w in t] for t in texts]
-        counts: dict[bytes, int] = {}
-        for t in split:
-            for pair in t:
-                for p in pair:
-                    counts[p] = counts.get(p, 0) + 1
-        names = sorted(p for p, n in counts.items() if n >= LEAST)
-        self.number = {p: i + 1 for i, p in enumerate(names)}
-        index = np.vstack([np.zeros((1, DIMENSIONS), np.float32), index_vectors(names)])
-        table = np.zeros_like(index)
-        for t in split:
-            if not t:
-                continue
-            ids = np.array([[self.number.get(p, 0) for p in pair] for pair in t])
-            around = index[ids].sum(axis=1)
-            total = np.vstack([np.zeros((1, DIMENSIONS), np.float32), np.cumsum(around, axis=0)])
-            i = np.arange(len(t))
-            near = total[np.minimum(i + REACH + 1, len(t))] - total[np.maximum(i - REACH, 0)] - around
-            for k in (0, 1):
-                np.add.at(table, ids[:, k], near)
-        table[0] = 0
-        size = np.linalg.norm(table, axis=1, keepdims=True)
-        self.table = table / np.where(size > 0, size, 1)
+class _Numbers:
+    """Numbers of known parts, from 1 on; 0 is the unknown part's."""
+
+    def __init__(self, names: list[bytes]):
+        self.number, self.wide = {p: i + 1 for i, p in enumerate(names)}, len(names) + 1
         self.memory: dict[bytes, int] = {}
 
     def _learn(self, words: list[bytes]) -> None:
         """Remembers the two part numbers of each new word as one number."""
         if len(self.memory) > _REMEMBERED:
             self.memory = {}
-        get, wide = self.number.get, len(self.table)
+        get, wide = self.number.get, self.wide
         for w in set(words).difference(self.memory):
             a, b = parts(w)
             self.memory[w] = get(a, 0) * wide + get(b, 0)
 
+    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of each word's letters and shape."""
+        self._learn(words)
+        return np.divmod(np.fromiter(map(self.memory.__getitem__, words), np.int64, len(words)), self.wide)
+
+
+class Contexts(_Numbers):
+    """Occurrences of parts, and sums of the index vectors around them."""
+
+    def __init__(self, names: list[bytes]):
+        super().__init__(names)
+        self.index = np.vstack([np.zeros((1, DIMENSIONS)), index_vectors(names)]).astype(np.int8)
+        self.counts, self.sums = np.zeros(self.wide, np.int64), np.zeros((self.wide, DIMENSIONS), np.int32)
+
+    def add_all(self, texts: list[list[bytes]]) -> None:
+        at = 0
+        while at < len(texts):
+            end, n = at, 0
+            while end < len(texts) and n < _AT_ONCE:
+                n += len(texts[end])
+                end += 1
+            self._add(texts[at:end])
+            at = end
+
+    def _add(self, texts: list[list[bytes]]) -> None:
+        both = self.ids([w for t in texts for w in t])
+        n = len(both[0])
+        if not n:
+            return
+        around = self.index[both[0]].astype(np.int32) + self.index[both[1]]
+        total = np.vstack([np.zeros((1, DIMENSIONS), np.int32), np.cumsum(around, axis=0, dtype=np.int32)])
+        sizes = np.array([len(t) for t in texts])
+        ends, i = np.cumsum(sizes), np.arange(n)
+        first, last = np.repeat(ends - sizes, sizes), np.repeat(ends, sizes)
+        near = total[np.minimum(i + REACH + 1, last)] - total[np.maximum(i - REACH, first)] - around
+        for ids in both:
+            order = np.argsort(ids, kind="stable")
+            part, at, count = np.unique(ids[order], return_index=True, return_counts=True)
+            self.counts[part] += count
+            self.sums[part] += np.add.reduceat(near[order], at, axis=0)
+
+
+def corpus_contexts(texts: DataFrame, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts and sums of ``Contexts`` over all rows of ``texts`` (one column)."""
+    shared = texts.sparkSession.sparkContext.broadcast(names)
+    kind = "block int, counts binary, sums binary"
+
+    def rows(found: dict[int, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        for block, (counts, sums) in found.items():
+            packed = [zlib.compress(x.astype(np.int64).tobytes(), 1) for x in (counts, sums)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int32()), *(pa.array([x], pa.binary()) for x in packed)], ["block", "counts", "sums"]
+            )
+
+    def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
+        for batch in batches:
+            own = own or Contexts(shared.value)
+            for part in runs(batch.column(0)):
+                own.add_all([(t or b"").split() for t in text_bytes(part)])
+        if own is not None:
+            for at in range(0, own.wide, _PARTS):
+                counts = own.counts[at : at + _PARTS]
+                if counts.any():
+                    yield from rows({at // _PARTS: (counts, own.sums[at : at + _PARTS])})
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for block, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                new = [np.frombuffer(zlib.decompress(x), np.int64) for x in packed]
+                old = found.get(block, (0, 0))
+                found[block] = (old[0] + new[0], old[1] + new[1])
+        yield from rows(found)
+
+    out = texts.mapInArrow(local, kind).repartition("block").mapInArrow(total, kind).collect()
+    shared.unpersist()
+    counts, sums = np.zeros(len(names) + 1, np.int64), np.zeros((len(names) + 1, DIMENSIONS), np.float32)
+    for r in out:
+        own = np.frombuffer(zlib.decompress(r.counts), np.int64)
+        at = slice(r.block * _PARTS, r.block * _PARTS + len(own))
+        counts[at] = own
+        sums[at] = np.frombuffer(zlib.decompress(r.sums), np.int64).reshape(-1, DIMENSIONS)
+    return counts, sums
+
+
+class WordVectors(_Numbers):
+    """A vector for each known part; row 0 is the unknown part's, zero. ``names``,
+    ``sums``: parts and what is around them; by default of ``texts``."""
+
+    def __init__(self, texts: list[list[bytes]], names: list[bytes] | None = None, sums: np.ndarray | None = None):
+        if names is None:
+            counts: dict[bytes, int] = {}
+            for t in texts:
+                for w in t:
+                    for p in parts(w):
+                        counts[p] = counts.get(p, 0) + 1
+            names = sorted(p for p, n in counts.items() if n >= LEAST)
+            around = Contexts(names)
+            around.add_all(texts)
+            sums = around.sums.astype(np.float32)
+        super().__init__(names)
+        table = sums.copy()
+        table[0] = 0
+        size = np.linalg.norm(table, axis=1, keepdims=True)
+        self.table = table / np.where(size > 0, size, 1)
+
     def pool(self, texts: list[list[bytes]]) -> np.ndarray:
         """Document vectors: means by letters and by shape, length, distinct share."""
         out = np.zeros((len(texts), 2 * DIMENSIONS + 2), np.float32)
@@ -113,13 +202,11 @@ class WordVectors:
             while end < len(texts) and n < _BLOCK:
                 n += len(texts[end])
                 end += 1
-            flat = [w for t in texts[at:end] for w in t]
-            self._learn(flat)
-            both = np.fromiter(map(self.memory.__getitem__, flat), np.int64, len(flat))
+            both = self.ids([w for t in texts[at:end] for w in t])
             sizes = np.array([len(t) for t in texts[at:end]])
             doc = np.repeat(np.arange(end - at), sizes)
             scale = 1 / np.maximum(sizes, 1)
-            for k, ids in enumerate(np.divmod(both, len(self.table))):
+            for k, ids in enumerate(both):
                 # each distinct part of a document once, by its count
                 pair, count = np.unique(doc * len(self.table) + ids, return_counts=True)
                 owner, part = np.divmod(pair, len(self.table))
@@ -200,44 +287,36 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def _spans(text: bytes | None) -> bytes:
-    """At most ``SPANS`` spans of ``SPAN`` words, spread over the text."""
-    w = (text or b"").split()
-    if len(w) <= SPANS * SPAN:
-        return b" ".join(w)
-    starts = np.linspace(0, len(w) - SPAN, SPANS).astype(int)
-    return b" ".join(b" ".join(w[s : s + SPAN]) for s in starts)
-
-
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> QualityModel:
     """Learns from the texts of ``docs`` and ``labels`` (doc_id and ``label``, 0 or 1)."""
     n0, n1 = class_counts(labels, label)
     if not n0 or not n1:
         return QualityModel(None, (n1 + 1) / (n0 + n1 + 2))
 
-    def cut(texts: pa.Array) -> pa.Array:
-        return pa.array([_spans(t) for t in text_bytes(texts)], pa.binary())
+    def distinct(texts: pa.Array) -> pa.Array:
+        out = [sorted({p for w in set((t or b"").split()) for p in parts(w)}) for t in text_bytes(texts)]
+        return pa.array(out, pa.list_(pa.binary()))
 
-    def sizes(texts: pa.Array) -> pa.Array:
-        """Words and distinct words of the whole text."""
-        out = []
-        for t in text_bytes(texts):
-            w = (t or b"").split()
-            out.append([len(w), len(set(w))])
-        return pa.array(out, pa.list_(pa.int64()))
-
-    sampled = sample(docs, labels, label, per_class)
-    spans, whole = F.arrow_udf(cut, "binary"), F.arrow_udf(sizes, "array<long>")
-    rows = sampled.select("doc_id", "y", spans("text").alias("w"), whole("text").alias("n")).collect()
+    def pooled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = [shared.value.pool([(t or b"").split() for t in text_bytes(part)]) for part in runs(texts)]
+            flat = np.concatenate(found) if found else np.empty((0, 2 * DIMENSIONS + 2), np.float32)
+            yield pa.array(list(flat), pa.list_(pa.float32()))
+
+    sampled = cut(sample(docs, labels, label, per_class))
+    names = sampled.select(F.explode(F.arrow_udf(distinct, "array<binary>")("text")).alias("p")).distinct()
+    names = sorted(names.toArrow().column(0).to_pylist())
+    counts, sums = corpus_contexts(docs.select(F.col("text").cast("string")), names)
+    known = np.flatnonzero(counts[1:] >= LEAST) + 1
+    vectors = WordVectors([], [names[i - 1] for i in known], sums[np.concatenate([[0], known])])
+    shared = docs.sparkSession.sparkContext.broadcast(vectors)
+    pool = F.arrow_udf(pooled, "array<float>").asNondeterministic()
+    rows = sampled.select("doc_id", "y", pool("text").alias("x")).collect()
+    shared.unpersist()
     rows.sort(key=lambda r: str(r.doc_id))
     if not rows:
         return QualityModel(None)
-    texts = [bytes(r.w).split() for r in rows]
-    vectors = WordVectors(texts)
-    x = vectors.pool(texts)
-    for i, r in enumerate(rows):  # length and distinct share as whole texts have them
-        x[i, -2:] = np.log1p(r.n[0]) / 10, r.n[1] / max(r.n[0], 1)
-    vectors.memory = {}
+    x = np.array([r.x for r in rows], np.float32)
     return QualityModel(vectors).fit(x, np.array([r.y for r in rows], float), (n0, n1))
 
 

@@ -201,3 +201,28 @@ def test_quality_defined_results(spark):
     nothing = spark.createDataFrame([], "doc_id long, quality int")
     assert Q.train(docs, nothing).scores([b"a"]).tolist() == [0.5]
     assert Q.train(docs, labels.where("quality = 1")).scores([None])[0] > 0.9
+
+
+def test_quality_learns_from_whole_texts_and_all_documents(spark):
+    r = random.Random(8)
+    rows = [(" ".join(f"w{r.randrange(40)}" for _ in range(1200)), i % 2) for i in range(12)]
+    # words in the middle of one long labelled text, repeated in documents without labels
+    texts = [t if i else t.replace(" ", " rareword ", 600).replace(" rareword ", " ", 599) for i, (t, _) in enumerate(rows)]
+    texts += ["w1 w2 rareword w3 w4"] * 5 + [None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows)], "doc_id long, quality int")
+    v = Q.train(docs, labels).vectors
+    assert b"l:rareword" in v.number
+    names = sorted(v.number)
+    alone = Q.Contexts(names)
+    alone.add_all([(t or "").encode().split() for t in texts])
+    assert np.allclose(v.table, Q.WordVectors([], names, alone.sums.astype(np.float32)).table)
+    # the sums against every pair of words
+    want, index = np.zeros(Q.DIMENSIONS), dict(zip(names, Q.index_vectors(names)))
+    for t in texts:
+        w = (t or "").encode().split()
+        for i in (i for i, x in enumerate(w) if x == b"rareword"):
+            for j in range(max(i - Q.REACH, 0), min(i + Q.REACH + 1, len(w))):
+                if j != i:
+                    want += sum(index.get(p, 0) for p in Q.parts(w[j]))
+    assert np.allclose(alone.sums[alone.number[b"l:rareword"]], want)
