@@ -7,11 +7,14 @@ its table and derives the digest columns from the operator's output.
 from __future__ import annotations
 
 import uuid
+import zlib
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import decontaminate, jaccard_join, language_id, mixing, quality_classifier, quality_rules, secret_scan, token_files, toxicity, url_filter
+from commitlake.llm import decontaminate, jaccard_join, language_id, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, token_files, toxicity, url_filter
 from commitlake.llm.common import crc_mod, cut, table
 from commitlake.session import scratch_path
 
@@ -129,6 +132,49 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+def planted_runs(doc_id: Column, text: Column) -> Column:
+    """The text; of a tenth of the ids (by crc32 of their decimal form) with a tail of
+    words that repeats: word i >= a becomes word a + (i - a) % p. A null id or
+    text stays as it is."""
+
+    def plant(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for ids, texts in batches:
+            out = texts.to_pylist()
+            for row, key in enumerate(ids.to_pylist()):
+                h = 1 if key is None else zlib.crc32(key.encode())
+                words = (out[row] or "").encode().split() if h % 10 == 0 else []
+                if words:
+                    n, g = len(words), h // 10
+                    a = g % n
+                    period = 1 + (n - a) // (3 + g % 8)
+                    tail = words[a : a + period]
+                    times = -(-(n - a) // period)
+                    out[row] = b" ".join(words[:a] + (tail * times)[: n - a]).decode()
+            yield pa.array(out, pa.string())
+
+    return F.arrow_udf(plant, "string").asNondeterministic()(doc_id.cast("string"), text.cast("string"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = docs.select("doc_id", periodic_runs.periodic_runs(planted_runs(F.col("doc_id"), F.col("text"))).alias("x"))
+    # longest first, then smallest start, then period
+    best = F.array_min(F.transform("x.runs", lambda r: F.struct(-r["length"], r["start"], r["period"])))
+    found = found.select("doc_id", "x", best.alias("best"))
+    length, period = -F.col("best.col1"), F.col("best.period")
+    lines = F.transform("x.runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return found.select(
+        "doc_id",
+        F.size("x.runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2("x.collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _OP1 = rf"""
@@ -228,5 +274,6 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 ORACLE_SQL = {"op1_decontaminate": _OP1, "op6_url_filter": _OP6, "op8_jaccard_join": _OP8}

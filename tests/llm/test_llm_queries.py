@@ -35,6 +35,7 @@ SCHEMAS = {
     "op8_jaccard_join": "doc_id bigint, n_shingles bigint, component_id bigint",
     "op9_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op10_quality_classifier": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op11_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
 }
 
 
