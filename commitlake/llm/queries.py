@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import decontaminate, jaccard_join, language_id, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, token_files, toxicity, url_filter
+from commitlake.llm import decontaminate, jaccard_join, language_id, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, spelling_variants, token_files, toxicity, url_filter
 from commitlake.llm.common import crc_mod, cut, table
 from commitlake.session import scratch_path
 
@@ -175,6 +175,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = spelling_variants.count_words(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = spelling_variants.variants(counted.where("n >= 5"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _OP1 = rf"""
@@ -275,5 +281,6 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 ORACLE_SQL = {"op1_decontaminate": _OP1, "op6_url_filter": _OP6, "op8_jaccard_join": _OP8}
