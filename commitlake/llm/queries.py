@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlake.llm import decontaminate, jaccard_join, language_id, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, spelling_variants, token_files, toxicity, url_filter
+from commitlake.llm import decontaminate, jaccard_join, language_id, main_text, mixing, periodic_runs, quality_classifier, quality_rules, secret_scan, spelling_variants, token_files, toxicity, url_filter
 from commitlake.llm.common import crc_mod, cut, table
 from commitlake.session import scratch_path
 
@@ -181,6 +181,11 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.main_text(pages, url_filter.host_of(F.col("url"))).select("page_id", "url", "main.*")
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _OP1 = rf"""
@@ -282,5 +287,6 @@ QUERIES = {
     "op10_quality_classifier": op10_quality_classifier,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_main_text": op13_main_text,
 }
 ORACLE_SQL = {"op1_decontaminate": _OP1, "op6_url_filter": _OP6, "op8_jaccard_join": _OP8}
