@@ -11,13 +11,15 @@ temperature fitted on documents held back from the network's training calibrates
 the probability.
 
 The sample is ``PER_CLASS`` documents of each class at most. The words that have
-vectors are those of the sample's whole texts; their contexts are summed in every
+vectors are those of the sample's whole texts, ``MOST_PARTS`` letter and shape forms
+at most: those in most of the sample's documents. Their contexts are summed in every
 task over its documents, then by blocks of words. The network learns, and scores
 are made, from whole texts.
 
 Defined results: a null or empty text is a document without words and has the score
-of the zero vector; without labels every score is 0.5, with one class its smoothed
-share; rows that repeat get equal scores. Null labels do not teach.
+of the zero vector; without labels every score is 0.5; where the labels, or the
+documents found for them, are all of one class, that class's smoothed share; rows
+that repeat get equal scores. Null labels do not teach.
 """
 
 from __future__ import annotations
@@ -43,10 +45,13 @@ HIDDEN = 24
 EPOCHS = 40
 #: A word is known by its letters from so many occurrences on.
 LEAST = 3
-_REMEMBERED = 300_000
+#: Letter and shape forms that have vectors at most.
+MOST_PARTS = 200_000
+#: Distinct words that a task remembers.
+_REMEMBERED = 200_000
 _BLOCK = 150_000
 #: Words whose contexts are summed at once, and parts of a block of sums.
-_AT_ONCE, _PARTS = 30_000, 256
+_AT_ONCE, _PARTS = 100_000, 256
 
 _SHAPE = bytes(
     65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256)
@@ -57,7 +62,7 @@ _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 el
 
 def parts(word: bytes) -> tuple[bytes, bytes]:
     """The letters and the shape of a word."""
-    return b"l:" + word.translate(_LETTERS).strip(), b"s:" + _RUNS.sub(rb"\1", word.translate(_SHAPE))[:12]
+    return b"l:" + word.translate(_LETTERS).strip(), b"s:" + _RUNS.sub(rb"\1", word.translate(_SHAPE))
 
 
 def index_vectors(names: list[bytes], dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -71,25 +76,40 @@ def index_vectors(names: list[bytes], dimensions: int = DIMENSIONS) -> np.ndarra
 
 
 class _Numbers:
-    """Numbers of known parts, from 1 on; 0 is the unknown part's."""
+    """Numbers of words, each with its letters' and its shape's part number; parts are
+    numbered from 1 on, 0 is the unknown part's. Word 0 is a gap between texts."""
 
     def __init__(self, names: list[bytes]):
         self.number, self.wide = {p: i + 1 for i, p in enumerate(names)}, len(names) + 1
+        self._forget()
+
+    def _forget(self) -> None:
         self.memory: dict[bytes, int] = {}
+        self.both = np.zeros((1, 2), np.int64)
 
-    def _learn(self, words: list[bytes]) -> None:
-        """Remembers the two part numbers of each new word as one number."""
+    def ids(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of the words; ``both`` holds the part numbers of each."""
         if len(self.memory) > _REMEMBERED:
-            self.memory = {}
-        get, wide = self.number.get, self.wide
-        for w in set(words).difference(self.memory):
-            a, b = parts(w)
-            self.memory[w] = get(a, 0) * wide + get(b, 0)
-
-    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of each word's letters and shape."""
-        self._learn(words)
-        return np.divmod(np.fromiter(map(self.memory.__getitem__, words), np.int64, len(words)), self.wide)
+            self._forget()
+        new = list(set(words).difference(self.memory))
+        if new:
+            get, first = self.number.get, len(self.memory) + 1
+            self.memory.update(zip(new, range(first, first + len(new)), strict=True))
+            own = np.array([[get(p, 0) for p in parts(w)] for w in new], np.int64)
+            self.both = np.concatenate([self.both, own])
+        return np.fromiter(map(self.memory.__getitem__, words), np.int64, len(words))
+
+
+def _batches(texts: list[list[bytes]], most: int) -> Iterator[list[list[bytes]]]:
+    """Texts of about ``most`` words together, one text at least."""
+    at = 0
+    while at < len(texts):
+        end, n = at, 0
+        while end < len(texts) and n < most:
+            n += len(texts[end])
+            end += 1
+        yield texts[at:end]
+        at = end
 
 
 class Contexts(_Numbers):
@@ -98,34 +118,38 @@ class Contexts(_Numbers):
     def __init__(self, names: list[bytes]):
         super().__init__(names)
         self.index = np.vstack([np.zeros((1, DIMENSIONS)), index_vectors(names)]).astype(np.int8)
-        self.counts, self.sums = np.zeros(self.wide, np.int64), np.zeros((self.wide, DIMENSIONS), np.int32)
+        self.counts, self.sums = np.zeros(self.wide, np.int64), np.zeros((self.wide, DIMENSIONS), np.int64)
 
     def add_all(self, texts: list[list[bytes]]) -> None:
-        at = 0
-        while at < len(texts):
-            end, n = at, 0
-            while end < len(texts) and n < _AT_ONCE:
-                n += len(texts[end])
-                end += 1
-            self._add(texts[at:end])
-            at = end
+        for some in _batches(texts, _AT_ONCE):
+            self._add(some)
 
     def _add(self, texts: list[list[bytes]]) -> None:
-        both = self.ids([w for t in texts for w in t])
-        n = len(both[0])
+        sizes = np.array([len(t) for t in texts])
+        n = int(sizes.sum())
         if not n:
             return
-        around = self.index[both[0]].astype(np.int32) + self.index[both[1]]
-        total = np.vstack([np.zeros((1, DIMENSIONS), np.int32), np.cumsum(around, axis=0, dtype=np.int32)])
-        sizes = np.array([len(t) for t in texts])
-        ends, i = np.cumsum(sizes), np.arange(n)
-        first, last = np.repeat(ends - sizes, sizes), np.repeat(ends, sizes)
-        near = total[np.minimum(i + REACH + 1, last)] - total[np.maximum(i - REACH, first)] - around
-        for ids in both:
-            order = np.argsort(ids, kind="stable")
-            part, at, count = np.unique(ids[order], return_index=True, return_counts=True)
-            self.counts[part] += count
-            self.sums[part] += np.add.reduceat(near[order], at, axis=0)
+        # texts stand REACH gaps apart, so that no context reaches into the next
+        at = np.arange(n) + REACH * (np.repeat(np.arange(len(texts)), sizes) + 1)
+        word = np.zeros(n + REACH * (len(texts) + 1), np.int64)
+        word[at] = self.ids([w for t in texts for w in t])
+        # an entry is NONZERO at most for each part: 2 REACH neighbours' fit into a byte
+        own = self.index[self.both[:, 0]] + self.index[self.both[:, 1]]
+        around = own[word]
+        near = np.zeros_like(around)
+        for k in range(1, REACH + 1):
+            near[k:] += around[:-k]
+            near[:-k] += around[k:]
+        # by word first, then by the words' parts
+        word, near = word[at], near[at]
+        order = np.argsort(word, kind="stable")
+        distinct, first, count = np.unique(word[order], return_index=True, return_counts=True)
+        total = np.add.reduceat(near[order], first, axis=0, dtype=np.int32)
+        for part in self.both[distinct].T:
+            order = np.argsort(part, kind="stable")
+            each, first = np.unique(part[order], return_index=True)
+            self.counts[each] += np.add.reduceat(count[order], first)
+            self.sums[each] += np.add.reduceat(total[order], first, axis=0, dtype=np.int64)
 
 
 def corpus_contexts(texts: DataFrame, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -195,29 +219,57 @@ class WordVectors(_Numbers):
 
     def pool(self, texts: list[list[bytes]]) -> np.ndarray:
         """Document vectors: means by letters and by shape, length, distinct share."""
+        return np.concatenate([self._pool(some) for some in _batches(texts, _BLOCK)] or [np.zeros((0, 2 * DIMENSIONS + 2), np.float32)])
+
+    def _pool(self, texts: list[list[bytes]]) -> np.ndarray:
         out = np.zeros((len(texts), 2 * DIMENSIONS + 2), np.float32)
-        at = 0
-        while at < len(texts):
-            end, n = at, 0
-            while end < len(texts) and n < _BLOCK:
-                n += len(texts[end])
-                end += 1
-            both = self.ids([w for t in texts[at:end] for w in t])
-            sizes = np.array([len(t) for t in texts[at:end]])
-            doc = np.repeat(np.arange(end - at), sizes)
-            scale = 1 / np.maximum(sizes, 1)
-            for k, ids in enumerate(both):
-                # each distinct part of a document once, by its count
-                pair, count = np.unique(doc * len(self.table) + ids, return_counts=True)
-                owner, part = np.divmod(pair, len(self.table))
-                filled, first = np.unique(owner, return_index=True)
-                if len(pair):
-                    weighted = self.table[part] * count[:, None].astype(np.float32)
-                    out[at + filled, k * DIMENSIONS : (k + 1) * DIMENSIONS] = np.add.reduceat(weighted, first, axis=0)
-            out[at:end, : 2 * DIMENSIONS] *= scale[:, None]
-            out[at:end, -2] = np.log1p(sizes) / 10
-            out[at:end, -1] = [len(set(t)) / len(t) if t else 0 for t in texts[at:end]]
-            at = end
+        word, share, sizes = self._words(texts)
+        filled = np.flatnonzero(sizes)
+        if len(filled):
+            first = (np.cumsum(sizes) - sizes)[filled]
+            for k in (0, 1):
+                sums = np.add.reduceat(self.table[self.both[word, k]], first, axis=0)
+                out[filled, k * DIMENSIONS : (k + 1) * DIMENSIONS] = sums / sizes[filled, None]
+        out[:, -2:] = share
+        return out
+
+    def _words(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Word numbers of all texts, the two last features, and the texts' sizes."""
+        sizes = np.array([len(t) for t in texts])
+        word = self.ids([w for t in texts for w in t])
+        distinct = [len(set(t)) / len(t) if t else 0 for t in texts]
+        return word, np.stack([np.log1p(sizes) / 10, distinct], axis=1).astype(np.float32), sizes
+
+
+class Pooled(WordVectors):
+    """Word vectors after a linear map of the pooled features: a short row for each
+    word, summed over a document, gives what ``pool`` and the map give."""
+
+    def __init__(self, vectors: WordVectors, weights: np.ndarray):
+        _Numbers.__init__(self, [])
+        self.number, self.wide = vectors.number, vectors.wide
+        self.maps = [(vectors.table @ weights[k * DIMENSIONS : (k + 1) * DIMENSIONS]).astype(np.float32) for k in (0, 1)]
+        self.rest = weights[-2:]
+        self.rows = np.zeros((0, weights.shape[1]), np.float32)
+
+    def _forget(self) -> None:
+        super()._forget()
+        self.rows = None
+
+    def mapped(self, texts: list[list[bytes]]) -> np.ndarray:
+        return np.concatenate([self._mapped(some) for some in _batches(texts, _BLOCK)] or [np.zeros((0, self.rest.shape[1]))])
+
+    def _mapped(self, texts: list[list[bytes]]) -> np.ndarray:
+        word, share, sizes = self._words(texts)
+        if self.rows is None:
+            self.rows = np.zeros((0, self.rest.shape[1]), np.float32)
+        new = self.both[len(self.rows) :]
+        self.rows = np.concatenate([self.rows, self.maps[0][new[:, 0]] + self.maps[1][new[:, 1]]])
+        out = share @ self.rest
+        filled = np.flatnonzero(sizes)
+        if len(filled):
+            sums = np.add.reduceat(self.rows[word], (np.cumsum(sizes) - sizes)[filled], axis=0)
+            out[filled] += sums / sizes[filled, None]
         return out
 
 
@@ -225,7 +277,7 @@ class QualityModel:
     """Word vectors, the network and its temperature."""
 
     def __init__(self, vectors: WordVectors | None, constant: float = 0.5):
-        self.vectors, self.constant = vectors, constant
+        self.vectors, self.constant, self.pooled = vectors, constant, None
 
     def fit(self, x: np.ndarray, y: np.ndarray, prior: tuple[int, int], seed: int = 9) -> QualityModel:
         r = np.random.default_rng(seed)
@@ -279,19 +331,27 @@ class QualityModel:
     def scores(self, texts: list[bytes | None]) -> np.ndarray:
         if self.vectors is None:
             return np.full(len(texts), self.constant)
-        x = (self.vectors.pool([(t or b"").split() for t in texts]) - self.mean) / self.scale
-        return _logistic(self._logits(x) / self.temperature + self.shift)
+        if self.pooled is None:  # the network's first layer, word by word
+            self.pooled = Pooled(self.vectors, self.w1 / self.scale[:, None])
+        first = self.pooled.mapped([(t or b"").split() for t in texts]) + (self.b1 - self.mean / self.scale @ self.w1)
+        logits = np.maximum(first, 0) @ self.w2 + self.b2
+        return _logistic(logits / self.temperature + self.shift)
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> QualityModel:
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS, most_parts: int = MOST_PARTS) -> QualityModel:
     """Learns from the texts of ``docs`` and ``labels`` (doc_id and ``label``, 0 or 1)."""
     n0, n1 = class_counts(labels, label)
     if not n0 or not n1:
         return QualityModel(None, (n1 + 1) / (n0 + n1 + 2))
+    sampled = cut(sample(docs, labels, label, per_class))
+    found = {r.y: r["count"] for r in sampled.groupBy("y").count().collect()}
+    if len(found) < 2:
+        m1 = found.get(1, 0)
+        return QualityModel(None, (m1 + 1) / (sum(found.values()) + 2))
 
     def distinct(texts: pa.Array) -> pa.Array:
         out = [sorted({p for w in set((t or b"").split()) for p in parts(w)}) for t in text_bytes(texts)]
@@ -303,8 +363,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
             flat = np.concatenate(found) if found else np.empty((0, 2 * DIMENSIONS + 2), np.float32)
             yield pa.array(list(flat), pa.list_(pa.float32()))
 
-    sampled = cut(sample(docs, labels, label, per_class))
-    names = sampled.select(F.explode(F.arrow_udf(distinct, "array<binary>")("text")).alias("p")).distinct()
+    names = sampled.select(F.explode(F.arrow_udf(distinct, "array<binary>")("text")).alias("p")).groupBy("p").count()
+    names = names.orderBy(F.desc("count"), "p").limit(most_parts).select("p")
     names = sorted(names.toArrow().column(0).to_pylist())
     counts, sums = corpus_contexts(docs.select(F.col("text").cast("string")), names)
     known = np.flatnonzero(counts[1:] >= LEAST) + 1
@@ -314,8 +374,6 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
     rows = sampled.select("doc_id", "y", pool("text").alias("x")).collect()
     shared.unpersist()
     rows.sort(key=lambda r: str(r.doc_id))
-    if not rows:
-        return QualityModel(None)
     x = np.array([r.x for r in rows], np.float32)
     return QualityModel(vectors).fit(x, np.array([r.y for r in rows], float), (n0, n1))
 
