@@ -44,7 +44,7 @@ LEVELS = (5, 1, 9, 15, 14, 4, 2, 3, 8, 12, 13, 0, 7, 6, 10, 11)
 #: Words of a node that one task searches, and searches at a time.
 LEAF, SEARCHES = 20_000, 20_000
 #: Words of a node of the task's own trie that are compared at once.
-_FEW = 24
+_FEW = 16
 #: Distinct words that a task counts before it hands its counts on.
 _COUNTED = 200_000
 
@@ -103,7 +103,8 @@ def vectors(words: list[str]) -> np.ndarray:
     points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
     level = np.argsort(LEVELS)[points % GROUPS]
     at = np.repeat(np.arange(len(words)), sizes) * GROUPS + level
-    return np.bincount(at, minlength=len(words) * GROUPS).reshape(-1, GROUPS)
+    out = np.bincount(at, minlength=len(words) * GROUPS).reshape(-1, GROUPS)
+    return out.astype(np.int16) if sizes.max(initial=0) < 1 << 14 else out
 
 
 def _counts(word: Column) -> Column:
@@ -275,26 +276,36 @@ def _descend_all(trie: np.ndarray, v: np.ndarray, more: np.ndarray, less: np.nda
     return (np.concatenate(ask), np.concatenate(own)) if ask else (none, none)
 
 
-def verified(asked: list[str], held: list[str], ask: np.ndarray, own: np.ndarray, longer: int) -> list[tuple[str, str]]:
-    """The pairs (asked[i], held[j]) that one edit turns into each other."""
-    out = []
-    for i, j in zip(ask.tolist(), own.tolist(), strict=True):
-        a, b = asked[i], held[j]
-        if len(b) - len(a) != longer:
-            continue
-        if longer:
-            k = 0
-            for x, y in zip(a, b):  # noqa: B905
-                if x != y:
-                    break
-                k += 1
-            if a[k:] == b[k + 1 :]:
-                out.append((a, b))
-        elif sum(map(str.__ne__, a, b)) == 1:
-            out.append((a, b))
+def _points(words: list[str]) -> np.ndarray:
+    """A row of code points for each word, filled up with zeros."""
+    sizes = np.array([len(w) for w in words], np.int64)
+    out = np.zeros((len(words), int(sizes.max(initial=0)) + 1), np.uint32)
+    out[np.arange(out.shape[1])[None, :] < sizes[:, None]] = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
     return out
 
 
+def verified(asked: list[str], held: list[str], ask: np.ndarray, own: np.ndarray, longer: int) -> Iterator[tuple[str, str]]:
+    """The pairs (asked[i], held[j]) that one edit turns into each other; the held word
+    has ``longer`` code points more."""
+    sizes = [np.array([len(w) for w in words], np.int64) for words in (asked, held)]
+    fits = sizes[1][own] - sizes[0][ask] == longer
+    ask, own = ask[fits], own[fits]
+    a, b = _points(asked), _points(held)
+    width = max(a.shape[1], b.shape[1]) + 1
+    a, b = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (a, b))
+    block = max(1, 4_000_000 // width)
+    for at in range(0, len(ask), block):
+        i, j = ask[at : at + block], own[at : at + block]
+        differ = a[i] != b[j]
+        if longer:  # equal up to the first difference, and from there on shifted by one
+            before = np.logical_or.accumulate(differ, axis=1)
+            hit = ~(before[:, :-1] & (a[i, :-1] != b[j, 1:])).any(axis=1)
+        else:
+            hit = differ.sum(axis=1) == 1
+        for x, y in zip(i[hit].tolist(), j[hit].tolist(), strict=True):
+            yield asked[x], held[y]
+
+
 def variants(words: DataFrame, times: int = 5, leaf: int = LEAF, searches: int = SEARCHES) -> DataFrame:
     """word, n, n_near, form, form_n, root for each word of ``words`` (word, n).
 

@@ -7,13 +7,18 @@ identity terms are swapped for other identity terms, and every change of the
 score costs. Where the sample has few such sentences, neutral mentions are made
 from clean ones: a sentence with an identity term added against the
 same sentence with another, or with none. So a mention of a group does not
-move the score by itself.
+move the score by itself. The sentences are those of the sample's whole texts:
+``MENTIONS`` at most, those that name a group first, then by a hash.
 
-The classes are sampled evenly; the bias is then set back to their true odds.
+The classes are sampled evenly, and the penalty shrinks the weights. So the sums
+are set back by a scale and a bias that fit the labels of documents left out of a
+model's training (``FOLDS`` models, each without its part), classes weighted as
+they occur.
 
 Defined results: a null or empty text, or one without known words, gets the score of
-the bias; without labels every score is 0.5, with one class its smoothed share;
-rows that repeat get equal scores. Null labels do not teach.
+the bias; without labels every score is 0.5; where the labels, or the documents
+found for them, are all of one class, that class's smoothed share; rows that repeat
+get equal scores. Null labels do not teach.
 """
 
 from __future__ import annotations
@@ -26,14 +31,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import runs
+from commitlake.llm.common import cut, runs
 from commitlake.llm.labelled import class_counts, sample
 
 PER_CLASS = 6000
 #: Words that the model may know.
 VOCABULARY = 20_000
-#: Sentences that are made into counterfactual pairs.
-MENTIONS = 2000
+#: Sentences that are made into counterfactual pairs, at most.
+MENTIONS = 10_000
+#: Models that each leave a part of the sample out, to calibrate on it.
+FOLDS = 4
 #: Divided by the number of sampled documents.
 L1 = 0.6
 FAIR = 1.0
@@ -93,25 +100,27 @@ def _numbers(known: dict[bytes, int]):
     return F.arrow_udf(numbers, "array<int>")
 
 
-def mentions(known: dict[bytes, int], limit: int, seed: int = 3):
-    """Arrow function: sentences (as word numbers) of a text that name an identity
-    term, at most ``limit`` of them, else its first whole sentence."""
+def mentions(sampled: DataFrame, known: dict[bytes, int], limit: int = MENTIONS) -> list[list[int]]:
+    """Sentences (as word numbers) of the sample's whole texts: those that name an
+    identity term first, then those of more than three words, by a hash."""
     terms = {t.encode() for t in IDENTITY}
 
-    def cut(texts: pa.Array) -> pa.Array:
+    def split(texts: pa.Array) -> pa.Array:
         out = []
         for t in texts.to_pylist():
-            named, plain = [], None
+            found = []
             for s in re.split(r"[.!?\n]+", t or ""):
                 w = set(words(s))
-                if len(named) < limit and w & terms:
-                    named.append(sorted(known[x] for x in w if x in known))
-                elif plain is None and len(w) > 3:
-                    plain = sorted(known[x] for x in w if x in known)
-            out.append(named or [plain or []])
-        return pa.array(out, pa.list_(pa.list_(pa.int32())))
+                named = bool(w & terms)
+                if named or len(w) > 3:
+                    found.append({"plain": not named, "x": sorted(known[x] for x in w if x in known)})
+            out.append(found)
+        return pa.array(out, pa.list_(pa.struct([("plain", pa.bool_()), ("x", pa.list_(pa.int32()))])))
 
-    return F.arrow_udf(cut, "array<array<int>>")
+    sentences = F.arrow_udf(split, "array<struct<plain:boolean,x:array<int>>>")
+    rows = sampled.select("doc_id", F.posexplode(sentences("text")).alias("at", "s"))
+    rows = rows.orderBy("s.plain", F.xxhash64(F.col("doc_id").cast("string"), "at"), "doc_id", "at").limit(limit)
+    return [list(r.x) for r in rows.select("s.x").collect()]
 
 
 class _Rows:
@@ -129,13 +138,11 @@ class _Rows:
         return np.bincount(self.col, error[self.row], minlength=self.width)
 
 
-def counterfactuals(sentences: list[list[int]], terms: list[int], limit: int = MENTIONS, seed: int = 3):
+def counterfactuals(sentences: list[list[int]], terms: list[int], seed: int = 3):
     """Pairs of rows: a sentence with an identity term, and with another or none."""
     r, known = np.random.default_rng(seed), set(terms)
     left, right = [], []
     for s in sentences:
-        if len(left) >= limit:
-            break
         rest = [c for c in s if c not in known]
         own = [c for c in s if c in known] or [int(r.choice(terms))]
         swapped = [int(r.choice(terms)) for _ in own]
@@ -184,28 +191,48 @@ def train(
     if not n0 or not n1:
         share = (n1 + 1) / (n0 + n1 + 2)
         return WordModel({}, float(np.log(share / (1 - share))))
-    sampled = sample(docs, labels, label, per_class)
+    sampled = cut(sample(docs, labels, label, per_class))
+    found = {r.y: r["count"] for r in sampled.groupBy("y").count().collect()}
+    if len(found) < 2:
+        share = (found.get(1, 0) + 1) / (sum(found.values()) + 2)
+        return WordModel({}, float(np.log(share / (1 - share))))
     terms = [t.encode() for t in IDENTITY]
-    share = min(n1, per_class) / (min(n0, per_class) + min(n1, per_class))
-    names = sorted({*vocabulary(sampled, share, size), *terms})
+    names = sorted({*vocabulary(sampled, found[1] / (found[0] + found[1]), size), *terms})
     known = {w: i for i, w in enumerate(names)}
-    cut_of = mentions(known, 20)
-    rows = sampled.select("doc_id", "y", _numbers(known)("text").alias("x"), cut_of("text").alias("s")).collect()
+    rows = sampled.select("doc_id", "y", _numbers(known)("text").alias("x")).collect()
     rows.sort(key=lambda r: str(r.doc_id))
-    if not rows:
-        return WordModel({}, 0.0)
-    y = np.array([r.y for r in rows], float)
-    numbers = {known[t] for t in terms}
-    sentences = [list(s) for r in rows for s in r.s]
-    # named sentences first, then neutral mentions put into clean ones
-    sentences.sort(key=lambda s: not numbers & set(s))
-    pairs = counterfactuals(sentences, sorted(numbers))
-    w, bias = fit([list(r.x) for r in rows], y, pairs, len(names), fair=fair)
-    if 0 < y.sum() < len(y):
-        bias += np.log(n1 / n0) - np.log(y.sum() / (len(y) - y.sum()))
+    x, y = [list(r.x) for r in rows], np.array([r.y for r in rows], float)
+    pairs = counterfactuals(mentions(sampled, known), sorted({known[t] for t in terms}))
+    w, bias = fit(x, y, pairs, len(names), fair=fair)
+    scale, shift = calibration(x, y, pairs, len(names), fair, n1 / n0)
+    w, bias = w * scale, bias * scale + shift
     return WordModel({names[i]: float(w[i]) for i in np.flatnonzero(np.abs(w) > 1e-6)}, float(bias))
 
 
+def calibration(
+    x: list[list[int]], y: np.ndarray, pairs: tuple[list, list], width: int, fair: float, odds: float, seed: int = 13
+) -> tuple[float, float]:
+    """Scale and shift of the sums: the ones of least log loss over documents that the
+    model did not learn from, where class 1 is ``odds`` times as frequent as class 0."""
+    fold, sums = np.random.default_rng(seed).integers(0, FOLDS, len(y)), np.zeros(len(y))
+    weight = np.where(y == 1, odds * max((y == 0).sum(), 1) / max((y == 1).sum(), 1), 1.0)
+    for k in range(FOLDS):
+        own, left = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        if not len(left) or len(set(y[own])) < 2:
+            return 1.0, float(np.log(odds) - np.log(y.sum() / (len(y) - y.sum())))
+        w, bias = fit([x[i] for i in own], y[own], pairs, width, fair=fair, steps=STEPS // 2)
+        sums[left] = _Rows([x[i] for i in left], width).times(w) + bias
+    scale, shift = 1.0, 0.0
+    for _ in range(50):  # Newton steps, slightly held to a scale of 1
+        p = 1 / (1 + np.exp(-np.clip(scale * sums + shift, -50, 50)))
+        a, h = weight * (p - y), weight * p * (1 - p)
+        grad = np.array([a @ sums + scale - 1, a.sum()])
+        step = np.linalg.solve([[h @ (sums * sums) + 1, h @ sums], [h @ sums, h.sum() + 1e-6]], grad)
+        step *= min(1.0, 2 / (np.abs(step).max() + 1e-9))
+        scale, shift = scale - step[0], shift - step[1]
+    return float(max(scale, 0.1)), float(shift)
+
+
 def toxicity(text: Column, model: WordModel) -> Column:
     """Score between 0 and 1 of each whole text."""
 
