@@ -10,13 +10,16 @@ symmetric difference of two linked sets of its size class. Linked sets differ
 in at most d shingles, so at least one block is the same in both: a block's
 content is the key of an index list, and all blocks in which two sets differ
 are skipped unread. Common shingles cause no long lists, as a list is shared
-only by sets that agree in a whole block. Size classes grow by a quarter; a set
+only by sets that agree in a whole block. Size classes grow by a half; a set
 that may be linked into the next class is listed there too. Sets alike have one
 entry.
 
 Answers from a similar set's answers. All lists with the same smallest member,
 their leader, are worked on together. Each member is first compared with its
-leader alone, which gives its exact similarity to it and the first components.
+leader alone, which gives its exact similarity to it and the first components. From then
+on it is known by what sets it apart from the leader: which of the leader's
+shingles it has, one bit each, and those of its own. Two members' intersection
+follows from these, so that whole sets are read once, where their texts are.
 Members in their leader's component have their answers from the leader's: pairs
 among them are skipped. A member outside is compared with members that can
 still be linked with it: those of about its size whose distance from the
@@ -54,7 +57,9 @@ BLOCK = 256
 _WORDS = 200_000
 #: A list is hot from a share of 1 / _HOT of the sampled rows on, and ``_RARE`` rows.
 _HOT, _RARE, _SAMPLED = 100_000, 50, 64
-_SET = "n long, h1 long, h2 long, lists array<long>"
+#: Bytes of the leaders' sets that are broadcast at most; more are joined by a shuffle.
+LEADER_BYTES = 32_000_000
+_SET = "n long, h1 long, h2 long"
 
 
 class Rule(NamedTuple):
@@ -65,7 +70,7 @@ class Rule(NamedTuple):
         """First sizes of the size classes."""
         first, step = [1], 1
         while first[-1] <= upto:
-            step = max(first[-1] + 1, first[-1] * 5 // 4)
+            step = max(first[-1] + 1, first[-1] * 3 // 2)
             first.append(step)
         return first
 
@@ -121,36 +126,49 @@ def list_keys(s: np.ndarray, rule: Rule, starts: list[int]) -> np.ndarray:
     return np.concatenate(keys).view(np.int64)
 
 
+def _identity(s: np.ndarray) -> tuple[int, int]:
+    import xxhash
+
+    raw = xxhash.xxh3_128_digest(s.tobytes())
+    return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
+
+
 def _sets(text: Column, rule: Rule) -> Column:
-    """Struct of the set's size, 128-bit identity and index lists."""
+    """Struct of the set's size and 128-bit identity."""
 
     def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        import xxhash
+        hashes = _Hashes()
+        for texts in batches:
+            n, own = [], []
+            for body in (t for part in runs(texts) for t in text_bytes(part)):
+                s = shingles(body, rule.n, hashes)
+                n.append(len(s))
+                own.append(_identity(s))
+            h1, h2 = (pa.array([x[k] for x in own], pa.int64()) for k in (0, 1))
+            yield struct_array({"n": pa.array(n, pa.int64()), "h1": h1, "h2": h2})
+
+    return F.arrow_udf(build, _SET).asNondeterministic()(text)
+
 
+def _listed(text: Column, rule: Rule) -> Column:
+    """Struct of the first half of the set's identity and its index lists."""
+
+    def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes, starts = _Hashes(), rule.classes(1)
         for texts in batches:
-            n, h1, h2, lists = [], [], [], []
+            h1, lists = [], []
             for body in (t for part in runs(texts) for t in text_bytes(part)):
                 s = shingles(body, rule.n, hashes)
                 if 200 * len(s) >= rule.percent * starts[-2]:
                     starts = rule.classes(400 * len(s) // rule.percent)
-                identity = xxhash.xxh3_128_digest(s.tobytes())
-                n.append(len(s))
-                h1.append(int.from_bytes(identity[:8], "little", signed=True))
-                h2.append(int.from_bytes(identity[8:], "little", signed=True))
+                h1.append(_identity(s)[0])
                 lists.append(list_keys(s, rule, starts))
             flat = np.concatenate(lists) if lists else np.empty(0, np.int64)
             ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            yield struct_array(
-                {
-                    "n": pa.array(n, pa.int64()),
-                    "h1": pa.array(h1, pa.int64()),
-                    "h2": pa.array(h2, pa.int64()),
-                    "lists": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64())),
-                }
-            )
+            keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
+            yield struct_array({"h1": pa.array(h1, pa.int64()), "lists": keys})
 
-    return F.arrow_udf(build, _SET).asNondeterministic()(text)
+    return F.arrow_udf(build, "h1 long, lists array<long>").asNondeterministic()(text)
 
 
 def _shingle_udf(text: Column, n: int) -> Column:
@@ -210,27 +228,31 @@ class JaccardJoin:
         self.labels = self._labels(made)
 
     def _labels(self, made: DataFrame) -> DataFrame:
-        pairs = self._leaders(made)
-        wanted = cut(pairs.select("h1").union(pairs.select("leader")).distinct())
-        # the texts of one document of each wanted set
-        one = made.where("n > 0").join(wanted, "h1").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "t")).alias("one"))
-        one = one.select("h1", "h2", F.col("one.doc_id").alias("id"), F.col("one.t").alias("t"))
+        pairs = self._leaders()
+        asks = pairs.groupBy("h1").agg(F.collect_list("leader").alias("leaders"))
+        leaders = pairs.select(F.col("leader").alias("h1")).distinct().withColumn("leads", F.lit(True))
+        wanted = cut(asks.join(leaders, "h1", "full"))
+        # one document of each set, found in the tasks first: copies of a set never meet as rows
+        one = made.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "t")).alias("one"))
+        one = one.join(wanted, "h1").select("h1", "h2", F.col("one.doc_id").alias("id"), F.col("one.t").alias("t"), "leaders", "leads")
         one = cut(one)
-        texts = self.texts.withColumnRenamed("t", "t0").join(
-            small(one), (F.col("t0") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("id"))
-        )
-        sets = cut(texts.select("h1", "h2", _shingle_udf(F.col("text"), self.rule.n).alias("set")))
-        if sets.count() > one.count():  # rows that are repeated as a whole
-            sets = cut(sets.dropDuplicates(["h1", "h2"]))
-        sets = sets.select(F.struct("h1", "h2").alias("node"), "h1", "set")
-        pairs = cut(self._measured(pairs, sets))
+        repeated = not made.groupBy("doc_id", "t").count().where("count > 1").isEmpty()
+        pairs = self._measured(one, repeated)
         near = components(pairs.where("linked").select("a", "b"))
-        more = self._outside(pairs, near, sets)
+        more = self._outside(pairs, near)
         if more is None:
             return near
         return components(pairs.where("linked").select("a", "b").union(more))
 
-    def _leaders(self, made: DataFrame) -> DataFrame:
+    def _read(self, one: DataFrame, repeated: bool) -> DataFrame:
+        """The columns of ``one``, which holds a document of each set, and the set."""
+        texts = self.texts.withColumnRenamed("t", "t0").join(
+            small(one), (F.col("t0") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("id"))
+        )
+        sets = texts.select("h1", "h2", "leaders", _shingle_udf(F.col("text"), self.rule.n).alias("set"))
+        return sets.dropDuplicates(["h1", "h2"]) if repeated else sets
+
+    def _leaders(self) -> DataFrame:
         """h1, leader: the smallest members of the lists that a set is in.
 
         Lists are dealt by their key, once for the leaders and the members.
@@ -238,10 +260,11 @@ class JaccardJoin:
         most ``_HOT`` lists) is not dealt: its leader comes from a
         pre-aggregated minimum and is broadcast to its members.
         """
-        listed = made.select("h1", F.explode("lists").alias("list"))
+        every = lambda rows: rows.select(_listed(F.col("text"), self.rule).alias("s")).select("s.h1", F.explode("s.lists").alias("list"))
+        listed = every(self.texts)
         ends = (F.min("h1").alias("leader"), F.max("h1").alias("last"))
-        some = made.where(F.pmod(F.xxhash64("doc_id", "t"), F.lit(_SAMPLED)) == 0)
-        counts = some.select(F.explode("lists").alias("list")).groupBy("list").count()
+        some = self.texts.where(F.pmod(F.xxhash64("doc_id", "t"), F.lit(_SAMPLED)) == 0)
+        counts = every(some).groupBy("list").count()
         least = max(_RARE, math.ceil((counts.agg(F.sum("count")).first()[0] or 0) / _HOT))
         hot = cut(counts.where(F.col("count") >= least).select("list"))
         heated = not hot.isEmpty()
@@ -253,47 +276,65 @@ class JaccardJoin:
             pairs = pairs.unionByName(listed.join(F.broadcast(cut(top.select("list", "leader"))), "list"))
         return cut(pairs.where("h1 <> leader").select("h1", "leader").distinct())
 
-    def _measured(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """a, b, distance, linked, n_a: each member a and leader b compared."""
-        a = sets.select(F.col("node").alias("a"), F.col("h1"), F.col("set").alias("set_a"))
-        leaders = small(cut(pairs.select(F.col("leader").alias("h1")).distinct()))
-        b = sets.join(leaders, "h1", "left_semi")
-        b = b.select(F.col("node").alias("b"), F.col("h1").alias("leader"), F.col("set").alias("set_b"))
+    def _measured(self, one: DataFrame, repeated: bool) -> DataFrame:
+        """a, b, n_a, distance, linked, kept, added: each member a compared with its
+        leader b. ``kept``: a bit for each shingle of the leader, ``added``: the others."""
+        leaders = self._read(one.where("leads"), repeated)
+        leaders = cut(leaders.select(F.struct("h1", "h2").alias("b"), F.col("h1").alias("leader"), F.col("set").alias("set_b")))
+        if (leaders.agg(F.sum(F.octet_length("set_b"))).first()[0] or 0) <= LEADER_BYTES:
+            leaders = F.broadcast(leaders)
         rule = self.rule
 
         def compare(x: pa.Array, y: pa.Array) -> pa.Array:
-            distance, linked = [], []
+            n, distance, linked, kept, added = [], [], [], [], []
             for p, q in zip(x.to_pylist(), y.to_pylist(), strict=True):
                 p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                sizes = len(p) + len(q)
+                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
+                same = q[at] == p
+                both, sizes = int(same.sum()), len(p) + len(q)
+                bits = np.zeros(len(q), bool)
+                bits[at[same]] = True
+                n.append(len(p))
                 distance.append(1 - both / (sizes - both))
                 linked.append(bool(rule.linked(both, sizes)))
-            return struct_array({"distance": pa.array(distance), "linked": pa.array(linked)})
+                kept.append(np.packbits(bits).tobytes())
+                added.append(p[~same].tobytes())
+            return struct_array(
+                {
+                    "n_a": pa.array(n, pa.int64()),
+                    "distance": pa.array(distance, pa.float64()),
+                    "linked": pa.array(linked, pa.bool_()),
+                    "kept": pa.array(kept, pa.binary()),
+                    "added": pa.array(added, pa.binary()),
+                }
+            )
 
-        compared = F.arrow_udf(compare, "distance double, linked boolean").asNondeterministic()
-        joined = pairs.join(a, "h1").join(b, "leader")
-        joined = joined.select("a", "b", (F.octet_length("set_a") / 8).alias("n_a"), compared("set_a", "set_b").alias("x"))
-        return joined.select("a", "b", "n_a", "x.*")
+        kind = "n_a long, distance double, linked boolean, kept binary, added binary"
+        compared = F.arrow_udf(compare, kind).asNondeterministic()
+        members = self._read(one.where("leaders IS NOT NULL"), repeated)
+        members = members.select(F.struct("h1", "h2").alias("a"), F.col("set").alias("set_a"), F.explode("leaders").alias("leader"))
+        joined = members.join(leaders, "leader").select("a", "b", compared("set_a", "set_b").alias("x"))
+        return cut(joined.select("a", "b", "x.*"))
 
-    def _outside(self, pairs: DataFrame, near: DataFrame, sets: DataFrame) -> DataFrame | None:
+    def _outside(self, pairs: DataFrame, near: DataFrame) -> DataFrame | None:
         """Links between members of one leader that are in different components."""
         label = near.select(F.col("node").alias("a"), "label")
         rows = pairs.join(label, "a", "left").select(
-            F.col("b").alias("leader"), F.col("a").alias("node"), "n_a", "distance", F.coalesce("label", "a").alias("label")
+            F.col("b").alias("leader"), F.col("a").alias("node"), "n_a", "distance", "kept", "added", F.coalesce("label", "a").alias("label")
         )
         top = near.select(F.col("node").alias("leader"), F.col("label").alias("top"))
         rows = rows.join(top, "leader", "left").withColumn("top", F.coalesce("top", "leader"))
         # a leader with one member more is done; so is one whose members all are in its component
         open_ = rows.groupBy("leader").agg(F.count("*").alias("m"), F.count_if(F.col("label") != F.col("top")).alias("o"))
-        open_ = open_.where("m > 1 AND o > 0").select("leader")
+        open_ = small(cut(open_.where("m > 1 AND o > 0").select("leader")))
         # cells of about one size and one distance from the leader: linked sets
         # are in the same or in neighbouring cells
         size = F.floor(F.log("n_a") / (1.001 * -math.log(self.rule.percent / 100)))
         far = F.floor(F.col("distance") / (1.001 * (1 - self.rule.percent / 100)))
         rows = rows.join(open_, "leader").select(
-            "leader", "node", "label", (F.col("label") != F.col("top")).alias("out"), size.alias("size"), far.alias("far")
-        )
+            "leader", "node", "label", (F.col("label") != F.col("top")).alias("out"), size.alias("size"), far.alias("far"),
+            F.struct("n_a", "kept", "added").alias("apart"),
+        )
         rows = cut(rows)
         if rows.isEmpty():
             return None
@@ -315,22 +356,22 @@ class JaccardJoin:
         work = work.join(parts.select("leader", "size", "far", "parts"), ["leader", "size", "far"])
         draw = F.xxhash64("node")
         held = rows.join(work, ["leader", "size", "far"]).select(
-            "leader", "node", "label", "q_size", "q_far", "size", "far",
+            "leader", "node", "label", "apart", "q_size", "q_far", "size", "far",
             F.pmod(draw, F.col("parts")).alias("part"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("asks") - 1)).alias("ask"),
             F.lit(0).alias("asking"),
         )
-        asked = rows.where("out").select("leader", "node", "label", F.col("size").alias("q_size"), F.col("far").alias("q_far"))
+        asked = rows.where("out").select("leader", "node", "label", "apart", F.col("size").alias("q_size"), F.col("far").alias("q_far"))
         asked = asked.join(work, ["leader", "q_size", "q_far"]).select(
-            "leader", "node", "label", "q_size", "q_far", "size", "far",
+            "leader", "node", "label", "apart", "q_size", "q_far", "size", "far",
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
             F.pmod(draw, F.col("asks")).alias("ask"),
             F.lit(1).alias("asking"),
         )
         cell = F.xxhash64("leader", "q_size", "q_far", "size", "far", "part", "ask")
-        both = held.unionByName(asked).select(cell.alias("cell"), "asking", "node", "label")
-        both = both.join(sets.select("node", "set"), "node").repartition("cell").sortWithinPartitions("cell", "asking")
-        return cut(both.select("cell", "asking", "node", "label", "set").mapInArrow(self._compare(), _EDGE).distinct())
+        both = held.unionByName(asked).select(cell.alias("cell"), "asking", "node", "label", "apart.*")
+        both = both.repartition("cell").sortWithinPartitions("cell", "asking")
+        return cut(both.mapInArrow(self._compare(), _EDGE).distinct())
 
     def _compare(self):
         rule = self.rule
@@ -343,12 +384,12 @@ class JaccardJoin:
                 for i in range(batch.num_rows):
                     if x["cell"][i] != cell:
                         cell, held = x["cell"][i], _Held(rule)
-                    node, s = x["node"][i], np.frombuffer(x["set"][i], np.uint64)
-                    label = (x["label"][i]["h1"], x["label"][i]["h2"])
+                    node, label = x["node"][i], (x["label"][i]["h1"], x["label"][i]["h2"])
+                    kept, added = np.frombuffer(x["kept"][i], np.uint8), np.frombuffer(x["added"][i], np.uint64)
                     if x["asking"][i]:
-                        out += ((node, other) for other in held.links(node, label, s))
+                        out += ((node, other) for other in held.links(label, x["n_a"][i], kept, added))
                     else:
-                        held.add(node, label, s)
+                        held.add(node, label, x["n_a"][i], kept, added)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([e[k] for e in out], _NODE) for k in (0, 1)], ["a", "b"]
                 )
@@ -375,42 +416,47 @@ _EDGE = "a struct<h1:long,h2:long>, b struct<h1:long,h2:long>"
 
 
 class _Held:
-    """A bounded block of sets with an inverted index from shingle to sets."""
+    """A bounded block of one leader's sets: the bits of the leader's shingles, and an
+    inverted index from the other shingles to sets."""
 
     def __init__(self, rule: Rule):
-        self.rule, self.rows, self.sets, self.ready = rule, [], [], False
+        self.rule, self.rows, self.n, self.kept, self.added, self.ready = rule, [], [], [], [], False
 
-    def add(self, node: dict, label: tuple, s: np.ndarray) -> None:
+    def add(self, node: dict, label: tuple, n: int, kept: np.ndarray, added: np.ndarray) -> None:
         self.rows.append((node, label))
-        self.sets.append(s)
+        self.n.append(n)
+        self.kept.append(kept)
+        self.added.append(added)
 
     def _index(self) -> None:
-        sizes = np.array([len(s) for s in self.sets], np.int64)
-        flat = np.concatenate(self.sets)
+        self.bits, self.sizes, self.ready = np.stack(self.kept), np.array(self.n, np.int64), True
+        flat = np.concatenate(self.added)
         order = np.argsort(flat, kind="stable")
-        self.owner = np.repeat(np.arange(len(sizes)), sizes)[order]
+        self.owner = np.repeat(np.arange(len(self.added)), [len(x) for x in self.added])[order]
         self.shingle, self.first = np.unique(flat[order], return_index=True)
         self.last = np.append(self.first[1:], len(flat))
-        self.sizes, self.ready = sizes, True
         numbers: dict[tuple, int] = {}
         self.label = np.array([numbers.setdefault(label, len(numbers)) for _, label in self.rows])
         self.numbers = numbers
 
-    def links(self, node: dict, label: tuple, s: np.ndarray) -> Iterator[dict]:
+    def _shared(self, kept: np.ndarray, added: np.ndarray) -> np.ndarray:
+        """Shingles that each held set has in common with a set."""
+        both = np.bitwise_count(self.bits & kept).sum(axis=1, dtype=np.int64)
+        if len(self.shingle) and len(added):
+            at = np.minimum(np.searchsorted(self.shingle, added), len(self.shingle) - 1)
+            at = at[self.shingle[at] == added]
+            first, n = self.first[at], self.last[at] - self.first[at]
+            gather = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else at
+            both += np.bincount(self.owner[gather], minlength=len(both))
+        return both
+
+    def links(self, label: tuple, n: int, kept: np.ndarray, added: np.ndarray) -> Iterator[dict]:
         """Linked sets in other components, one of each component."""
         if not self.rows:
             return
         if not self.ready:
             self._index()
-        at = np.minimum(np.searchsorted(self.shingle, s), len(self.shingle) - 1)
-        at = at[self.shingle[at] == s]
-        first, last = self.first[at], self.last[at]
-        n = last - first
-        if not n.sum():
-            return
-        gather = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        both = np.bincount(self.owner[gather], minlength=len(self.sizes))
-        hit = np.flatnonzero(self.rule.linked(both, self.sizes + len(s)))
+        hit = np.flatnonzero(self.rule.linked(self._shared(kept, added), self.sizes + n))
         hit = hit[self.label[hit] != self.numbers.get(label, -1)]
         for i in hit[np.unique(self.label[hit], return_index=True)[1]]:
             yield self.rows[i][0]
