@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Iterator
 
@@ -59,6 +61,18 @@ def small(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= SMALL_ROWS else rows
 
 
+def release() -> None:
+    """Hands a task's memory back to the system: Python workers live on, and run the
+    tasks of other stages beside the executor's own memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(_LIBC, "malloc_trim", None):  # glibc only
+        trim(0)
+
+
+_LIBC = ctypes.CDLL(None)
+
+
 def text_bytes(texts: pa.Array) -> list:
     """UTF-8 bytes of each text (None stays None), without a detour over str."""
     kind = pa.large_binary() if pa.types.is_large_string(texts.type) else pa.binary()

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import cut, free_name, struct_array, text_bytes
+from commitlake.llm.common import cut, free_name, release, struct_array, text_bytes
 from commitlake.llm.common import runs as run_of
 
 #: Words of a window.
@@ -187,6 +187,7 @@ def _scanner(broadcast):
                     "items": pa.array(items, pa.list_(pa.string())),
                 }
             )
+        release()
 
     return F.arrow_udf(hits, _RESULT).asNondeterministic()
 

@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import cut, free_name, mix64, runs, small, struct_array, text_bytes
+from commitlake.llm.common import cut, free_name, mix64, release, runs, small, struct_array, text_bytes
 
 N = 3
 PERCENT = 90
@@ -146,6 +146,8 @@ def _sets(text: Column, rule: Rule) -> Column:
                 own.append(_identity(s))
             h1, h2 = (pa.array([x[k] for x in own], pa.int64()) for k in (0, 1))
             yield struct_array({"n": pa.array(n, pa.int64()), "h1": h1, "h2": h2})
+        del hashes
+        release()
 
     return F.arrow_udf(build, _SET).asNondeterministic()(text)
 
@@ -167,6 +169,8 @@ def _listed(text: Column, rule: Rule) -> Column:
             ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
             keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
             yield struct_array({"h1": pa.array(h1, pa.int64()), "lists": keys})
+        del hashes
+        release()
 
     return F.arrow_udf(build, "h1 long, lists array<long>").asNondeterministic()(text)
 
@@ -179,6 +183,8 @@ def _shingle_udf(text: Column, n: int) -> Column:
         for texts in batches:
             sets = [shingles(t, n, hashes).tobytes() for part in runs(texts) for t in text_bytes(part)]
             yield pa.array(sets, pa.binary())
+        del hashes
+        release()
 
     return F.arrow_udf(build, "binary").asNondeterministic()(text)
 

@@ -8,12 +8,16 @@ driver, on a bounded sample of labelled texts; tasks apply the network to all
 windows of their whole texts in blocks. A document's distribution is the mean
 of its windows', weighted by their letters.
 
-The sample: ``PER_LANGUAGE`` documents of each language, about, chosen by a hash
-of id and text, and ``WINDOWS_OF_DOC`` windows of each, spread over the text.
+The sample: of the ``MOST_LANGUAGES`` values of lang that most documents have
+(ties: smallest first), ``PER_LANGUAGE`` documents of each at most, chosen by a hash
+of id and text; rows that repeat are one. All windows of the sample's whole texts
+teach, as far as a language has ``TAUGHT`` of them; of more, each document's share is
+drawn by a hash, so that long texts do not make the driver's work unbounded.
 
 Defined results: a null text, or one without letters, is ``und`` with score 0, as
 is every text when nothing is labelled; with one language all texts are it;
-repeated rows get equal answers; rows with a null label do not teach.
+repeated rows get equal answers; rows with a null label, or with one that is not
+among the learned languages, do not teach.
 """
 
 from __future__ import annotations
@@ -23,17 +27,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import free_name, runs, struct_array, text_bytes
+from commitlake.llm.common import cut, free_name, release, runs, struct_array, text_bytes
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 EMBED = 8
-PER_LANGUAGE = 600
-WINDOWS_OF_DOC = 4
-EPOCHS = 5
+#: The sample's bounds: languages, documents of each, and windows of each.
+MOST_LANGUAGES, PER_LANGUAGE, TAUGHT = 200, 600, 10_000
+#: Rounds over the sample's windows; of a small sample as many as make ``_STEPS`` steps,
+#: up to ``_ROUNDS``.
+EPOCHS, _STEPS, _ROUNDS = 2, 600, 15
 #: Windows that a task holds at once.
 _BLOCK = 64
 UNKNOWN = "und"
@@ -171,38 +178,45 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def sample(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> list:
+def sample(labelled: DataFrame, per_language: int = PER_LANGUAGE, most: int = MOST_LANGUAGES, taught: int = TAUGHT) -> list:
     """Rows of lang and a window: the bounded sample that a network learns from."""
     rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL")
     rows = rows.select(F.col("doc_id").cast("string"), F.col("lang").cast("string"), F.col("text").cast("string"))
-    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit("")), "text"), F.lit(1_000_000)) / 1e6
-    chance = F.lit(0.0)
-    for lang, n in counts.items():
-        chance = F.when(F.col("lang") == lang, F.lit(min(1.0, per_language / n))).otherwise(chance)
-
-    def pick(texts: pa.Array) -> pa.Array:
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most).collect()
+    draw = F.xxhash64(F.coalesce("doc_id", F.lit("")), "text")
+    chance = F.create_map(*(F.lit(x) for r in counts for x in (r.lang, min(1.0, 2 * per_language / r.n)))) if counts else None
+    if chance is None:
+        return []
+    # about twice as many by chance, in the scan; of these the first by the draw
+    picked = rows.withColumn("draw", draw).where(F.pmod("draw", F.lit(1_000_003)) / 1_000_003 < F.coalesce(chance[F.col("lang")], F.lit(0.0)))
+    picked = picked.dropDuplicates(["lang", "draw"])
+    first = F.row_number().over(W.partitionBy("lang").orderBy("draw"))
+    picked = cut(picked.withColumn("at", first).where(F.col("at") <= per_language).select("lang", "draw", "text"))
+
+    def every(texts: pa.Array) -> pa.Array:
         out = []
         for t in text_bytes(texts):
             x, _ = windows([fold(t)])
-            if len(x) > 1:
-                x = x[:-1]  # the padded one
-            use = np.unique(np.linspace(0, len(x) - 1, WINDOWS_OF_DOC).astype(int)) if len(x) else ()
-            out.append([x[i].tobytes() for i in use])
+            out.append([w.tobytes() for w in x])
         return pa.array(out, pa.list_(pa.binary()))
 
-    picked = rows.where(draw < chance).limit(2 * per_language * max(1, len(counts)))
-    picked = picked.select("lang", F.explode(F.arrow_udf(pick, "array<binary>")("text")).alias("win"))
-    return sorted((r.lang, bytes(r.win)) for r in picked.collect())
+    cuts = picked.select("lang", "draw", F.posexplode(F.arrow_udf(every, "array<binary>")("text")).alias("place", "win"))
+    sizes = {r.lang: r.n for r in picked.groupBy("lang").agg(F.sum(F.ceil(F.octet_length("text") / WINDOW)).alias("n")).collect()}
+    if not sizes:
+        return []
+    share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, taught / max(n, 1)))))
+    use = F.pmod(F.xxhash64("draw", "place"), F.lit(1_000_003)) / 1_000_003 < share[F.col("lang")]
+    return sorted((r.lang, bytes(r.win)) for r in cuts.where(use).select("lang", "win").collect())
 
 
-def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, epochs: int = EPOCHS) -> ByteNet:
+def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, epochs: int | None = None) -> ByteNet:
     """Learns from lang and text of ``labelled`` (doc_id only chooses the sample)."""
     rows = sample(labelled, per_language)
     classes = sorted({lang for lang, _ in rows})
     net = ByteNet(classes)
     if len(classes) > 1:
         x = np.frombuffer(b"".join(w for _, w in rows), np.uint8).reshape(-1, WINDOW)
+        epochs = epochs or min(max(EPOCHS, -(-_STEPS * _BLOCK // len(x))), _ROUNDS)
         net.fit(x, np.searchsorted(classes, [lang for lang, _ in rows]), epochs)
     return net
 
@@ -210,11 +224,13 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, epochs: int = E
 def language(text: Column, net: ByteNet) -> Column:
     """Struct of lang and score."""
 
-    def predict(texts: pa.Array) -> pa.Array:
-        rows = [r for part in runs(texts) for r in net.predict(text_bytes(part))]
-        return struct_array(
-            {"lang": pa.array([r[0] for r in rows], pa.string()), "score": pa.array([r[1] for r in rows], pa.float64())}
-        )
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            rows = [r for part in runs(texts) for r in net.predict(text_bytes(part))]
+            yield struct_array(
+                {"lang": pa.array([r[0] for r in rows], pa.string()), "score": pa.array([r[1] for r in rows], pa.float64())}
+            )
+        release()
 
     return F.arrow_udf(predict, "lang string, score double").asNondeterministic()(text.cast("string"))
 

@@ -48,13 +48,13 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
 
-def token_report(docs: DataFrame, known: int = token_files.KNOWN) -> DataFrame:
+def token_report(docs: DataFrame, known: int = token_files.KNOWN, keep: bool = True) -> DataFrame:
     """Writes token files of ``docs`` to a new folder below the checkpoint folder
     and reads them back: doc_id, start, n_tokens, ids_crc32."""
     import public_tokenizers
 
     path = scratch_path(docs.sparkSession, f"token-files-{uuid.uuid4().hex}")
-    files = token_files.write(docs, path, public_tokenizers.path(TOKENIZER), END_ID, known=known)
+    files = token_files.write(docs, path, public_tokenizers.path(TOKENIZER), END_ID, known=known, keep=keep)
     return files.read_all().select(
         F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )

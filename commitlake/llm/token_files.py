@@ -48,7 +48,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from commitlake.llm.common import mix64, runs
+from commitlake.llm.common import mix64, release, runs
 
 SHARD_BYTES = 32_000_000
 BUCKET = 1024
@@ -274,11 +274,13 @@ def write(
     shard_bytes: int = SHARD_BYTES,
     bucket: int = BUCKET,
     known: int = KNOWN,
+    keep: bool = True,
 ) -> TokenFiles:
     """Encodes every whole text and writes the folder ``path`` (which must be new).
 
     ``tokenizer_file`` is a path that all executors can open; ``known`` bounds what
-    an encoder remembers of it.
+    an encoder remembers of it; ``keep``: whether Python workers keep their encoder
+    from task to task (quicker), or let it go (where they run other stages too).
     """
     spark = docs.sparkSession
     body = F.col(text).cast("string")
@@ -333,6 +335,10 @@ def write(
         if name is not None:
             out.close()
         encoder.forget_older()
+        if not keep:
+            _ENCODERS.clear()
+            del encoder, last
+            release()
 
     rows.mapInArrow(encode, schema).write.parquet(f"{path}/written")
     files = TokenFiles(spark, path)

@@ -87,9 +87,46 @@ def test_language_defined_results(spark):
     assert L.train(empty(spark)).classes == [] and L.accepted(empty(spark), net).count() == 0
 
 
+def test_language_sample_is_bounded_and_reads_whole_texts(spark):
+    rows = [(i, f"{'abc ' * 200}{i} {'xyz ' * 100}", f"l{i % 7}") for i in range(210)]
+    rows += [(None, "the same row", "l1")] * 300 + [(i, None, "l2") for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    found = L.sample(docs, per_language=10, most=3)
+    by = {}
+    for lang, win in found:
+        by.setdefault(lang, []).append(win)
+    assert set(by) <= {"l1", "l0", "l2"} and len(by) == 3  # the most frequent, then the smallest
+    assert all(len(w) <= 10 * 5 for w in by.values())
+    assert any(w.startswith(b"xyz"[:1]) or b"xyz" in w for w in by["l0"])  # windows to the end of the text
+    assert found == L.sample(docs.repartition(3), per_language=10, most=3)
+    assert len(L.sample(docs, per_language=10, most=3, taught=5)) < len(found)
+
+
 # --- toxicity --------------------------------------------------------------
 
 
+def test_documents_of_one_class_only(spark):
+    """Labels of both classes, but documents of one: its smoothed share."""
+    docs = spark.createDataFrame([(i, f"w{i} idiot text") for i in range(6)], "doc_id long, text string")
+    for found, want in ((1, 7 / 8), (0, 1 / 8)):
+        rows = [(i, found) for i in range(6)] + [(100 + i, 1 - found) for i in range(50)]
+        toxic = spark.createDataFrame(rows, "doc_id long, toxic int")
+        assert T.train(docs, toxic).score("idiot") == pytest.approx(want)
+        assert Q.train(docs, toxic.withColumnRenamed("toxic", "quality")).scores([b"idiot", None]).tolist() == pytest.approx([want, want])
+    gone = spark.createDataFrame([(100, 0), (101, 1)], "doc_id long, toxic int")
+    assert T.train(docs, gone).score("idiot") == 0.5
+    assert Q.train(docs, gone.withColumnRenamed("toxic", "quality")).scores([b"idiot"]).tolist() == [0.5]
+
+
+def test_counterfactual_sentences_are_of_whole_texts(spark):
+    text = "one two three four five. " * 40 + "the muslim family lives here."
+    sampled = spark.createDataFrame([(1, 0, text), (2, 1, "a b c d e.")], "doc_id long, y int, text string")
+    known = {w: i for i, w in enumerate(sorted({*T.words(text), *T.words("a b c d e")}))}
+    found = T.mentions(sampled, known)
+    assert len(found) == 42 and known[b"muslim"] in found[0]
+    assert T.mentions(sampled, known, 1) == found[:1]
+
+
 def auc(score, y):
     order = np.argsort(np.argsort(score)) + 1
     n1, n0 = sum(y), len(y) - sum(y)

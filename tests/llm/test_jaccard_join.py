@@ -16,9 +16,9 @@ def brute_set(text, n=3):
     return {tuple(w[i : i + n]) for i in range(max(len(w) - n, 0) + 1)} if w else set()
 
 
-def brute(texts, percent=90):
+def brute(texts, percent=90, n=3):
     """Smallest id reachable by links, over all pairs."""
-    sets = {i: brute_set(t) for i, t in texts.items()}
+    sets = {i: brute_set(t, n) for i, t in texts.items()}
     label = {i: i for i in texts}
 
     def top(i):
@@ -87,6 +87,14 @@ def test_other_threshold_and_one_large_cloud(spark):
     assert got == brute(texts)
 
 
+@pytest.mark.parametrize("leader_bytes", [J.LEADER_BYTES, 0])
+def test_five_words_and_80_percent(spark, monkeypatch, leader_bytes):
+    monkeypatch.setattr(J, "LEADER_BYTES", leader_bytes)  # 0: leaders' sets joined by a shuffle
+    texts = family_texts(9)
+    got = {r.doc_id: (r.n, r.component_id) for r in J.JaccardJoin(frame(spark, texts), n=5, percent=80, block=16).result().collect()}
+    assert got == brute(texts, 80, 5)
+
+
 def test_long_chain_of_components(spark):
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1001), (1001, 1000), (2000, 2000)]
     got = {r.node: r.label for r in J.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -9,6 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 from conftest import TESTDATA
+from helpers import awkward, empty
 from pyspark.sql import functions as F
 from test_decontaminate import brute as brute_hits
 from test_jaccard_join import brute as brute_components
@@ -107,7 +108,7 @@ def test_every_pipeline_stage_against_brute_force(spark):
     # language: nearly all go on, and those that do are unchanged
     by_id = {r["doc_id"]: r for r in start}
     assert len(rows[0]) > 0.97 * len(start) and all(by_id[r["doc_id"]] == r for r in rows[0])
-    want = brute_components({r["doc_id"]: r["text"] for r in rows[0]})
+    want = brute_components({r["doc_id"]: r["text"] for r in rows[0]}, percent=80, n=5)
     assert {r["doc_id"] for r in rows[1]} == {i for i, (n, c) in want.items() if c == i}
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     assert {r["doc_id"] for r in rows[2]} == {r["doc_id"] for r in rows[1] if not brute_hits(r["text"], items)[1]}
@@ -132,6 +133,34 @@ def test_run_is_the_stages_in_order(spark):
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and got.count() > 0
 
 
+def through_the_stages(spark, now):
+    folder, out = scratch_path(spark, f"test-pipeline-{uuid.uuid4().hex}"), []
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, now, SF).write.parquet(f"{folder}/{i}")
+        now = spark.read.parquet(f"{folder}/{i}")
+        out.append(now)
+    return out
+
+
+def test_every_pipeline_stage_takes_awkward_rows(spark):
+    rows = awkward(spark)  # nulls, empty and very long texts, repeated rows, clashing columns
+    stages = through_the_stages(spark, rows)
+    assert all(s.columns == rows.columns for s in stages[:-1])
+    kept = [sorted((r.doc_id for r in s.collect()), key=str) for s in stages]
+    # no letters, no language; of the two long texts, and of rows that repeat, one stays
+    assert not {0, 1, 2, 5} & set(kept[0]) and {6, 7} <= set(kept[0]) and kept[0].count(50) == 5
+    assert 6 in kept[1] and 7 not in kept[1] and kept[1].count(50) == 2 and kept[1].count(None) == 1
+    assert kept[2] == kept[1] and set(kept[3]) <= set(kept[2]) and len(kept[4]) == len(kept[3])
+    # the text stays as it was
+    long = {r.text for r in rows.where("doc_id = 6").collect()}
+    assert {r.text for r in stages[1].where("doc_id = 6").collect()} == long
+
+
+def test_every_pipeline_stage_takes_an_empty_table(spark):
+    stages = through_the_stages(spark, empty(spark))
+    assert all(s.count() == 0 for s in stages) and stages[3].columns == empty(spark).columns
+
+
 def test_op5_reruns_agree(spark):
     first, again = ({tuple(r) for r in queries.op5_mixing(spark, SF).collect()} for _ in range(2))
     assert first == again
