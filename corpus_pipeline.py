@@ -5,11 +5,20 @@ as Parquet and read again as the next stage's ``docs``; all but the last return
 the columns of ``documents``:
 
 1. language ID: documents without a language, or with an uncertain one, go;
-2. n-gram Jaccard join: one document of each group of near copies stays, linked as
-   in the join's own contract (three words, 90 %);
+2. n-gram Jaccard join: one document of each group of near copies stays: documents
+   whose sets of five-word shingles are alike to 80 % or more are linked;
 3. benchmark decontamination: documents with a benchmark window go;
 4. mixing: documents as often as the mix takes them;
 5. token ids: files of the mix; a row for each of its documents, read back.
+
+Defined results, stage by stage: (1) a null text, or one without letters, has no
+language and goes; a null lang teaches nothing; without any lang all documents stay;
+(2) documents without words are in no group and stay, rows that repeat are one
+group, of which one row stays; (3) a text shorter than a window has no hit and
+stays; an empty benchmark hits nothing; (4) a null source is a source of its own,
+documents without words are not taken; (5) null ids come first, rows with one id are
+told apart. Columns beside those of documents pass through stages 1 to 4, whatever
+their names; an empty table stays empty. Very long texts are read as a whole.
 """
 
 from __future__ import annotations
@@ -31,7 +40,7 @@ def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return jaccard_join.one_of_each(docs)
+    return jaccard_join.one_of_each(docs, n=5, percent=80)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +54,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    # its workers have run other stages before: remember less
-    return token_report(docs, known=50_000)
+    # its workers run other stages as well: remember less, and nothing between tasks
+    return token_report(docs, known=50_000, keep=False)
 
 
 STAGES = [
