@@ -1,0 +1,124 @@
+"""Multi-line JSON by byte ranges: equal to Spark's whole-file reader, whatever the borders."""
+
+from __future__ import annotations
+
+import json
+import random
+
+import pytest
+from conftest import commit
+from pyspark.sql import functions as F
+
+from commitlake.schema import COMMIT
+from commitlake.sources import json_ranges, load_commits
+
+
+def awkward_text(r: random.Random) -> str:
+    bits = ['"', "\\", "{", "}", "[", "]", "},{", '\\"', "\\\\", "\n", "é", "\U0001f600", "a", " ", ",", "[{", "}]"]
+    return "".join(r.choice(bits) for _ in range(r.randrange(40)))
+
+
+def records(r: random.Random, n: int) -> list[dict]:
+    out = []
+    for i in range(n):
+        files = [{"sha": f"f{k}", "filename": awkward_text(r), "additions": k, "patch": awkward_text(r) * 3} for k in range(r.randrange(4))]
+        out.append({"sha": f"s{i}", "url": awkward_text(r), "commit": {"message": awkward_text(r), "author": {"name": awkward_text(r), "date": "2019-01-27T07:09:13.000Z"}}, "files": files, "parents": []})
+    return out
+
+
+def texts(spark, path):
+    return sorted(x.value for x in json_ranges.record_texts(spark, [str(path)]).collect())
+
+
+@pytest.fixture
+def small_ranges(spark):
+    """Ranges of a few hundred bytes."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+
+    def to(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    yield to
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("indent, ascii_, size, n", [(None, True, 150, 12), (1, False, 2500, 100), (None, False, 1500, 100)])
+def test_rows_equal_those_of_the_whole_file_reader(spark, tmp_path, small_ranges, indent, ascii_, size, n):
+    rows = records(random.Random(size), n)
+    path = tmp_path / "commits.json"
+    path.write_text(json.dumps(rows, indent=indent, ensure_ascii=ascii_))
+    want = sorted(load_commits(spark, str(path), "json").toJSON().collect())
+    small_ranges(size)
+    assert spark.read.text(str(path), lineSep="}").rdd.getNumPartitions() > 5
+    assert [json.loads(x)["sha"] for x in texts(spark, path)] and len(texts(spark, path)) == len(rows)
+    got = load_commits(spark, str(path), "json_ranges")
+    assert got.schema.simpleString() == load_commits(spark, str(path), "json").schema.simpleString()
+    assert sorted(got.toJSON().collect()) == want
+
+
+def test_many_ranges_are_dealt_by_a_shuffle(spark, tmp_path, small_ranges, monkeypatch):
+    monkeypatch.setattr(json_ranges, "BROADCAST_RANGES", 0)
+    rows = records(random.Random(2), 20)
+    for k in range(3):
+        (tmp_path / f"{k}.json").write_text(json.dumps(rows[k::3], indent=2))
+    small_ranges(900)
+    found = [json.loads(x) for x in texts(spark, tmp_path)]
+    assert sorted(found, key=lambda x: x["sha"]) == sorted(rows, key=lambda x: x["sha"])
+
+
+ODD = [
+    ("", []),
+    ("  \n", []),
+    ("[]", []),
+    ("[\n]\n", []),
+    ('{"sha": "a"}', ["a"]),
+    ('﻿[{"sha": "b"}]', ["b"]),
+    ('[{"sha": "c"}, 1, null, "}{", [{"no": 1}], {"sha": "d", "x": [{"y": {}}]}]\n\n', ["c", "d"]),
+    ('{"sha": "e"}\n{"sha": "f"}', ["e", "f"]),
+    ('[{"sha": "' + "}" * 300 + '"}]', ["}" * 300]),
+    ('[{"sha": "g", "x": "' + "\\\\" * 150 + '"}, {"sha": "h"}]', ["g", "h"]),
+]
+
+
+@pytest.mark.parametrize("size", [41, 100_000])
+def test_odd_files(spark, tmp_path, small_ranges, size):
+    for i, (text, _) in enumerate(ODD):
+        (tmp_path / f"{i}.json").write_text(text)
+    small_ranges(size)
+    assert sorted(json.loads(x)["sha"] for x in texts(spark, tmp_path)) == sorted(x for _, want in ODD for x in want)
+
+
+def test_one_record_over_many_ranges(spark, tmp_path, small_ranges):
+    row = {"sha": "big", "files": [{"filename": f"f{i}", "patch": "{[\"\\" * 30} for i in range(60)]}
+    (tmp_path / "x.json").write_text(json.dumps([{"sha": "a"}, row, {"sha": "z"}], indent=1))
+    small_ranges(500)
+    found = {json.loads(x)["sha"]: json.loads(x) for x in texts(spark, tmp_path)}
+    assert found["big"] == row and set(found) == {"a", "big", "z"}
+
+
+def test_modes(spark, tmp_path):
+    (tmp_path / "x.json").write_text('[{"sha": "a"}, {"sha": oops}, {"sha": "b"}]')
+    path = str(tmp_path)
+    rows = load_commits(spark, path, "json_ranges").select("sha").collect()
+    assert sorted(str(x.sha) for x in rows) == ["None", "a", "b"]
+    rows = load_commits(spark, path, "json_ranges", mode="DROPMALFORMED").select("sha").collect()
+    assert sorted(x.sha for x in rows) == ["a", "b"]
+    rows = load_commits(spark, path, "json_ranges", corrupt="bad").where("bad IS NOT NULL").collect()
+    assert [x.bad for x in rows] == ['{"sha": oops}']
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_commits(spark, path, "json_ranges", mode="FAILFAST").collect()
+    with pytest.raises(ValueError):
+        load_commits(spark, path, "json_ranges", mode="other")
+
+
+def test_a_written_commit_table_comes_back(spark, tmp_path, commits):
+    df = commits([commit(sha=f"s{i}", message='a "{" b', files=[("x", f"f{i}", "added", 1, 2, 3, None, None, None, "}\n{")]) for i in range(50)])
+    iso = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+    dated = df.withColumn("commit", F.col("commit").withField("author.date", F.date_format("commit.author.date", iso)).withField("committer.date", F.date_format("commit.committer.date", iso)))
+    rows = [json.loads(x) for x in dated.toJSON().collect()]
+    (tmp_path / "x.json").write_text(json.dumps(rows, indent=2))
+    got = load_commits(spark, str(tmp_path), "json_ranges")
+    assert [f.name for f in got.schema.fields] == COMMIT.fieldNames()
+    assert sorted(got.toJSON().collect()) == sorted(df.toJSON().collect())
