@@ -57,12 +57,23 @@ _SHAPE = bytes(
     65 if 65 <= b <= 90 else 97 if 97 <= b <= 122 or b >= 128 else 48 if 48 <= b <= 57 else b for b in range(256)
 )
 _RUNS = re.compile(rb"(.)\1+", re.DOTALL)
-_LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+_LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 or b == 10 else 32 for b in range(256))
 
 
 def parts(word: bytes) -> tuple[bytes, bytes]:
     """The letters and the shape of a word."""
-    return b"l:" + word.translate(_LETTERS).strip(), b"s:" + _RUNS.sub(rb"\1", word.translate(_SHAPE))
+    letters, shapes = all_parts([word])
+    return letters[0], shapes[0]
+
+
+def all_parts(words: list[bytes]) -> tuple[list[bytes], list[bytes]]:
+    """The letters and the shapes of words, made at once: no word has a line end."""
+    if not words:
+        return [], []
+    text = b"\n".join(words)
+    letters = [b"l:" + x.strip() for x in text.translate(_LETTERS).split(b"\n")]
+    shapes = [b"s:" + x for x in _RUNS.sub(rb"\1", text.translate(_SHAPE)).split(b"\n")]
+    return letters, shapes
 
 
 def index_vectors(names: list[bytes], dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -95,10 +106,14 @@ class _Numbers:
         if new:
             get, first = self.number.get, len(self.memory) + 1
             self.memory.update(zip(new, range(first, first + len(new)), strict=True))
-            own = np.array([[get(p, 0) for p in parts(w)] for w in new], np.int64)
-            self.both = np.concatenate([self.both, own])
+            own = [np.fromiter([get(p, 0) for p in some], np.int64, len(new)) for some in all_parts(new)]
+            self.both = np.concatenate([self.both[:first], np.stack(own, axis=1)])
+            self._learned(first)
         return np.fromiter(map(self.memory.__getitem__, words), np.int64, len(words))
 
+    def _learned(self, first: int) -> None:
+        """Words from number ``first`` on are new."""
+
 
 def _batches(texts: list[list[bytes]], most: int) -> Iterator[list[list[bytes]]]:
     """Texts of about ``most`` words together, one text at least."""
@@ -118,8 +133,14 @@ class Contexts(_Numbers):
     def __init__(self, names: list[bytes]):
         super().__init__(names)
         self.index = np.vstack([np.zeros((1, DIMENSIONS)), index_vectors(names)]).astype(np.int8)
+        self.own = np.zeros((1, DIMENSIONS), np.int8)
         self.counts, self.sums = np.zeros(self.wide, np.int64), np.zeros((self.wide, DIMENSIONS), np.int64)
 
+    def _learned(self, first: int) -> None:
+        # an entry is NONZERO at most for each part: 2 REACH neighbours' fit into a byte
+        new = self.both[first:]
+        self.own = np.concatenate([self.own[:first], self.index[new[:, 0]] + self.index[new[:, 1]]])
+
     def add_all(self, texts: list[list[bytes]]) -> None:
         for some in _batches(texts, _AT_ONCE):
             self._add(some)
@@ -133,9 +154,7 @@ class Contexts(_Numbers):
         at = np.arange(n) + REACH * (np.repeat(np.arange(len(texts)), sizes) + 1)
         word = np.zeros(n + REACH * (len(texts) + 1), np.int64)
         word[at] = self.ids([w for t in texts for w in t])
-        # an entry is NONZERO at most for each part: 2 REACH neighbours' fit into a byte
-        own = self.index[self.both[:, 0]] + self.index[self.both[:, 1]]
-        around = own[word]
+        around = self.own[word]
         near = np.zeros_like(around)
         for k in range(1, REACH + 1):
             near[k:] += around[:-k]
@@ -144,12 +163,28 @@ class Contexts(_Numbers):
         word, near = word[at], near[at]
         order = np.argsort(word, kind="stable")
         distinct, first, count = np.unique(word[order], return_index=True, return_counts=True)
-        total = np.add.reduceat(near[order], first, axis=0, dtype=np.int32)
+        total = _sums(near[order], first)
         for part in self.both[distinct].T:
-            order = np.argsort(part, kind="stable")
+            known = np.flatnonzero(part)  # nothing is asked of the unknown part
+            order = known[np.argsort(part[known], kind="stable")]
             each, first = np.unique(part[order], return_index=True)
+            if not len(each):
+                continue
             self.counts[each] += np.add.reduceat(count[order], first)
-            self.sums[each] += np.add.reduceat(total[order], first, axis=0, dtype=np.int64)
+            self.sums[each] += np.add.reduceat(total[order], first, axis=0)
+
+
+def _sums(rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the rows (bytes between -64 and 63) from each position of ``first`` to the
+    next: four columns at once, as 16-bit lanes of one number, 512 rows at most."""
+    cuts = np.union1d(first, np.arange(0, len(rows), 512))
+    sizes = np.diff(np.append(cuts, len(rows)))
+    lanes = (rows.astype(np.int16) + 64).astype(np.uint16).view(np.uint64)
+    sums = np.add.reduceat(lanes, cuts, axis=0).view(np.uint16).astype(np.int32) - 64 * sizes[:, None].astype(np.int32)
+    whole = np.searchsorted(cuts, first)
+    out, more = sums[whole], np.setdiff1d(np.arange(len(cuts)), whole, assume_unique=True)
+    np.add.at(out, np.searchsorted(whole, more) - 1, sums[more])
+    return out
 
 
 def corpus_contexts(texts: DataFrame, names: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -250,21 +285,17 @@ class Pooled(WordVectors):
         self.number, self.wide = vectors.number, vectors.wide
         self.maps = [(vectors.table @ weights[k * DIMENSIONS : (k + 1) * DIMENSIONS]).astype(np.float32) for k in (0, 1)]
         self.rest = weights[-2:]
-        self.rows = np.zeros((0, weights.shape[1]), np.float32)
+        self.rows = np.zeros((1, weights.shape[1]), np.float32)
 
-    def _forget(self) -> None:
-        super()._forget()
-        self.rows = None
+    def _learned(self, first: int) -> None:
+        new = self.both[first:]
+        self.rows = np.concatenate([self.rows[:first], self.maps[0][new[:, 0]] + self.maps[1][new[:, 1]]])
 
     def mapped(self, texts: list[list[bytes]]) -> np.ndarray:
         return np.concatenate([self._mapped(some) for some in _batches(texts, _BLOCK)] or [np.zeros((0, self.rest.shape[1]))])
 
     def _mapped(self, texts: list[list[bytes]]) -> np.ndarray:
         word, share, sizes = self._words(texts)
-        if self.rows is None:
-            self.rows = np.zeros((0, self.rest.shape[1]), np.float32)
-        new = self.both[len(self.rows) :]
-        self.rows = np.concatenate([self.rows, self.maps[0][new[:, 0]] + self.maps[1][new[:, 1]]])
         out = share @ self.rest
         filled = np.flatnonzero(sizes)
         if len(filled):
@@ -354,7 +385,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class:
         return QualityModel(None, (m1 + 1) / (sum(found.values()) + 2))
 
     def distinct(texts: pa.Array) -> pa.Array:
-        out = [sorted({p for w in set((t or b"").split()) for p in parts(w)}) for t in text_bytes(texts)]
+        out = [sorted({p for some in all_parts(list(set((t or b"").split()))) for p in some}) for t in text_bytes(texts)]
         return pa.array(out, pa.list_(pa.binary()))
 
     def pooled(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
