@@ -16,17 +16,18 @@ entry.
 
 Answers from a similar set's answers. All lists with the same smallest member,
 their leader, are worked on together. Each member is first compared with its
-leader alone, which gives its exact similarity to it and the first components. From then
-on it is known by what sets it apart from the leader: which of the leader's
-shingles it has, one bit each, and those of its own. Two members' intersection
-follows from these, so that whole sets are read once, where their texts are.
+leader alone, which gives its exact similarity to it and the first components.
 Members in their leader's component have their answers from the leader's: pairs
 among them are skipped. A member outside is compared with members that can
 still be linked with it: those of about its size whose distance from the
 leader differs from its own by no more than two linked sets' can (the Jaccard
 distance is a metric). These comparisons run in bounded blocks of sets, so the
 work of a very large group of near copies is dealt out over many tasks and
-no pair list is made.
+no pair list is made. They run twice: first over parities, a bit for each
+shingle or two, which tell whether shingles that fall on it are even or odd in number: two sets
+differ in as many shingles at least as their parities differ in bits, so sets
+that differ in too many are skipped without being read. Only the sets that are
+left in a block meet as a whole.
 
 Defined results: words are runs of ``[^\\x20\\x09-\\x0D]`` with A-Z lower-cased; a
 text of fewer words than ``n`` is one shingle; a null or empty text, or one
@@ -59,7 +60,7 @@ _WORDS = 200_000
 _HOT, _RARE, _SAMPLED = 100_000, 50, 64
 #: Bytes of the leaders' sets that are broadcast at most; more are joined by a shuffle.
 LEADER_BYTES = 32_000_000
-_SET = "n long, h1 long, h2 long"
+_SET = "n long, h1 long, h2 long, lists array<long>"
 
 
 class Rule(NamedTuple):
@@ -83,6 +84,10 @@ class Rule(NamedTuple):
         """Whether sets with ``sizes`` shingles together share ``both``."""
         return 100 * both >= self.percent * (sizes - both)
 
+    def may_link(self, differ, sizes):
+        """Whether sets that differ in ``differ`` shingles at least can be linked."""
+        return (100 + self.percent) * differ <= (100 - self.percent) * sizes
+
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
@@ -134,45 +139,43 @@ def _identity(s: np.ndarray) -> tuple[int, int]:
 
 
 def _sets(text: Column, rule: Rule) -> Column:
-    """Struct of the set's size and 128-bit identity."""
+    """Struct of the set's size, 128-bit identity and index lists."""
 
     def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        hashes = _Hashes()
+        hashes, starts = _Hashes(), rule.classes(1)
         for texts in batches:
-            n, own = [], []
+            n, own, lists = [], [], []
             for body in (t for part in runs(texts) for t in text_bytes(part)):
                 s = shingles(body, rule.n, hashes)
+                if 200 * len(s) >= rule.percent * starts[-2]:
+                    starts = rule.classes(400 * len(s) // rule.percent)
                 n.append(len(s))
                 own.append(_identity(s))
+                lists.append(list_keys(s, rule, starts))
+            flat = np.concatenate(lists) if lists else np.empty(0, np.int64)
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
             h1, h2 = (pa.array([x[k] for x in own], pa.int64()) for k in (0, 1))
-            yield struct_array({"n": pa.array(n, pa.int64()), "h1": h1, "h2": h2})
+            keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
+            yield struct_array({"n": pa.array(n, pa.int64()), "h1": h1, "h2": h2, "lists": keys})
         del hashes
         release()
 
     return F.arrow_udf(build, _SET).asNondeterministic()(text)
 
 
-def _listed(text: Column, rule: Rule) -> Column:
-    """Struct of the first half of the set's identity and its index lists."""
+def parity(s: np.ndarray) -> bytes:
+    """A bit for each of a power of two of buckets, as many as shingles at least: whether
+    the number of shingles in it is odd."""
+    size = 1 << max(6, (len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).tobytes()
 
-    def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        hashes, starts = _Hashes(), rule.classes(1)
-        for texts in batches:
-            h1, lists = [], []
-            for body in (t for part in runs(texts) for t in text_bytes(part)):
-                s = shingles(body, rule.n, hashes)
-                if 200 * len(s) >= rule.percent * starts[-2]:
-                    starts = rule.classes(400 * len(s) // rule.percent)
-                h1.append(_identity(s)[0])
-                lists.append(list_keys(s, rule, starts))
-            flat = np.concatenate(lists) if lists else np.empty(0, np.int64)
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
-            yield struct_array({"h1": pa.array(h1, pa.int64()), "lists": keys})
-        del hashes
-        release()
 
-    return F.arrow_udf(build, "h1 long, lists array<long>").asNondeterministic()(text)
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    """The parity for ``size`` bytes of buckets, half or a quarter ... of its own."""
+    x = np.frombuffer(bits, np.uint8)
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
 
 
 def _shingle_udf(text: Column, n: int) -> Column:
@@ -234,7 +237,7 @@ class JaccardJoin:
         self.labels = self._labels(made)
 
     def _labels(self, made: DataFrame) -> DataFrame:
-        pairs = self._leaders()
+        pairs = self._leaders(made)
         asks = pairs.groupBy("h1").agg(F.collect_list("leader").alias("leaders"))
         leaders = pairs.select(F.col("leader").alias("h1")).distinct().withColumn("leads", F.lit(True))
         wanted = cut(asks.join(leaders, "h1", "full"))
@@ -245,7 +248,7 @@ class JaccardJoin:
         repeated = not made.groupBy("doc_id", "t").count().where("count > 1").isEmpty()
         pairs = self._measured(one, repeated)
         near = components(pairs.where("linked").select("a", "b"))
-        more = self._outside(pairs, near)
+        more = self._outside(pairs, near, one, repeated)
         if more is None:
             return near
         return components(pairs.where("linked").select("a", "b").union(more))
@@ -258,7 +261,7 @@ class JaccardJoin:
         sets = texts.select("h1", "h2", "leaders", _shingle_udf(F.col("text"), self.rule.n).alias("set"))
         return sets.dropDuplicates(["h1", "h2"]) if repeated else sets
 
-    def _leaders(self) -> DataFrame:
+    def _leaders(self, made: DataFrame) -> DataFrame:
         """h1, leader: the smallest members of the lists that a set is in.
 
         Lists are dealt by their key, once for the leaders and the members.
@@ -266,11 +269,10 @@ class JaccardJoin:
         most ``_HOT`` lists) is not dealt: its leader comes from a
         pre-aggregated minimum and is broadcast to its members.
         """
-        every = lambda rows: rows.select(_listed(F.col("text"), self.rule).alias("s")).select("s.h1", F.explode("s.lists").alias("list"))
-        listed = every(self.texts)
+        listed = made.select("h1", F.explode("lists").alias("list"))
         ends = (F.min("h1").alias("leader"), F.max("h1").alias("last"))
-        some = self.texts.where(F.pmod(F.xxhash64("doc_id", "t"), F.lit(_SAMPLED)) == 0)
-        counts = every(some).groupBy("list").count()
+        some = made.where(F.pmod(F.xxhash64("doc_id", "t"), F.lit(_SAMPLED)) == 0)
+        counts = some.select(F.explode("lists").alias("list")).groupBy("list").count()
         least = max(_RARE, math.ceil((counts.agg(F.sum("count")).first()[0] or 0) / _HOT))
         hot = cut(counts.where(F.col("count") >= least).select("list"))
         heated = not hot.isEmpty()
@@ -283,8 +285,7 @@ class JaccardJoin:
         return cut(pairs.where("h1 <> leader").select("h1", "leader").distinct())
 
     def _measured(self, one: DataFrame, repeated: bool) -> DataFrame:
-        """a, b, n_a, distance, linked, kept, added: each member a compared with its
-        leader b. ``kept``: a bit for each shingle of the leader, ``added``: the others."""
+        """a, b, n_a, distance, linked, parity: each member a compared with its leader b."""
         leaders = self._read(one.where("leads"), repeated)
         leaders = cut(leaders.select(F.struct("h1", "h2").alias("b"), F.col("h1").alias("leader"), F.col("set").alias("set_b")))
         if (leaders.agg(F.sum(F.octet_length("set_b"))).first()[0] or 0) <= LEADER_BYTES:
@@ -292,41 +293,36 @@ class JaccardJoin:
         rule = self.rule
 
         def compare(x: pa.Array, y: pa.Array) -> pa.Array:
-            n, distance, linked, kept, added = [], [], [], [], []
+            n, distance, linked, parities = [], [], [], []
             for p, q in zip(x.to_pylist(), y.to_pylist(), strict=True):
                 p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
                 at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                same = q[at] == p
-                both, sizes = int(same.sum()), len(p) + len(q)
-                bits = np.zeros(len(q), bool)
-                bits[at[same]] = True
+                both, sizes = int((q[at] == p).sum()), len(p) + len(q)
                 n.append(len(p))
                 distance.append(1 - both / (sizes - both))
                 linked.append(bool(rule.linked(both, sizes)))
-                kept.append(np.packbits(bits).tobytes())
-                added.append(p[~same].tobytes())
+                parities.append(parity(p))
             return struct_array(
                 {
                     "n_a": pa.array(n, pa.int64()),
                     "distance": pa.array(distance, pa.float64()),
                     "linked": pa.array(linked, pa.bool_()),
-                    "kept": pa.array(kept, pa.binary()),
-                    "added": pa.array(added, pa.binary()),
+                    "parity": pa.array(parities, pa.binary()),
                 }
             )
 
-        kind = "n_a long, distance double, linked boolean, kept binary, added binary"
+        kind = "n_a long, distance double, linked boolean, parity binary"
         compared = F.arrow_udf(compare, kind).asNondeterministic()
         members = self._read(one.where("leaders IS NOT NULL"), repeated)
         members = members.select(F.struct("h1", "h2").alias("a"), F.col("set").alias("set_a"), F.explode("leaders").alias("leader"))
         joined = members.join(leaders, "leader").select("a", "b", compared("set_a", "set_b").alias("x"))
         return cut(joined.select("a", "b", "x.*"))
 
-    def _outside(self, pairs: DataFrame, near: DataFrame) -> DataFrame | None:
+    def _outside(self, pairs: DataFrame, near: DataFrame, one: DataFrame, repeated: bool) -> DataFrame | None:
         """Links between members of one leader that are in different components."""
         label = near.select(F.col("node").alias("a"), "label")
         rows = pairs.join(label, "a", "left").select(
-            F.col("b").alias("leader"), F.col("a").alias("node"), "n_a", "distance", "kept", "added", F.coalesce("label", "a").alias("label")
+            F.col("b").alias("leader"), F.col("a").alias("node"), "n_a", "distance", "parity", F.coalesce("label", "a").alias("label")
         )
         top = near.select(F.col("node").alias("leader"), F.col("label").alias("top"))
         rows = rows.join(top, "leader", "left").withColumn("top", F.coalesce("top", "leader"))
@@ -339,7 +335,7 @@ class JaccardJoin:
         far = F.floor(F.col("distance") / (1.001 * (1 - self.rule.percent / 100)))
         rows = rows.join(open_, "leader").select(
             "leader", "node", "label", (F.col("label") != F.col("top")).alias("out"), size.alias("size"), far.alias("far"),
-            F.struct("n_a", "kept", "added").alias("apart"),
+            F.struct("n_a", "parity").alias("apart"),
         )
         rows = cut(rows)
         if rows.isEmpty():
@@ -377,7 +373,50 @@ class JaccardJoin:
         cell = F.xxhash64("leader", "q_size", "q_far", "size", "far", "part", "ask")
         both = held.unionByName(asked).select(cell.alias("cell"), "asking", "node", "label", "apart.*")
         both = both.repartition("cell").sortWithinPartitions("cell", "asking")
-        return cut(both.mapInArrow(self._compare(), _EDGE).distinct())
+        left = cut(both.mapInArrow(self._may_be_linked(), f"cell long, asking int, {_ROW}"))
+        nodes = cut(left.select("node.h1", "node.h2").distinct())
+        if nodes.isEmpty():
+            return None
+        sets = self._read(cut(one.join(nodes, ["h1", "h2"], "left_semi")), repeated)
+        left = left.join(sets.select(F.struct("h1", "h2").alias("node"), "set"), "node")
+        left = left.select("cell", "asking", "node", "label", "set").repartition("cell").sortWithinPartitions("cell", "asking")
+        return cut(left.mapInArrow(self._compare(), _EDGE).distinct())
+
+    def _may_be_linked(self):
+        """Of each cell, the rows whose parities allow a link across the two sides."""
+        rule = self.rule
+
+        def rows(cell: int, held: list[tuple], asks: list[tuple]) -> Iterator[tuple]:
+            if not held or not asks:
+                return
+            size = min(len(r[3]) for r in (*held, *asks))
+            bits = np.stack([_folded(r[3], size) for r in held])
+            n = np.array([r[2] for r in held], np.int64)
+            numbers: dict[tuple, int] = {}
+            label = np.array([numbers.setdefault(tuple(r[1].values()), len(numbers)) for r in held])
+            hit = np.zeros(len(held), bool)
+            for r in asks:
+                differ = np.bitwise_count(bits ^ _folded(r[3], size)).sum(axis=1, dtype=np.int64)
+                near = rule.may_link(differ, n + r[2]) & (label != numbers.get(tuple(r[1].values()), -1))
+                if near.any():
+                    hit |= near
+                    yield cell, 1, r[0], r[1]
+            for i in np.flatnonzero(hit):
+                yield cell, 0, held[i][0], held[i][1]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cell, sides = None, ([], [])
+            for batch in batches:
+                x, out = batch.to_pydict(), []
+                for i in range(batch.num_rows):
+                    if x["cell"][i] != cell:
+                        out += rows(cell, *sides)
+                        cell, sides = x["cell"][i], ([], [])
+                    sides[x["asking"][i]].append((x["node"][i], x["label"][i], x["n_a"][i], x["parity"][i]))
+                yield _batch(out)
+            yield _batch(list(rows(cell, *sides)))
+
+        return run
 
     def _compare(self):
         rule = self.rule
@@ -390,12 +429,12 @@ class JaccardJoin:
                 for i in range(batch.num_rows):
                     if x["cell"][i] != cell:
                         cell, held = x["cell"][i], _Held(rule)
-                    node, label = x["node"][i], (x["label"][i]["h1"], x["label"][i]["h2"])
-                    kept, added = np.frombuffer(x["kept"][i], np.uint8), np.frombuffer(x["added"][i], np.uint64)
+                    node, s = x["node"][i], np.frombuffer(x["set"][i], np.uint64)
+                    label = (x["label"][i]["h1"], x["label"][i]["h2"])
                     if x["asking"][i]:
-                        out += ((node, other) for other in held.links(label, x["n_a"][i], kept, added))
+                        out += ((node, other) for other in held.links(node, label, s))
                     else:
-                        held.add(node, label, x["n_a"][i], kept, added)
+                        held.add(node, label, s)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([e[k] for e in out], _NODE) for k in (0, 1)], ["a", "b"]
                 )
@@ -419,50 +458,51 @@ class JaccardJoin:
 
 _NODE = pa.struct([("h1", pa.int64()), ("h2", pa.int64())])
 _EDGE = "a struct<h1:long,h2:long>, b struct<h1:long,h2:long>"
+_ROW = "node struct<h1:long,h2:long>, label struct<h1:long,h2:long>"
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (("cell", pa.int64()), ("asking", pa.int32()), ("node", _NODE), ("label", _NODE))
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, (_, k) in enumerate(kinds)], [n for n, _ in kinds])
 
 
 class _Held:
-    """A bounded block of one leader's sets: the bits of the leader's shingles, and an
-    inverted index from the other shingles to sets."""
+    """A bounded block of sets with an inverted index from shingle to sets."""
 
     def __init__(self, rule: Rule):
-        self.rule, self.rows, self.n, self.kept, self.added, self.ready = rule, [], [], [], [], False
+        self.rule, self.rows, self.sets, self.ready = rule, [], [], False
 
-    def add(self, node: dict, label: tuple, n: int, kept: np.ndarray, added: np.ndarray) -> None:
+    def add(self, node: dict, label: tuple, s: np.ndarray) -> None:
         self.rows.append((node, label))
-        self.n.append(n)
-        self.kept.append(kept)
-        self.added.append(added)
+        self.sets.append(s)
 
     def _index(self) -> None:
-        self.bits, self.sizes, self.ready = np.stack(self.kept), np.array(self.n, np.int64), True
-        flat = np.concatenate(self.added)
+        sizes = np.array([len(s) for s in self.sets], np.int64)
+        flat = np.concatenate(self.sets)
         order = np.argsort(flat, kind="stable")
-        self.owner = np.repeat(np.arange(len(self.added)), [len(x) for x in self.added])[order]
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)[order]
         self.shingle, self.first = np.unique(flat[order], return_index=True)
         self.last = np.append(self.first[1:], len(flat))
+        self.sizes, self.ready = sizes, True
         numbers: dict[tuple, int] = {}
         self.label = np.array([numbers.setdefault(label, len(numbers)) for _, label in self.rows])
         self.numbers = numbers
 
-    def _shared(self, kept: np.ndarray, added: np.ndarray) -> np.ndarray:
-        """Shingles that each held set has in common with a set."""
-        both = np.bitwise_count(self.bits & kept).sum(axis=1, dtype=np.int64)
-        if len(self.shingle) and len(added):
-            at = np.minimum(np.searchsorted(self.shingle, added), len(self.shingle) - 1)
-            at = at[self.shingle[at] == added]
-            first, n = self.first[at], self.last[at] - self.first[at]
-            gather = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(n) else at
-            both += np.bincount(self.owner[gather], minlength=len(both))
-        return both
-
-    def links(self, label: tuple, n: int, kept: np.ndarray, added: np.ndarray) -> Iterator[dict]:
+    def links(self, node: dict, label: tuple, s: np.ndarray) -> Iterator[dict]:
         """Linked sets in other components, one of each component."""
         if not self.rows:
             return
         if not self.ready:
             self._index()
-        hit = np.flatnonzero(self.rule.linked(self._shared(kept, added), self.sizes + n))
+        at = np.minimum(np.searchsorted(self.shingle, s), len(self.shingle) - 1)
+        at = at[self.shingle[at] == s]
+        first, last = self.first[at], self.last[at]
+        n = last - first
+        if not n.sum():
+            return
+        gather = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        both = np.bincount(self.owner[gather], minlength=len(self.sizes))
+        hit = np.flatnonzero(self.rule.linked(both, self.sizes + len(s)))
         hit = hit[self.label[hit] != self.numbers.get(label, -1)]
         for i in hit[np.unique(self.label[hit], return_index=True)[1]]:
             yield self.rows[i][0]
