@@ -13,8 +13,9 @@ same on both sides.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,7 @@ COMMITTERS = ("GitHub",)
 GAP_COMMITTER = "GitHub"
 REPOSITORY = "repo7"
 SNAPSHOT_SECONDS = 1570707029
+RANK_ROUNDS, RANK_TOLERANCE = 8, 0.01
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -91,6 +93,31 @@ def _json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(spark, path, "json")
 
 
+# Commits in one large file of multi-line JSON.
+JSON_LARGE_FILE_COMMITS = 50_000
+
+
+def _json_ranges_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S0, large files of one JSON array each, read by byte ranges."""
+    path = scratch_path(spark, f"commits-json-large-{uuid.uuid4().hex}")
+    rows = _dates_as_text(_view(spark, sf_dir, files=True))
+    files = max(1, rows.count() // JSON_LARGE_FILE_COMMITS)
+    lines = rows.select(F.to_json(F.struct("*")).alias("value")).repartition(files)
+
+    def array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            values = []
+            for line in batch.column(0).to_pylist():
+                values.append(before + line)
+                before = ","
+            yield pa.RecordBatch.from_arrays([pa.array(values, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["]" if before == "," else "[]"])], ["value"])
+
+    lines.mapInArrow(array, "value string").write.text(path)
+    return _loaded(spark, path, "json_ranges")
+
+
 def _gaps(commits: DataFrame, committer: str | None = None) -> DataFrame:
     columns = (F.col("commit.committer.name").alias("committer"), "sha")
     return ops.commit_gaps(commits, committer, columns=columns)
@@ -144,6 +171,9 @@ OPERATOR_QUERIES: dict[str, tuple[bool, Callable[[DataFrame], DataFrame]]] = {
     "commit_delay": (False, lambda c: ops.commit_delay(c).select("sha", "commit_time_diff")),
     "branch_points": (False, ops.branch_points),
     "fork_points": (False, ops.fork_points),
+    "graph_rank": (False, lambda c: ops.graph_rank(*ops.commit_graph(c), rounds=RANK_ROUNDS, tolerance=RANK_TOLERANCE)),
+    "commit_generations": (False, ops.generations),
+    "merge_bases": (False, ops.merge_bases),
 }
 
 
@@ -172,6 +202,7 @@ def commit_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = {name: _on_view(files, fn) for name, (files, fn) in OPERATOR_QUERIES.items()}
     registered["load_commits_jsonl"] = _jsonl_roundtrip
     registered["load_commits_json"] = _json_roundtrip
+    registered["load_commits_json_ranges"] = _json_ranges_roundtrip
     return registered
 
 
@@ -236,8 +267,47 @@ cf AS (SELECT c.*, f.file_sha, f.filename, f.status, f.f_additions, f.f_deletion
        FROM c JOIN f ON c.k = f.k)"""
 
 
+# Edges between commits of the table, and every length of a path from a commit without parents.
+_ANCESTRY = """
+e AS (SELECT DISTINCT child_sha AS child, parent_sha AS parent
+      FROM p WHERE parent_sha IN (SELECT sha FROM c) AND parent_sha <> child_sha),
+g AS (SELECT sha, CAST(1 AS BIGINT) AS generation FROM c WHERE sha NOT IN (SELECT child FROM e)
+      UNION
+      SELECT e.child, g.generation + 1 FROM g JOIN e ON e.parent = g.sha)"""
+
+
 def _with(*parts: str) -> str:
-    return "WITH " + ",".join(parts)
+    return "WITH RECURSIVE " + ",".join(parts)
+
+
+def _graph_rank_sql(full_or_norepo: str) -> str:
+    """The rounds one after another; once they have stopped, ranks stay."""
+    steps = [
+        f"""
+v AS MATERIALIZED (SELECT DISTINCT {_vertex_id_sql("name")} AS id FROM (
+  SELECT committer AS name FROM c UNION SELECT {full_or_norepo} FROM c) WHERE name IS NOT NULL),
+e AS MATERIALIZED (SELECT DISTINCT {_vertex_id_sql("committer")} AS src, {_vertex_id_sql("r")} AS dst
+  FROM (SELECT committer, {full_or_norepo} AS r FROM c WHERE committer IS NOT NULL)),
+r0 AS MATERIALIZED (
+  SELECT id, "out", CAST(1000000000 AS BIGINT) AS rank, CAST(NULL AS BIGINT) AS change, 0 AS done
+  FROM v LEFT JOIN (SELECT src, count(*) AS "out" FROM e GROUP BY src) ON src = id)"""
+    ]
+    for i in range(RANK_ROUNDS):
+        steps.append(
+            f"""
+t{i} AS MATERIALIZED (
+  SELECT 150000000 + 85 * coalesce(sum(rank) FILTER ("out" IS NULL), 0) // (100 * count(*)) AS every,
+         coalesce(sum(change) < {RANK_TOLERANCE} * 1000000000 * count(*), false) AS stopped FROM r{i}),
+n{i} AS MATERIALIZED (
+  SELECT r.*, CAST(coalesce(got, 0) + every AS BIGINT) AS new, stopped
+  FROM r{i} r CROSS JOIN t{i}
+  LEFT JOIN (SELECT dst, sum(rank * 85 // (100 * "out")) AS got FROM e JOIN r{i} ON src = id GROUP BY dst) ON dst = id),
+r{i + 1} AS MATERIALIZED (
+  SELECT id, "out", CASE WHEN stopped THEN rank ELSE new END AS rank,
+         CASE WHEN stopped THEN change ELSE abs(new - rank) END AS change,
+         done + CASE WHEN stopped THEN 0 ELSE 1 END AS done FROM n{i})"""
+        )
+    return _with(_COMMITS, *steps) + f" SELECT id, rank / 1000000000 AS rank, done AS rounds FROM r{RANK_ROUNDS}"
 
 
 def _vertex_id_sql(name: str) -> str:
@@ -386,4 +456,23 @@ def commit_oracle_sql() -> dict[str, str]:
         + f" SELECT c.sha, g.time_diff, {whole.format('c')} FROM c JOIN g ON g.gk = c.k",
         "load_commits_jsonl": loaded,
         "load_commits_json": loaded,
+        "load_commits_json_ranges": loaded,
+        "graph_rank": _graph_rank_sql(full_or_norepo=norepo_full),
+        "commit_generations": _with(_COMMITS, _PARENTS, _ANCESTRY) + " SELECT sha, max(generation) AS generation FROM g GROUP BY sha",
+        "merge_bases": _with(_COMMITS, _PARENTS, _ANCESTRY)
+        + """, gen AS (SELECT sha, max(generation) AS generation FROM g GROUP BY sha),
+             two AS (SELECT x.child AS sha, x.parent AS parent_a, y.parent AS parent_b
+                     FROM e x JOIN e y ON x.child = y.child AND x.parent < y.parent),
+             anc AS (SELECT DISTINCT s AS start, s AS sha
+                     FROM (SELECT parent_a AS s FROM two UNION SELECT parent_b FROM two)
+                     UNION
+                     SELECT anc.start, e.parent FROM anc JOIN e ON e.child = anc.sha),
+             both_of AS (SELECT two.sha, parent_a, parent_b, gen.sha AS base, gen.generation,
+                                row_number() OVER (PARTITION BY two.sha, parent_a, parent_b
+                                                   ORDER BY gen.generation DESC, gen.sha) AS nr
+                         FROM two JOIN anc a ON a.start = parent_a
+                         JOIN anc b ON b.start = parent_b AND a.sha = b.sha JOIN gen ON gen.sha = a.sha)
+           SELECT two.sha, two.parent_a, two.parent_b, base, generation
+           FROM two LEFT JOIN both_of o
+             ON o.sha = two.sha AND o.parent_a = two.parent_a AND o.parent_b = two.parent_b AND nr = 1""",
     }

@@ -11,6 +11,7 @@ from commitlake.operators.activity import (
     weekday_commits,
     weekly_commits,
 )
+from commitlake.operators.ancestry import common_ancestors, generations, merge_bases
 from commitlake.operators.files import file_commits, file_extensions, file_history, latest_files
 from commitlake.operators.graph import commit_graph, graph_edges, graph_vertices
 from commitlake.operators.lineage import branch_points, fork_points
@@ -21,6 +22,7 @@ from commitlake.operators.people import (
     revert_streaks,
     user_stats,
 )
+from commitlake.operators.ranking import graph_rank
 
 __all__ = [
     "author_ranking",
@@ -30,6 +32,7 @@ __all__ = [
     "commit_delay",
     "commit_gaps",
     "commit_graph",
+    "common_ancestors",
     "commits_by_committer",
     "committer_repo_stats",
     "exclusive_people",
@@ -37,9 +40,12 @@ __all__ = [
     "file_extensions",
     "file_history",
     "fork_points",
+    "generations",
     "graph_edges",
+    "graph_rank",
     "graph_vertices",
     "latest_files",
+    "merge_bases",
     "repo_committers",
     "revert_streaks",
     "user_stats",
