@@ -58,8 +58,6 @@ BLOCK = 256
 _WORDS = 200_000
 #: A list is hot from a share of 1 / _HOT of the sampled rows on, and ``_RARE`` rows.
 _HOT, _RARE, _SAMPLED = 100_000, 50, 64
-#: Bytes of the leaders' sets that are broadcast at most; more are joined by a shuffle.
-LEADER_BYTES = 32_000_000
 _SET = "n long, h1 long, h2 long, lists array<long>"
 
 
@@ -288,8 +286,6 @@ class JaccardJoin:
         """a, b, n_a, distance, linked, parity: each member a compared with its leader b."""
         leaders = self._read(one.where("leads"), repeated)
         leaders = cut(leaders.select(F.struct("h1", "h2").alias("b"), F.col("h1").alias("leader"), F.col("set").alias("set_b")))
-        if (leaders.agg(F.sum(F.octet_length("set_b"))).first()[0] or 0) <= LEADER_BYTES:
-            leaders = F.broadcast(leaders)
         rule = self.rule
 
         def compare(x: pa.Array, y: pa.Array) -> pa.Array:

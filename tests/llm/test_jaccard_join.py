@@ -87,14 +87,28 @@ def test_other_threshold_and_one_large_cloud(spark):
     assert got == brute(texts)
 
 
-@pytest.mark.parametrize("leader_bytes", [J.LEADER_BYTES, 0])
-def test_five_words_and_80_percent(spark, monkeypatch, leader_bytes):
-    monkeypatch.setattr(J, "LEADER_BYTES", leader_bytes)  # 0: leaders' sets joined by a shuffle
+def test_five_words_and_80_percent(spark):
     texts = family_texts(9)
     got = {r.doc_id: (r.n, r.component_id) for r in J.JaccardJoin(frame(spark, texts), n=5, percent=80, block=16).result().collect()}
     assert got == brute(texts, 80, 5)
 
 
+def test_parities_never_miss_a_link():
+    r, rule = random.Random(6), J.Rule(3, 90)
+    import numpy as np
+
+    for _ in range(300):
+        a = np.array(sorted(r.getrandbits(64) for _ in range(r.choice([1, 5, 60, 70, 300]))), np.uint64)
+        b = np.unique(np.concatenate([a[[r.random() < 0.95 for _ in a]], np.array([r.getrandbits(64) for _ in range(r.randrange(4))], np.uint64)]))
+        p, q = J.parity(a), J.parity(b)
+        size = min(len(p), len(q))
+        differ = int(np.bitwise_count(J._folded(p, size) ^ J._folded(q, size)).sum())
+        both = len(np.intersect1d(a, b))
+        assert differ <= len(a) + len(b) - 2 * both
+        if len(b) and rule.linked(both, len(a) + len(b)):
+            assert rule.may_link(differ, len(a) + len(b))
+
+
 def test_long_chain_of_components(spark):
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1001), (1001, 1000), (2000, 2000)]
     got = {r.node: r.label for r in J.components(spark.createDataFrame(edges, "a long, b long")).collect()}
