@@ -1,15 +1,17 @@
 """Quality rules with risk-controlled thresholds.
 
-Each document has a few shape features, the higher the worse. For every
-stratum (language) and feature a cutoff is chosen from labelled documents: the
-strictest grid cutoff for which an exact binomial test shows that at most
-``risk / features`` of the stratum's good documents are rejected by it. The
-level is corrected for all strata and features (Bonferroni); a feature's
-cutoffs are tested in order, from the laxest to the first that fails (a fixed
-sequence, which needs no correction of its own). With
-probability ``1 - alpha`` at least, every stratum's good documents are rejected
-by all its rules together with probability ``risk`` at most. A stratum or
-feature that the labels cannot vouch for has no cutoff and rejects nothing.
+Each document has a few shape features, the higher the worse, and is as odd as its
+oddest feature: the least share of its stratum's (language's) documents, labelled or
+not, that reach its level of a feature. A rule rejects what is odder than a share t; one
+t means a cutoff for each feature. The larger t, the more is rejected, so the
+rules of a stratum are a sequence from lax to strict, the same for all labels. They are tested in
+this order on the stratum's good labelled documents, by an exact binomial test that at most ``risk``
+of them are rejected, until the first that fails: a fixed sequence needs no
+correction of its own, and no part of the risk is set aside for a single feature. The level is
+corrected for the strata (Bonferroni). With probability ``1 - alpha`` at least, every
+stratum's good documents are rejected with probability ``risk`` at most. A stratum that
+the labels cannot vouch for (less than some 230 good ones of four strata) has no
+cutoff and rejects nothing.
 
 Words are runs of ``[^\\x20\\x09-\\x0D]``. Defined results: a null or empty text
 has no words and fails the base rules; a null stratum is a stratum of its own;
@@ -27,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlake.llm.common import SPACES, mix64, runs, struct_array, text_bytes
+from commitlake.llm.common import SPACES, cut, free_name, mix64, runs, struct_array, text_bytes
 
 #: Share of a stratum's good documents that the rules may reject.
 RISK = 0.02
@@ -35,6 +37,8 @@ RISK = 0.02
 ALPHA = 0.05
 #: Levels of the cutoff grid of each feature.
 GRID = 40
+#: The shares of a stratum's documents whose rules are tested one after another.
+STEPS = tuple(2 ** (-k / 4) for k in range(52, 3, -1))
 
 #: Fixed values of the base rules.
 MIN_WORDS = 50
@@ -158,56 +162,77 @@ def most_rejected(n: int, risk: float, alpha: float) -> int:
     return top
 
 
-def cutoffs(labelled: DataFrame, risk: float = RISK, alpha: float = ALPHA, grid: int = GRID) -> DataFrame:
+def cutoffs(counted: DataFrame, good: Column, risk: float = RISK, alpha: float = ALPHA, grid: int = GRID) -> DataFrame:
     """stratum, feature, cutoff (the lowest rejected level) and n.
 
-    ``labelled``: a row for each good labelled document: stratum, and the
-    columns of ``COUNTS``.
+    ``counted``: a row for each document: stratum, and the columns of ``COUNTS``;
+    ``good``: true for good labelled documents.
     """
     names = list(features())
-    levels = F.array(
-        *(F.struct(F.lit(f).alias("feature"), level(c, grid).alias("level")) for f, c in features().items())
-    )
-    bins = labelled.select("stratum", F.explode(levels).alias("x")).groupBy("stratum", "x.feature", "x.level")
-    bins = bins.agg(F.count("*").alias("n"))
-    strata = max(1, labelled.select("stratum").distinct().count())
-    each_risk, each_alpha = risk / len(names), alpha / (strata * len(names))
+    own = counted.select("stratum", F.coalesce(good, F.lit(False)).alias("good"), *(level(c, grid).alias(f) for f, c in features().items()))
+    levels = F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).alias("level")) for f in names))
+    bins = own.select("stratum", F.explode(levels).alias("x")).groupBy("stratum", "x.feature", "x.level").agg(F.count("*").alias("n"))
 
-    def choose(rows):
+    def steps(rows):
+        """For each feature and level the first step whose rule rejects it."""
         import pandas as pd
 
         out = []
-        for feature, own in rows.groupby("feature"):
+        for f in names:
             counts = np.zeros(grid + 1, np.int64)
-            counts[own["level"]] = own["n"]
-            n = int(counts.sum())
-            rejected = counts[::-1].cumsum()[::-1]  # by a cutoff at each level
-            fits = np.flatnonzero(rejected[1:] <= most_rejected(n, each_risk, each_alpha)) + 1
-            if len(fits):
-                out.append((rows["stratum"].iloc[0], feature, int(fits[0]), n))
-        return pd.DataFrame(out, columns=["stratum", "feature", "cutoff", "n"])
+            mine = rows[rows["feature"] == f]
+            counts[mine["level"]] = mine["n"]
+            share = counts[::-1].cumsum()[::-1] / max(counts.sum(), 1)
+            first = np.searchsorted(STEPS, share, side="left")
+            first[0] = len(STEPS)  # the lowest level is never odd
+            out.append([int(x) for x in first])
+        return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "steps": [out]})
+
+    # at most (grid + 1) rows for each feature of a stratum, and a row of their steps
+    known = cut(bins.groupBy("stratum").applyInPandas(steps, "stratum string, steps array<array<int>>"))
+    known = known.withColumnRenamed("stratum", "of_stratum")
+    rated = own.where("good").join(known, F.col("stratum").eqNullSafe(F.col("of_stratum")))
+    step = F.least(*(F.get(F.get("steps", F.lit(i)), F.col(f)) for i, f in enumerate(names)))
+    rated = rated.select("stratum", step.alias("step")).groupBy("stratum", "step").agg(F.count("*").alias("n"))
+    rated = cut(rated)
+    strata = max(1, rated.select("stratum").distinct().count())
+
+    def choose(rows):
+        import pandas as pd
+
+        counts = np.zeros(len(STEPS) + 1, np.int64)
+        counts[rows["step"]] = rows["n"]
+        n = int(counts.sum())
+        fits = np.flatnonzero(counts[:-1].cumsum() <= most_rejected(n, risk, alpha / strata))
+        return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "last": [int(fits[-1]) if len(fits) else -1], "n": [n]})
 
-    # at most (grid + 1) rows for each feature of a stratum
-    return bins.groupBy("stratum").applyInPandas(choose, "stratum string, feature string, cutoff int, n long")
+    chosen = rated.groupBy("stratum").applyInPandas(choose, "stratum string, last int, n long").where("last >= 0")
+    found = chosen.join(known, F.col("stratum").eqNullSafe(F.col("of_stratum")))
+    found = found.select("stratum", "n", "last", F.posexplode("steps").alias("at", "first"))
+    lowest = F.size(F.filter("first", lambda x: x > F.col("last")))
+    feature = F.get(F.array(*map(F.lit, names)), F.col("at"))
+    return found.select("stratum", feature.alias("feature"), lowest.cast("int").alias("cutoff"), "n").where(F.col("cutoff") <= grid)
 
 
 def with_verdict(
     counted: DataFrame, good: Column, risk: float = RISK, alpha: float = ALPHA, grid: int = GRID
 ) -> DataFrame:
-    """``counted`` (stratum and the columns of ``COUNTS``) with base_failed and kept.
+    """``counted`` (stratum and the columns of ``COUNTS``) with base_failed and kept;
+    columns of these names are replaced.
 
     ``good`` is an expression over ``counted``: true for good labelled documents.
     """
     names = list(features())
-    chosen = cutoffs(counted.where(good & ~base_failed()), risk, alpha, grid)
-    wide = chosen.groupBy(F.col("stratum").alias("of_stratum")).pivot("feature", names).agg(F.first("cutoff"))
-    wide = wide.select("of_stratum", *(F.col(f).alias(f"cutoff_{f}") for f in names))
+    own = {x: free_name(counted.columns, x) for x in ("of_stratum", *(f"cutoff_{f}" for f in names))}
+    chosen = cutoffs(counted.where(~base_failed()), good, risk, alpha, grid)
+    wide = chosen.groupBy(F.col("stratum").alias(own["of_stratum"])).pivot("feature", names).agg(F.first("cutoff"))
+    wide = wide.select(own["of_stratum"], *(F.col(f).alias(own[f"cutoff_{f}"]) for f in names))
     rejected = F.lit(False)
     for f, c in features().items():
-        rejected = rejected | F.coalesce(level(c, grid) >= F.col(f"cutoff_{f}"), F.lit(False))
-    joined = counted.join(wide, F.col("stratum").eqNullSafe(F.col("of_stratum")), "left")
+        rejected = rejected | F.coalesce(level(c, grid) >= F.col(own[f"cutoff_{f}"]), F.lit(False))
+    joined = counted.join(wide, F.col("stratum").eqNullSafe(F.col(own["of_stratum"])), "left")
     return joined.select(
-        *(counted[c] for c in counted.columns),
+        *(F.col(c) for c in counted.columns if c.lower() not in ("base_failed", "kept")),
         base_failed().alias("base_failed"),
         (~base_failed() & ~rejected).alias("kept"),
     )

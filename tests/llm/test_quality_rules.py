@@ -6,10 +6,12 @@ import re
 from math import comb
 
 import pytest
+from conftest import TESTDATA
 from helpers import awkward, empty, random_text
 from pyspark.sql import functions as F
 
 from commitlake.llm import quality_rules as Q
+from commitlake.llm import queries
 
 SPACE = r"\x20\x09-\x0D"
 
@@ -62,23 +64,79 @@ def test_cutoffs_keep_good_documents(counted):
     assert sum(not r.kept for r in a if r.good) <= Q.RISK * sum(r.good for r in a)
     assert not any(r.kept for r in a if not r.good)
     # too few labels vouch for nothing, so nothing is rejected
-    assert all(r.kept for r in judged if r.stratum != "a")
+    few = counted.where("stratum = 'few'").limit(150)
+    assert all(r.kept for r in Q.with_verdict(few, F.col("good")).collect())
+
+
+def brute_rules(rows, risk=Q.RISK, alpha=Q.ALPHA):
+    """stratum -> (cutoff of each feature, n), from rows of (stratum, levels, good)."""
+    names, out = list(Q.features()), {}
+    strata = {r[0] for r in rows if r[2]}
+    for s in strata:
+        own = [r for r in rows if r[0] == s]
+        good = [r for r in own if r[2]]
+        allowed = Q.most_rejected(len(good), risk, alpha / len(strata))
+        for t in Q.STEPS:
+            # the lowest level from the second on that a share of t or less reaches
+            cut = [next((x for x in range(1, Q.GRID + 1) if sum(r[1][f] >= x for r in own) <= t * len(own)), None) for f in range(len(names))]
+            if sum(any(c is not None and r[1][f] >= c for f, c in enumerate(cut)) for r in good) > allowed:
+                break
+            out[s] = ({names[f]: c for f, c in enumerate(cut) if c is not None}, len(good))
+    return out
+
+
+def rows_of(counted):
+    found = counted.where(~Q.base_failed()).select("stratum", "good", *(Q.level(c).alias(f) for f, c in Q.features().items()))
+    return [(r.stratum, [r[f] for f in Q.features()], bool(r.good)) for r in found.collect()]
 
 
 def test_cutoffs_equal_brute_force(counted):
-    chosen = {(r.stratum, r.feature): (r.cutoff, r.n) for r in Q.cutoffs(counted.where("good")).collect()}
-    names = list(Q.features())
-    levels = counted.where("good").select("stratum", *(Q.level(c).alias(f) for f, c in Q.features().items())).collect()
+    chosen = {}
+    for r in Q.cutoffs(counted.where(~Q.base_failed()), F.col("good")).collect():
+        chosen.setdefault(r.stratum, ({}, r.n))[0][r.feature] = r.cutoff
+    want = brute_rules(rows_of(counted))
+    assert chosen == want and set(want) == {"a", "few", None}
+
+
+def test_kept_equals_brute_force(spark):
+    """The query's verdicts, over its own table and labels."""
+    sf = f"{TESTDATA}/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", F.col("lang").alias("stratum"), F.col("text"))
+    quality = {}
+    for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality IS NOT NULL").collect():
+        quality[r.doc_id] = min(quality.get(r.doc_id, 1), r.quality)
+    counted = docs.select("doc_id", "stratum", Q.text_counts(F.col("text")).alias("c")).select("doc_id", "stratum", "c.*")
+    found = counted.select("doc_id", "stratum", Q.base_failed().alias("failed"), *(Q.level(c).alias(f) for f, c in Q.features().items())).collect()
+    rows = [(r.stratum, [r[f] for f in Q.features()], quality.get(r.doc_id) == 1) for r in found if not r.failed]
+    rules, names = brute_rules(rows), list(Q.features())
     want = {}
-    for s in {r.stratum for r in levels}:
-        own = [r for r in levels if r.stratum == s]
-        k = Q.most_rejected(len(own), Q.RISK / 5, Q.ALPHA / 15)
-        for f in names:
-            for cutoff in range(1, Q.GRID + 1):
-                if sum(r[f] >= cutoff for r in own) <= k:
-                    want[s, f] = (cutoff, len(own))
-                    break
-    assert chosen == want and want
+    for r in found:
+        cuts = rules.get(r.stratum, ({}, 0))[0]
+        want[r.doc_id] = not r.failed and not any(r[f] >= cuts[f] for f in names if f in cuts)
+    assert {r.doc_id: r.kept for r in queries.op7_quality_rules(spark, sf).collect()} == want
+
+
+def test_false_rejection_stays_within_the_risk():
+    """Simulated: of many samples of good documents, few choose a rule that rejects more."""
+    r, n, risk, alpha = random.Random(3), 400, Q.RISK, Q.ALPHA
+    allowed, bad = Q.most_rejected(n, risk, alpha), 0
+    rates = [0.001 * k for k in range(1, 60)]  # of the rules, lax to strict
+    for _ in range(600):
+        draws = sorted(r.random() for _ in range(n))
+        chosen = 0.0
+        for rate in rates:
+            if sum(x < rate for x in draws) > allowed:
+                break
+            chosen = rate
+        bad += chosen > risk
+    assert bad / 600 <= alpha + 0.02
+
+
+def test_columns_of_the_same_names_are_replaced(spark, counted):
+    rows = counted.limit(50).withColumn("kept", F.lit("own")).withColumn("of_stratum", F.lit(1)).withColumn("cutoff_upper", F.lit(2))
+    judged = Q.with_verdict(rows, F.col("good"))
+    assert judged.columns.count("kept") == 1 and judged.schema["kept"].dataType.simpleString() == "boolean"
+    assert judged.where("of_stratum = 1 AND cutoff_upper = 2").count() == 50
 
 
 def test_awkward_rows_and_empty_tables(spark):
