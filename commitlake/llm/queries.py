@@ -220,6 +220,13 @@ _OP6_LEVEL = """
     SELECT 1 / least(greatest(coalesce((sum(n * pow(good / n - mu, 2)) FILTER (n > 0) - sum(mu * (1 - mu)) FILTER (n > 0))
                / nullif(sum((n - 1) * mu * (1 - mu)) FILTER (n > 0), 0), 0.001), 0.001), 0.5) - 1 AS m FROM {name})"""
 
+_BAR, _SURE, _WIDE, _POINTS = url_filter.MIN_GOOD, url_filter.SURE, url_filter.WIDE, url_filter.POINTS
+_SUFFIX_LIST = ", ".join(f"'{x}'" for x in url_filter.SUFFIXES)
+_OP6_PART = (
+    "list_sum(list_transform(range(0, %d), lambda i: exp(a * ln(sin({first} + (i + 0.5) * (({last} - {first}) / %d)))"
+    " + b * ln(cos({first} + (i + 0.5) * (({last} - {first}) / %d))) - top))) * (({last} - {first}) / %d)"
+) % ((_POINTS,) * 4)
+
 _OP6 = rf"""
 WITH rated AS (
   SELECT doc_id, min(quality) * (1 - coalesce(max(toxic), 0)) > 0 AS good
@@ -232,10 +239,15 @@ p AS (
 q AS (
   SELECT p.*, good FROM p LEFT JOIN rated
   ON rated.doc_id = TRY_CAST(nullif(regexp_extract(path, '^/[^/]*/([0-9]{{1,18}})', 1), '') AS BIGINT)),
+b0 AS (SELECT regexp_replace(host, ':[0-9]*$', '') AS host, good FROM q),
+s9 AS (SELECT host, coalesce(max_by(s, length(s)), regexp_extract(host, '[^.]*$')) AS suffix
+       FROM (SELECT DISTINCT host FROM b0) LEFT JOIN (SELECT unnest([{_SUFFIX_LIST}]) AS s)
+         ON ends_with('.' || host, '.' || s) GROUP BY host),
 h0 AS (
-  SELECT host, count(good) AS n, count(*) FILTER (good) AS good,
-         regexp_extract(host, '([^.]+\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix
-  FROM q GROUP BY host),
+  SELECT host, count(good) AS n, count(*) FILTER (good) AS good, suffix,
+         CASE WHEN length(host) <= length(suffix) THEN host
+              ELSE regexp_extract(left(host, length(host) - length(suffix) - 1), '[^.]*$') || '.' || suffix END AS domain
+  FROM b0 JOIN s9 USING (host) GROUP BY host, suffix),
 d0 AS (SELECT domain, suffix, sum(n) AS n, sum(good) AS good FROM h0 GROUP BY ALL),
 s0 AS (SELECT suffix, '' AS top, sum(n) AS n, sum(good) AS good,
               (sum(sum(good)) OVER () + 1) / (sum(sum(n)) OVER () + 2) AS mu FROM d0 GROUP BY suffix),
@@ -244,15 +256,24 @@ d1 AS (SELECT d0.*, s.mean AS mu FROM d0 JOIN s USING (suffix)),
 d AS ({_OP6_LEVEL.format(key="domain", parent="suffix", name="d1")}),
 h1 AS (SELECT h0.*, d.mean AS mu FROM h0 JOIN d USING (domain)),
 h AS ({_OP6_LEVEL.format(key="host", parent="domain", name="h1")}),
-v AS (SELECT host, mean + 2.326 * sqrt(mean * (1 - mean) / (weight + 1)) < 0.5
-             AND (SELECT sum(n) FROM h0) > 0 AS blocked FROM h),
+u0 AS (
+  SELECT host, 2 * mean * weight - 1 AS a, 2 * (1 - mean) * weight - 1 AS b, asin(sqrt(mean)) AS peak,
+         greatest(0, asin(sqrt(mean)) - {_WIDE} / (2 * sqrt(weight + 1))) AS low,
+         least(pi() / 2, asin(sqrt(mean)) + {_WIDE} / (2 * sqrt(weight + 1))) AS high
+  FROM h WHERE mean < {_BAR}),
+u1 AS (SELECT *, least(greatest(asin(sqrt({_BAR})), low), high) AS middle, a * ln(sin(peak)) + b * ln(cos(peak)) AS top FROM u0),
+u2 AS (
+  SELECT host, {_OP6_PART.format(first="low", last="middle")} AS under, {_OP6_PART.format(first="middle", last="high")} AS over
+  FROM u1),
+v AS (SELECT host AS bare, coalesce(under / (under + over) >= {_SURE}, false) AND (SELECT sum(n) FROM h0) > 0 AS blocked
+      FROM h LEFT JOIN u2 USING (host)),
 r AS (
   SELECT page_id, host, path, blocked, CASE
     WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
     WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
     WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
     WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
-  FROM q JOIN v USING (host))
+  FROM q JOIN v ON bare = regexp_replace(host, ':[0-9]*$', ''))
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
             WHEN blocked THEN 'block' ELSE 'allow' END AS verdict

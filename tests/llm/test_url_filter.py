@@ -48,10 +48,41 @@ def test_reputation_blocks_only_hosts_that_are_surely_bad(outcomes):
     assert got["few.site1.com"].mean > 0.5 and got["new.site1.com"].n == 0
     assert got["few.site1.com"].mean < got["new.site1.com"].mean
     assert abs(got["new.site1.com"].mean - 0.9) < 0.1
-    assert got["h0.site0.com"].upper > got["h0.site0.com"].mean
+    assert got["h3.site3.com"].below > 0.99 and got["h0.site0.com"].below == 0
     assert (got["h3.site3.com"].domain, got["h3.site3.com"].suffix) == ("site3.com", "com")
 
 
+def beta_below(a, b, x, n=400_000):
+    """P(X < x) by a fine sum."""
+    from math import lgamma
+
+    import numpy as np
+
+    t = (np.arange(n) + 0.5) / n
+    density = np.exp((a - 1) * np.log(t) + (b - 1) * np.log1p(-t) + lgamma(a + b) - lgamma(a) - lgamma(b)) / n
+    return density[t < x].sum()
+
+
+def test_posterior_probability(spark):
+    rows = [(m, w) for m in (0.02, 0.2, 0.45, 0.49, 0.499, 0.8) for w in (3.0, 20.0, 500.0, 20_000.0) if m * w >= 1]
+    df = spark.createDataFrame(rows, "mean double, weight double")
+    for r in df.withColumn("p", U.below(F.col("mean"), F.col("weight"), 0.5)).collect():
+        assert r.p == pytest.approx(beta_below(r["mean"] * r.weight, (1 - r["mean"]) * r.weight, 0.5), abs=2e-3), r
+
+
+def test_ports_share_a_host_and_hosts_under_two_labels_differ(spark):
+    rows = [("bad.co.uk:8080", False)] * 40 + [("bad.co.uk", False)] * 40 + [("good.co.uk", True)] * 200 + [("www.good.co.uk", None)]
+    rows += [(f"h{i}.com", True) for i in range(20)]
+    got = {r.host: r for r in U.reputation(spark.createDataFrame(rows, "host string, good boolean")).collect()}
+    assert got["bad.co.uk"].n == 80 and got["bad.co.uk"].blocked and "bad.co.uk:8080" not in got
+    assert got["www.good.co.uk"].domain == "good.co.uk" and not got["www.good.co.uk"].blocked and got["www.good.co.uk"].mean > 0.9
+    pages = spark.createDataFrame([(i, f"http://{h}/x", g, "own") for i, (h, g) in enumerate(rows)], "page_id long, url string, good boolean, host string")
+    judged = U.judge(pages, F.col("good"), keep=("page_id", "good", "host")).collect()
+    assert judged[0].asDict().keys() == {"page_id", "good", "host", "path", "rule", "verdict"}
+    by = {r.host: r.verdict for r in judged}
+    assert by["bad.co.uk:8080"] == by["bad.co.uk"] == "block" and by["good.co.uk"] == by["www.good.co.uk"] == "allow"
+
+
 def test_suffixes(spark, outcomes):
     rows = spark.createDataFrame([("a.b.co.uk", True), ("co.uk", True), ("x", True)], "host string, good boolean")
     got = {r.host: (r.domain, r.suffix) for r in U.reputation(rows, suffixes=("co.uk",)).collect()}
