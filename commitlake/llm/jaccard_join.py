@@ -16,18 +16,14 @@ entry.
 
 Answers from a similar set's answers. All lists with the same smallest member,
 their leader, are worked on together. Each member is first compared with its
-leader alone, which gives its exact similarity to it and the first components.
-Members in their leader's component have their answers from the leader's: pairs
-among them are skipped. A member outside is compared with members that can
-still be linked with it: those of about its size whose distance from the
-leader differs from its own by no more than two linked sets' can (the Jaccard
-distance is a metric). These comparisons run in bounded blocks of sets, so the
-work of a very large group of near copies is dealt out over many tasks and
-no pair list is made. They run twice: first over parities, a bit for each
-shingle or two, which tell whether shingles that fall on it are even or odd in number: two sets
-differ in as many shingles at least as their parities differ in bits, so sets
-that differ in too many are skipped without being read. Only the sets that are
-left in a block meet as a whole.
+leader alone, which gives the first components. Members in their leader's component
+have their answers from the leader's: pairs among them are skipped. A member
+outside is compared with the members of about its size, in bounded blocks of sets, so the
+work of a very large group of near copies is dealt out over many tasks and no pair
+list is made. Every comparison runs twice: first by parities, a bit for each shingle or two,
+which tell whether the shingles that fall on it are even or odd in number: two sets differ in as many
+shingles at least as their parities differ in bits, so sets that differ in too many are skipped
+without being read. Only what is left meets as whole sets.
 
 Defined results: words are runs of ``[^\\x20\\x09-\\x0D]`` with A-Z lower-cased; a
 text of fewer words than ``n`` is one shingle; a null or empty text, or one
@@ -58,7 +54,7 @@ BLOCK = 256
 _WORDS = 200_000
 #: A list is hot from a share of 1 / _HOT of the sampled rows on, and ``_RARE`` rows.
 _HOT, _RARE, _SAMPLED = 100_000, 50, 64
-_SET = "n long, h1 long, h2 long, lists array<long>"
+_SET = "n long, h1 long, h2 long, parity binary"
 
 
 class Rule(NamedTuple):
@@ -126,7 +122,8 @@ def list_keys(s: np.ndarray, rule: Rule, starts: list[int]) -> np.ndarray:
         at = np.concatenate([[0], np.searchsorted(s, edges), [len(s)]])
         name = np.uint64(c) * np.uint64(1 << 32) + np.arange(blocks, dtype=np.uint64)
         keys.append(mix64((content[at[1:]] - content[at[:-1]]) ^ mix64(name + np.uint64(1))))
-    return np.concatenate(keys).view(np.int64)
+    # 48 bits: lists that fall together only mean more to compare
+    return (np.concatenate(keys) >> np.uint64(16)).view(np.int64)
 
 
 def _identity(s: np.ndarray) -> tuple[int, int]:
@@ -136,29 +133,59 @@ def _identity(s: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(raw[:8], "little", signed=True), int.from_bytes(raw[8:], "little", signed=True)
 
 
-def _sets(text: Column, rule: Rule) -> Column:
-    """Struct of the set's size, 128-bit identity and index lists."""
+def _sets(text: Column, rule: Rule, lists: bool) -> Column:
+    """Struct of the set's size, 128-bit identity, parity and, if asked, index lists."""
 
     def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes, starts = _Hashes(), rule.classes(1)
         for texts in batches:
-            n, own, lists = [], [], []
+            n, own, bits, keys = [], [], [], []
             for body in (t for part in runs(texts) for t in text_bytes(part)):
                 s = shingles(body, rule.n, hashes)
-                if 200 * len(s) >= rule.percent * starts[-2]:
-                    starts = rule.classes(400 * len(s) // rule.percent)
                 n.append(len(s))
                 own.append(_identity(s))
-                lists.append(list_keys(s, rule, starts))
-            flat = np.concatenate(lists) if lists else np.empty(0, np.int64)
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
+                bits.append(parity(s))
+                if lists:
+                    starts = _upto(starts, len(s), rule)
+                    keys.append(list_keys(s, rule, starts))
             h1, h2 = (pa.array([x[k] for x in own], pa.int64()) for k in (0, 1))
-            keys = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
-            yield struct_array({"n": pa.array(n, pa.int64()), "h1": h1, "h2": h2, "lists": keys})
+            fields = {"n": pa.array(n, pa.int64()), "h1": h1, "h2": h2, "parity": pa.array(bits, pa.binary())}
+            yield struct_array({**fields, "lists": _list_array(keys)} if lists else fields)
         del hashes
         release()
 
-    return F.arrow_udf(build, _SET).asNondeterministic()(text)
+    return F.arrow_udf(build, _SET + ", lists array<long>" * lists).asNondeterministic()(text)
+
+
+def _listed(text: Column, rule: Rule) -> Column:
+    """Struct of the first half of the set's identity and its index lists. The same each
+    time, so that Spark deals the lists once for all who ask."""
+
+    def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        hashes, starts = _Hashes(), rule.classes(1)
+        for texts in batches:
+            h1, keys = [], []
+            for body in (t for part in runs(texts) for t in text_bytes(part)):
+                s = shingles(body, rule.n, hashes)
+                starts = _upto(starts, len(s), rule)
+                h1.append(_identity(s)[0])
+                keys.append(list_keys(s, rule, starts))
+            yield struct_array({"h1": pa.array(h1, pa.int64()), "lists": _list_array(keys)})
+        del hashes
+        release()
+
+    return F.arrow_udf(build, "h1 long, lists array<long>")(text)
+
+
+def _upto(starts: list[int], size: int, rule: Rule) -> list[int]:
+    """The size classes, more of them where a set is that large."""
+    return rule.classes(400 * size // rule.percent) if 200 * size >= rule.percent * starts[-2] else starts
+
+
+def _list_array(keys: list[np.ndarray]) -> pa.ListArray:
+    flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int64()))
 
 
 def parity(s: np.ndarray) -> bytes:
@@ -221,45 +248,49 @@ class JaccardJoin:
 
     ``members``: row identity (doc_id, t: hash of the text), n and node of every
     document row; ``labels``: node, label of the nodes that have links.
+    ``keep_lists``: whether index lists are checkpointed with the sets (quicker), or
+    made again where they are dealt (less disk).
     """
 
-    def __init__(self, docs: DataFrame, n: int = N, percent: int = PERCENT, block: int = BLOCK):
+    def __init__(self, docs: DataFrame, n: int = N, percent: int = PERCENT, block: int = BLOCK, keep_lists: bool = True):
         self.rule, self.block = Rule(n, percent), block
         text = F.col("text").cast("string")
         rows = docs.select("doc_id", text.alias("text"))
         self.texts = rows.select("doc_id", "text", F.xxhash64("text").alias("t"))
-        made = self.texts.select("doc_id", "t", _sets(F.col("text"), self.rule).alias("s")).select("doc_id", "t", "s.*")
+        made = self.texts.select("doc_id", "t", _sets(F.col("text"), self.rule, keep_lists).alias("s")).select("doc_id", "t", "s.*")
         made = cut(made)
+        if keep_lists:
+            self.lists = made.select("doc_id", "t", "h1", "lists")
+        else:
+            self.lists = self.texts.select("doc_id", "t", _listed(F.col("text"), self.rule).alias("s")).select("doc_id", "t", "s.*")
         node = F.when(F.col("n") > 0, F.struct("h1", "h2"))
         self.members = made.select("doc_id", "t", "n", node.alias("node"))
         self.labels = self._labels(made)
 
     def _labels(self, made: DataFrame) -> DataFrame:
-        pairs = self._leaders(made)
-        asks = pairs.groupBy("h1").agg(F.collect_list("leader").alias("leaders"))
-        leaders = pairs.select(F.col("leader").alias("h1")).distinct().withColumn("leads", F.lit(True))
-        wanted = cut(asks.join(leaders, "h1", "full"))
+        pairs = self._leaders()
+        wanted = cut(pairs.select("h1").union(pairs.select("leader")).distinct())
         # one document of each set, found in the tasks first: copies of a set never meet as rows
-        one = made.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "t")).alias("one"))
-        one = one.join(wanted, "h1").select("h1", "h2", F.col("one.doc_id").alias("id"), F.col("one.t").alias("t"), "leaders", "leads")
+        one = made.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "t")).alias("one"), F.first("n").alias("n"), F.first("parity").alias("parity"))
+        one = one.join(wanted, "h1").select("h1", "h2", F.col("one.doc_id").alias("id"), F.col("one.t").alias("t"), "n", "parity")
         one = cut(one)
         repeated = not made.groupBy("doc_id", "t").count().where("count > 1").isEmpty()
-        pairs = self._measured(one, repeated)
+        pairs = self._measured(pairs, one, repeated)
         near = components(pairs.where("linked").select("a", "b"))
         more = self._outside(pairs, near, one, repeated)
         if more is None:
             return near
         return components(pairs.where("linked").select("a", "b").union(more))
 
-    def _read(self, one: DataFrame, repeated: bool) -> DataFrame:
-        """The columns of ``one``, which holds a document of each set, and the set."""
-        texts = self.texts.withColumnRenamed("t", "t0").join(
-            small(one), (F.col("t0") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("id"))
-        )
-        sets = texts.select("h1", "h2", "leaders", _shingle_udf(F.col("text"), self.rule.n).alias("set"))
-        return sets.dropDuplicates(["h1", "h2"]) if repeated else sets
+    def _read(self, nodes: DataFrame, one: DataFrame, repeated: bool) -> DataFrame:
+        """node, set: the whole sets of ``nodes`` (h1, h2), from a document of each."""
+        own = small(cut(one.join(nodes, ["h1", "h2"], "left_semi").select("h1", "h2", "id", "t")))
+        same = (F.col("t0") == F.col("t")) & F.col("doc_id").eqNullSafe(F.col("id"))
+        texts = self.texts.withColumnRenamed("t", "t0").join(own, same)
+        sets = texts.select(F.struct("h1", "h2").alias("node"), _shingle_udf(F.col("text"), self.rule.n).alias("set"))
+        return sets.dropDuplicates(["node"]) if repeated else sets
 
-    def _leaders(self, made: DataFrame) -> DataFrame:
+    def _leaders(self) -> DataFrame:
         """h1, leader: the smallest members of the lists that a set is in.
 
         Lists are dealt by their key, once for the leaders and the members.
@@ -267,9 +298,9 @@ class JaccardJoin:
         most ``_HOT`` lists) is not dealt: its leader comes from a
         pre-aggregated minimum and is broadcast to its members.
         """
-        listed = made.select("h1", F.explode("lists").alias("list"))
+        listed = self.lists.select("h1", F.explode("lists").alias("list"))
         ends = (F.min("h1").alias("leader"), F.max("h1").alias("last"))
-        some = made.where(F.pmod(F.xxhash64("doc_id", "t"), F.lit(_SAMPLED)) == 0)
+        some = self.lists.where(F.pmod(F.xxhash64("doc_id", "t"), F.lit(_SAMPLED)) == 0)
         counts = some.select(F.explode("lists").alias("list")).groupBy("list").count()
         least = max(_RARE, math.ceil((counts.agg(F.sum("count")).first()[0] or 0) / _HOT))
         hot = cut(counts.where(F.col("count") >= least).select("list"))
@@ -278,103 +309,97 @@ class JaccardJoin:
         shared = dealt.groupBy("list").agg(*ends).where("leader < last").select("list", "leader")
         pairs = dealt.join(shared, "list")
         if heated:
-            top = listed.join(F.broadcast(hot), "list").groupBy("list").agg(*ends).where("leader < last")
-            pairs = pairs.unionByName(listed.join(F.broadcast(cut(top.select("list", "leader"))), "list"))
+            # copies of a set are one row of each task
+            hottest = cut(listed.join(F.broadcast(hot), "list").distinct())
+            top = hottest.groupBy("list").agg(*ends).where("leader < last")
+            pairs = pairs.unionByName(hottest.join(F.broadcast(cut(top.select("list", "leader"))), "list"))
         return cut(pairs.where("h1 <> leader").select("h1", "leader").distinct())
 
-    def _measured(self, one: DataFrame, repeated: bool) -> DataFrame:
-        """a, b, n_a, distance, linked, parity: each member a compared with its leader b."""
-        leaders = self._read(one.where("leads"), repeated)
-        leaders = cut(leaders.select(F.struct("h1", "h2").alias("b"), F.col("h1").alias("leader"), F.col("set").alias("set_b")))
+    def _measured(self, pairs: DataFrame, one: DataFrame, repeated: bool) -> DataFrame:
+        """a, b, n_a, parity, linked: each member a compared with its leader b, by their
+        parities and, where these allow a link, as whole sets."""
         rule = self.rule
 
+        def may(x: pa.Array, y: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
+            out = []
+            for p, q, sizes in zip(x.to_pylist(), y.to_pylist(), (n.to_numpy() + m.to_numpy()).tolist(), strict=True):
+                size = min(len(p), len(q))
+                out.append(bool(rule.may_link(int(np.bitwise_count(_folded(p, size) ^ _folded(q, size)).sum()), sizes)))
+            return pa.array(out, pa.bool_())
+
         def compare(x: pa.Array, y: pa.Array) -> pa.Array:
-            n, distance, linked, parities = [], [], [], []
+            linked = []
             for p, q in zip(x.to_pylist(), y.to_pylist(), strict=True):
                 p, q = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                both, sizes = int((q[at] == p).sum()), len(p) + len(q)
-                n.append(len(p))
-                distance.append(1 - both / (sizes - both))
-                linked.append(bool(rule.linked(both, sizes)))
-                parities.append(parity(p))
-            return struct_array(
-                {
-                    "n_a": pa.array(n, pa.int64()),
-                    "distance": pa.array(distance, pa.float64()),
-                    "linked": pa.array(linked, pa.bool_()),
-                    "parity": pa.array(parities, pa.binary()),
-                }
-            )
-
-        kind = "n_a long, distance double, linked boolean, parity binary"
-        compared = F.arrow_udf(compare, kind).asNondeterministic()
-        members = self._read(one.where("leaders IS NOT NULL"), repeated)
-        members = members.select(F.struct("h1", "h2").alias("a"), F.col("set").alias("set_a"), F.explode("leaders").alias("leader"))
-        joined = members.join(leaders, "leader").select("a", "b", compared("set_a", "set_b").alias("x"))
-        return cut(joined.select("a", "b", "x.*"))
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                linked.append(bool(rule.linked(both, len(p) + len(q))))
+            return pa.array(linked, pa.bool_())
+
+        a = one.select("h1", F.struct("h1", "h2").alias("a"), F.col("n").alias("n_a"), "parity")
+        b = one.select(F.col("h1").alias("leader"), F.struct("h1", "h2").alias("b"), F.col("n").alias("n_b"), F.col("parity").alias("parity_b"))
+        both = pairs.join(a, "h1").join(b, "leader")
+        allowed = F.arrow_udf(may, "boolean").asNondeterministic()("parity", "parity_b", "n_a", "n_b")
+        both = cut(both.select("a", "b", "n_a", "parity", allowed.alias("may")))
+        near = both.where("may").select("a", "b")
+        sets = self._read(near.select("a.h1", "a.h2").union(near.select("b.h1", "b.h2")).distinct(), one, repeated)
+        sets = cut(sets)
+        near = near.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
+        near = near.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
+        near = near.select("a", "b", F.arrow_udf(compare, "boolean").asNondeterministic()("set_a", "set_b").alias("linked"))
+        near = cut(near).where("linked")
+        return cut(both.drop("may").join(near, ["a", "b"], "left").withColumn("linked", F.coalesce("linked", F.lit(False))))
 
     def _outside(self, pairs: DataFrame, near: DataFrame, one: DataFrame, repeated: bool) -> DataFrame | None:
         """Links between members of one leader that are in different components."""
         label = near.select(F.col("node").alias("a"), "label")
         rows = pairs.join(label, "a", "left").select(
-            F.col("b").alias("leader"), F.col("a").alias("node"), "n_a", "distance", "parity", F.coalesce("label", "a").alias("label")
+            F.col("b").alias("leader"), F.col("a").alias("node"), "n_a", "parity", F.coalesce("label", "a").alias("label")
         )
         top = near.select(F.col("node").alias("leader"), F.col("label").alias("top"))
         rows = rows.join(top, "leader", "left").withColumn("top", F.coalesce("top", "leader"))
         # a leader with one member more is done; so is one whose members all are in its component
         open_ = rows.groupBy("leader").agg(F.count("*").alias("m"), F.count_if(F.col("label") != F.col("top")).alias("o"))
         open_ = small(cut(open_.where("m > 1 AND o > 0").select("leader")))
-        # cells of about one size and one distance from the leader: linked sets
-        # are in the same or in neighbouring cells
+        # cells of about one size: linked sets are in the same or in neighbouring cells
         size = F.floor(F.log("n_a") / (1.001 * -math.log(self.rule.percent / 100)))
-        far = F.floor(F.col("distance") / (1.001 * (1 - self.rule.percent / 100)))
         rows = rows.join(open_, "leader").select(
-            "leader", "node", "label", (F.col("label") != F.col("top")).alias("out"), size.alias("size"), far.alias("far"),
+            "leader", "node", "label", (F.col("label") != F.col("top")).alias("out"), size.alias("size"),
             F.struct("n_a", "parity").alias("apart"),
         )
         rows = cut(rows)
         if rows.isEmpty():
             return None
-        cells = rows.groupBy("leader", "size", "far").agg(
-            F.count("*").alias("m"), F.count_if("out").alias("o")
-        )
+        cells = rows.groupBy("leader", "size").agg(F.count("*").alias("m"), F.count_if("out").alias("o"))
         parts = cells.select(
-            "leader", "size", "far", F.ceil(F.col("m") / self.block).alias("parts"), F.ceil(F.col("o") / self.block).alias("asks")
-        )
-        near_cells = F.array(
-            *(F.struct((F.col("size") + i).alias("size"), (F.col("far") + j).alias("far")) for i in (-1, 0, 1) for j in (-1, 0, 1))
+            "leader", "size", F.ceil(F.col("m") / self.block).alias("parts"), F.ceil(F.col("o") / self.block).alias("asks")
         )
         # work: a part of a cell's members against a part of the outside members
         # of the same or a neighbouring cell
-        work = parts.where("asks > 0").select(
-            "leader", F.col("size").alias("q_size"), F.col("far").alias("q_far"), "asks", F.explode(near_cells).alias("c")
-        )
-        work = work.select("leader", "q_size", "q_far", "asks", F.col("c.size").alias("size"), F.col("c.far").alias("far"))
-        work = work.join(parts.select("leader", "size", "far", "parts"), ["leader", "size", "far"])
+        near_cells = F.explode(F.array(*(F.col("size") + i for i in (-1, 0, 1))))
+        work = parts.where("asks > 0").select("leader", F.col("size").alias("q_size"), "asks", near_cells.alias("size"))
+        work = small(cut(work.join(parts.select("leader", "size", "parts"), ["leader", "size"])))
         draw = F.xxhash64("node")
-        held = rows.join(work, ["leader", "size", "far"]).select(
-            "leader", "node", "label", "apart", "q_size", "q_far", "size", "far",
+        held = rows.join(work, ["leader", "size"]).select(
+            "leader", "node", "label", "apart", "q_size", "size",
             F.pmod(draw, F.col("parts")).alias("part"),
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("asks") - 1)).alias("ask"),
             F.lit(0).alias("asking"),
         )
-        asked = rows.where("out").select("leader", "node", "label", "apart", F.col("size").alias("q_size"), F.col("far").alias("q_far"))
-        asked = asked.join(work, ["leader", "q_size", "q_far"]).select(
-            "leader", "node", "label", "apart", "q_size", "q_far", "size", "far",
+        asked = rows.where("out").select("leader", "node", "label", "apart", F.col("size").alias("q_size"))
+        asked = asked.join(work, ["leader", "q_size"]).select(
+            "leader", "node", "label", "apart", "q_size", "size",
             F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
             F.pmod(draw, F.col("asks")).alias("ask"),
             F.lit(1).alias("asking"),
         )
-        cell = F.xxhash64("leader", "q_size", "q_far", "size", "far", "part", "ask")
+        cell = F.xxhash64("leader", "q_size", "size", "part", "ask")
         both = held.unionByName(asked).select(cell.alias("cell"), "asking", "node", "label", "apart.*")
         both = both.repartition("cell").sortWithinPartitions("cell", "asking")
         left = cut(both.mapInArrow(self._may_be_linked(), f"cell long, asking int, {_ROW}"))
         nodes = cut(left.select("node.h1", "node.h2").distinct())
         if nodes.isEmpty():
             return None
-        sets = self._read(cut(one.join(nodes, ["h1", "h2"], "left_semi")), repeated)
-        left = left.join(sets.select(F.struct("h1", "h2").alias("node"), "set"), "node")
+        left = left.join(self._read(nodes, one, repeated), "node")
         left = left.select("cell", "asking", "node", "label", "set").repartition("cell").sortWithinPartitions("cell", "asking")
         return cut(left.mapInArrow(self._compare(), _EDGE).distinct())
 
@@ -504,10 +529,10 @@ class _Held:
             yield self.rows[i][0]
 
 
-def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT, keep_lists: bool = True) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest
     id (of these, with the smallest text hash). Empty sets all stay."""
-    rows = JaccardJoin(docs, n, percent).rows().where("label IS NOT NULL")
+    rows = JaccardJoin(docs, n, percent, keep_lists=keep_lists).rows().where("label IS NOT NULL")
     own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t")
     # both sides are cut, so that a join with a large component can be split
     kept = cut(rows.groupBy("label").agg(F.min(own).alias("kept")))
