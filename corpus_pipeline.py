@@ -40,7 +40,7 @@ def detect_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return jaccard_join.one_of_each(docs, n=5, percent=80)
+    return jaccard_join.one_of_each(docs, n=5, percent=80, keep_lists=False)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
