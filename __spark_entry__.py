@@ -174,6 +174,7 @@ OPERATOR_QUERIES: dict[str, tuple[bool, Callable[[DataFrame], DataFrame]]] = {
     "graph_rank": (False, lambda c: ops.graph_rank(*ops.commit_graph(c), rounds=RANK_ROUNDS, tolerance=RANK_TOLERANCE)),
     "commit_generations": (False, ops.generations),
     "merge_bases": (False, ops.merge_bases),
+    "previous_versions": (True, ops.previous_versions),
 }
 
 
@@ -459,6 +460,13 @@ def commit_oracle_sql() -> dict[str, str]:
         "load_commits_json_ranges": loaded,
         "graph_rank": _graph_rank_sql(full_or_norepo=norepo_full),
         "commit_generations": _with(_COMMITS, _PARENTS, _ANCESTRY) + " SELECT sha, max(generation) AS generation FROM g GROUP BY sha",
+        "previous_versions": _with(_COMMITS, _FILES)
+        + f""", named AS (SELECT sha, {norepo_bare} AS repo, filename, file_sha, cdate FROM cf WHERE filename IS NOT NULL),
+             versions AS (SELECT repo, filename, cdate, max(row(file_sha, sha)) AS v FROM named GROUP BY ALL)
+           SELECT n.sha, n.repo, n.filename, n.file_sha, v[2] AS previous_sha, v[1] AS previous_file_sha,
+                  w.cdate AS previous_date
+           FROM named n ASOF LEFT JOIN versions w
+             ON n.repo = w.repo AND n.filename = w.filename AND n.cdate > w.cdate""",
         "merge_bases": _with(_COMMITS, _PARENTS, _ANCESTRY)
         + """, gen AS (SELECT sha, max(generation) AS generation FROM g GROUP BY sha),
              two AS (SELECT x.child AS sha, x.parent AS parent_a, y.parent AS parent_b

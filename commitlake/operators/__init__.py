@@ -12,6 +12,7 @@ from commitlake.operators.activity import (
     weekly_commits,
 )
 from commitlake.operators.ancestry import common_ancestors, generations, merge_bases
+from commitlake.operators.asof import as_of_join, previous_versions
 from commitlake.operators.files import file_commits, file_extensions, file_history, latest_files
 from commitlake.operators.graph import commit_graph, graph_edges, graph_vertices
 from commitlake.operators.lineage import branch_points, fork_points
@@ -25,6 +26,7 @@ from commitlake.operators.people import (
 from commitlake.operators.ranking import graph_rank
 
 __all__ = [
+    "as_of_join",
     "author_ranking",
     "branch_points",
     "commit_age",
@@ -46,6 +48,7 @@ __all__ = [
     "graph_vertices",
     "latest_files",
     "merge_bases",
+    "previous_versions",
     "repo_committers",
     "revert_streaks",
     "user_stats",
