@@ -42,14 +42,15 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from commitlake.llm.common import cut, free_name, mix64, release, runs, small, struct_array, text_bytes
 
 N = 3
 PERCENT = 90
-#: Sets of one block of comparisons.
-BLOCK = 256
+#: Sets of one block of comparisons; of parities, which are small, so many times more.
+BLOCK, PARITIES = 256, 32
 #: Words whose hashes a task remembers.
 _WORDS = 200_000
 #: A list is hot from a share of 1 / _HOT of the sampled rows on, and ``_RARE`` rows.
@@ -158,8 +159,7 @@ def _sets(text: Column, rule: Rule, lists: bool) -> Column:
 
 
 def _listed(text: Column, rule: Rule) -> Column:
-    """Struct of the first half of the set's identity and its index lists. The same each
-    time, so that Spark deals the lists once for all who ask."""
+    """Struct of the first half of the set's identity and its index lists."""
 
     def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hashes, starts = _Hashes(), rule.classes(1)
@@ -293,7 +293,7 @@ class JaccardJoin:
     def _leaders(self) -> DataFrame:
         """h1, leader: the smallest members of the lists that a set is in.
 
-        Lists are dealt by their key, once for the leaders and the members.
+        Lists are dealt by their key, once.
         A list with very many rows (found by the counts of a sample of rows; at
         most ``_HOT`` lists) is not dealt: its leader comes from a
         pre-aggregated minimum and is broadcast to its members.
@@ -305,9 +305,11 @@ class JaccardJoin:
         least = max(_RARE, math.ceil((counts.agg(F.sum("count")).first()[0] or 0) / _HOT))
         hot = cut(counts.where(F.col("count") >= least).select("list"))
         heated = not hot.isEmpty()
-        dealt = (listed.join(F.broadcast(hot), "list", "left_anti") if heated else listed).repartition("list")
-        shared = dealt.groupBy("list").agg(*ends).where("leader < last").select("list", "leader")
-        pairs = dealt.join(shared, "list")
+        dealt = listed.join(F.broadcast(hot), "list", "left_anti") if heated else listed
+        # lists that are not hot are short
+        of_list = W.partitionBy("list")
+        pairs = dealt.select("list", "h1", F.min("h1").over(of_list).alias("leader"), F.max("h1").over(of_list).alias("last"))
+        pairs = pairs.where("leader < last").select("list", "h1", "leader")
         if heated:
             # copies of a set are one row of each task
             hottest = cut(listed.join(F.broadcast(hot), "list").distinct())
@@ -370,9 +372,8 @@ class JaccardJoin:
         if rows.isEmpty():
             return None
         cells = rows.groupBy("leader", "size").agg(F.count("*").alias("m"), F.count_if("out").alias("o"))
-        parts = cells.select(
-            "leader", "size", F.ceil(F.col("m") / self.block).alias("parts"), F.ceil(F.col("o") / self.block).alias("asks")
-        )
+        block = self.block * PARITIES
+        parts = cells.select("leader", "size", F.ceil(F.col("m") / block).alias("parts"), F.ceil(F.col("o") / block).alias("asks"))
         # work: a part of a cell's members against a part of the outside members
         # of the same or a neighbouring cell
         near_cells = F.explode(F.array(*(F.col("size") + i for i in (-1, 0, 1))))
@@ -399,6 +400,12 @@ class JaccardJoin:
         nodes = cut(left.select("node.h1", "node.h2").distinct())
         if nodes.isEmpty():
             return None
+        # what is left of a block, again in blocks: each part of the held sets meets all that ask
+        own = left.where("asking = 0").groupBy("cell").agg(F.ceil(F.count("*") / self.block).alias("parts"))
+        left = left.join(small(cut(own)), "cell")
+        every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+        part = F.explode(F.when(F.col("asking") == 1, every).otherwise(F.array(F.pmod(F.xxhash64("node"), F.col("parts")))))
+        left = left.select("cell", part.alias("part"), "asking", "node", "label").withColumn("cell", F.xxhash64("cell", "part"))
         left = left.join(self._read(nodes, one, repeated), "node")
         left = left.select("cell", "asking", "node", "label", "set").repartition("cell").sortWithinPartitions("cell", "asking")
         return cut(left.mapInArrow(self._compare(), _EDGE).distinct())
