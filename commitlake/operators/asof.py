@@ -6,9 +6,9 @@ along the rows of a key. What a part's first key carries in from the parts befor
 row for each part: the last right row of the part's last key, carried over the parts that
 hold nothing but that key. No pairs are made, and no task holds a whole key.
 
-Plan: one range shuffle of the needed columns of both tables, one shuffle by (part, key) for the
-window, a broadcast of at most ``partitions`` rows. The ranged rows are checkpointed, so that each
-reader sees the same parts.
+Plan: one range shuffle of the needed columns of both tables, and one by part for the window and
+the join with the row that each part has for its border. The ranged rows are checkpointed, so that
+each reader sees the same parts.
 """
 
 from __future__ import annotations
@@ -69,10 +69,10 @@ def as_of_join(
     order = ["_t", "_side", "_right", "_n"]
     ranged = rows.repartitionByRange(partitions, *names, *order).withColumn("_part", F.spark_partition_id()).checkpoint(eager=True)
 
+    # one shuffle by part serves the join and the window
+    bordered = ranged.join(_borders(ranged, names), "_part")
     inside = Window.partitionBy("_part", *names).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    carried = ranged.withColumn("_last", F.last("_right", ignorenulls=True).over(inside))
-    borders = _borders(ranged, names)
-    joined = carried.where("_left IS NOT NULL").join(F.broadcast(borders), "_part", "left")
+    joined = bordered.withColumn("_last", F.last("_right", ignorenulls=True).over(inside)).where("_left IS NOT NULL")
     same = F.lit(True)
     for n in names:
         same = same & (F.col(n) == F.col(f"_first.{n}"))
@@ -86,11 +86,9 @@ def _borders(ranged: DataFrame, names: Sequence[str]) -> DataFrame:
     """_part, _first (its first key), _carry: the last right row of that key in earlier
     parts. At most a row for each part."""
     key = F.struct(*(F.col(n) for n in names))
-    ends = ranged.groupBy("_part").agg(F.min(key).alias("_first"), F.max(key).alias("_final"))
-    # the last right row of each part's last key
-    finals = ranged.where("_right IS NOT NULL").join(F.broadcast(ends.select("_part", "_final")), "_part").where(key == F.col("_final"))
-    finals = finals.groupBy("_part").agg(F.max("_right").alias("_right"))
-    parts = ends.join(finals, "_part", "left")
+    # the last right row of each key, then of each part's last key
+    of_key = ranged.groupBy("_part", *names).agg(F.max("_right").alias("_right"))
+    parts = of_key.groupBy("_part").agg(F.min(key).alias("_first"), F.max(key).alias("_final"), F.max_by("_right", key).alias("_right"))
     # over the parts in order: of those before that end in this part's first key, the last with a right row
     before = Window.partitionBy("_of").orderBy("_part", "_what").rowsBetween(Window.unboundedPreceding, -1)
     gives = parts.select("_part", F.col("_final").alias("_of"), "_right", F.lit(1).alias("_what"))
