@@ -8,6 +8,7 @@ import pytest
 from conftest import commit, file, url
 
 from commitlake import operators as ops
+from commitlake.operators import asof
 from commitlake.plans.inspect import RED_FLAGS, plan_text
 
 
@@ -62,3 +63,41 @@ def test_plan_has_no_nested_loop(spark):
     left = spark.range(100).selectExpr("id % 3 AS k", "id AS t")
     text = plan_text(ops.as_of_join(left, left, ["k"], "t", partitions=4))
     assert not RED_FLAGS["nested_loop"].search(text) and not RED_FLAGS["cartesian"].search(text)
+
+
+@pytest.fixture
+def short_stretches(monkeypatch):
+    monkeypatch.setattr(asof, "TOGETHER", 20)
+    monkeypatch.setattr(asof, "SAMPLED", 1)
+
+
+@pytest.mark.parametrize("strict, partitions", [(False, 8), (True, 8), (True, None)])
+def test_long_keys_are_cut_into_stretches(spark, short_stretches, strict, partitions):
+    r = random.Random(str(partitions))
+    some_key = lambda: r.choice([0, 0, 0, 0, 1, 2, None])
+    # most rows of key 0 are at one time; stretches of it have no right row
+    left = [(some_key(), r.choice([None, 7, 7, 7, *range(60)]), i) for i in range(300)] + [(0, 100 + i, i) for i in range(200)]
+    right = [(some_key(), r.choice([None, 7, 7, *range(0, 60, 3)]), r.choice([None, 1, 2]), str(i)) for i in range(90)]
+    df = ops.as_of_join(
+        spark.createDataFrame(left, "k long, t long, x long").repartition(3), spark.createDataFrame(right, "k long, t long, a long, b string"),
+        ["k"], "t", strict=strict, partitions=partitions,
+    )
+    assert sorted([(x.k, x.t, x.x, None if x.found is None else tuple(x.found)) for x in df.collect()], key=str) == brute(left, right, strict)
+
+
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("together", [20, 10_000])
+def test_left_rows_as_right_rows(spark, monkeypatch, short_stretches, strict, together):
+    monkeypatch.setattr(asof, "TOGETHER", together)
+    r = random.Random(5)
+    left = [(r.choice([0, 0, 0, 1, None]), r.choice([None, 7, 7, 7, *range(60)]), r.choice([None, i, 3])) for i in range(300)]
+    df = ops.as_of_join(spark.createDataFrame(left, "k long, t long, x long").repartition(3), {"a": "x", "b": "k"}, ["k"], "t", strict=strict, partitions=6)
+    want = brute(left, [(k, t, x, k) for k, t, x in left], strict)
+    assert sorted([(x.k, x.t, x.x, None if x.found is None else tuple(x.found)) for x in df.collect()], key=str) == want
+
+
+def test_one_shuffle_of_the_rows(spark):
+    """Rows are dealt once and never written (before: twice, and a checkpoint between)."""
+    left = spark.range(100).selectExpr("id % 3 AS k", "id AS t", "id AS x")
+    text = plan_text(ops.as_of_join(left, {"x": "x"}, ["k"], "t", strict=True)).split("\n\n", 1)[0]
+    assert text.count("Exchange") == 1 and "ExistingRDD" not in text
