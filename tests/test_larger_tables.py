@@ -14,6 +14,13 @@ from commitlake.plans.inspect import plan_text
 from commitlake.sources import json_ranges
 
 
+def test_gaps_with_row_do_not_shuffle_files(spark, commits, tmp_path):
+    commits([commit(sha=f"s{i}") for i in range(5)]).write.parquet(str(tmp_path / "c"))
+    text = plan_text(registry.OPERATOR_QUERIES["commit_gaps_rows"][1](spark.read.parquet(str(tmp_path / "c"))))
+    inputs = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
+    assert inputs and not any(re.search(r"\bfiles#", columns) for columns in inputs)
+
+
 def test_first_pass_over_ranges_runs_once(spark, tmp_path):
     (tmp_path / "x.json").write_text('[{"sha": "a"}]')
     assert "FlatMapGroupsInPandas" not in plan_text(json_ranges.record_texts(spark, [str(tmp_path)]))
