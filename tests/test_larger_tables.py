@@ -21,6 +21,12 @@ def test_gaps_with_row_do_not_shuffle_files(spark, commits, tmp_path):
     assert inputs and not any(re.search(r"\bfiles#", columns) for columns in inputs)
 
 
+@pytest.mark.parametrize("name", ["load_commits_json"])
+def test_written_json_is_compressed(spark, name):
+    files = registry.queries()[name](spark, f"{TESTDATA}/sf0.001").inputFiles()
+    assert files and all(f.endswith(".gz") and os.path.exists(urlparse(f).path) for f in files)
+
+
 def test_first_pass_over_ranges_runs_once(spark, tmp_path):
     (tmp_path / "x.json").write_text('[{"sha": "a"}]')
     assert "FlatMapGroupsInPandas" not in plan_text(json_ranges.record_texts(spark, [str(tmp_path)]))
