@@ -10,7 +10,10 @@ symmetric difference of two linked sets of its size class. Linked sets differ
 in at most d shingles, so at least one block is the same in both: a block's
 content is the key of an index list, and all blocks in which two sets differ
 are skipped unread. Common shingles cause no long lists, as a list is shared
-only by sets that agree in a whole block. Size classes grow by a half; a set
+only by sets that agree in a whole block. Empty blocks agree in many sets that have
+nothing in common: there are some more blocks than d + 1, and a set with more filled
+blocks than a linked set can differ in is not listed by its empty ones, as one of the filled ones is
+the same too. Size classes grow by a half; a set
 that may be linked into the next class is listed there too. Sets alike have one
 entry.
 
@@ -75,6 +78,18 @@ class Rule(NamedTuple):
         x + y - 2 o with o >= percent / (100 + percent) * (x + y)."""
         return 2 * size * (100 - self.percent) // (100 + self.percent)
 
+    def differs_from(self, size: int, most: int) -> int:
+        """Largest symmetric difference of a set of ``size`` and a linked one of at most
+        ``most``."""
+        return (size + min(100 * size // self.percent, most)) * (100 - self.percent) // (100 + self.percent)
+
+    def blocks(self, most: int) -> int:
+        """Blocks of a class with sets of at most ``most`` shingles: one more than linked
+        sets can differ in, and as many as are likely to be empty in a set."""
+        least = self.differ(most) + 1
+        empty = least * math.exp(-most / least)
+        return least + math.ceil(empty + 3 * math.sqrt(empty))
+
     def linked(self, both, sizes):
         """Whether sets with ``sizes`` shingles together share ``both``."""
         return 100 * both >= self.percent * (sizes - both)
@@ -118,11 +133,17 @@ def list_keys(s: np.ndarray, rule: Rule, starts: list[int]) -> np.ndarray:
     content = np.concatenate([[np.uint64(0)], np.cumsum(mix64(s + np.uint64(1)), dtype=np.uint64)])
     keys = []
     for c in places:
-        blocks = rule.differ(starts[c + 1] - 1) + 1
+        most = starts[c + 1] - 1
+        blocks = rule.blocks(most)
         edges = (np.arange(blocks + 1, dtype=np.float64) * (2.0**64 / blocks))[1:-1].astype(np.uint64)
         at = np.concatenate([[0], np.searchsorted(s, edges), [len(s)]])
         name = np.uint64(c) * np.uint64(1 << 32) + np.arange(blocks, dtype=np.uint64)
-        keys.append(mix64((content[at[1:]] - content[at[:-1]]) ^ mix64(name + np.uint64(1))))
+        lists = mix64((content[at[1:]] - content[at[:-1]]) ^ mix64(name + np.uint64(1)))
+        filled = at[1:] > at[:-1]
+        # more blocks are filled than a linked set can differ in: one of them is the same there
+        if np.count_nonzero(filled) > rule.differs_from(len(s), most):
+            lists = lists[filled]
+        keys.append(lists)
     # 48 bits: lists that fall together only mean more to compare
     return (np.concatenate(keys) >> np.uint64(16)).view(np.int64)
 
@@ -443,6 +464,8 @@ class JaccardJoin:
                     sides[x["asking"][i]].append((x["node"][i], x["label"][i], x["n_a"][i], x["parity"][i]))
                 yield _batch(out)
             yield _batch(list(rows(cell, *sides)))
+            del sides
+            release()
 
         return run
 
@@ -466,6 +489,8 @@ class JaccardJoin:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([e[k] for e in out], _NODE) for k in (0, 1)], ["a", "b"]
                 )
+            del held
+            release()
 
         return run
 

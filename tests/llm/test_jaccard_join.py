@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 from helpers import awkward, empty, random_text
 from pyspark.sql import functions as F
@@ -109,6 +110,35 @@ def test_parities_never_miss_a_link():
             assert rule.may_link(differ, len(a) + len(b))
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_empty_blocks_are_no_lists_and_no_link_is_missed(percent):
+    r = np.random.default_rng(percent)
+    rule = J.Rule(5, percent)
+    starts = rule.classes(1000)
+
+    def some(n):
+        return np.unique(r.integers(0, 2**64, n, dtype=np.uint64))
+
+    def keys(s):
+        return set(J.list_keys(s, rule, starts).tolist())
+
+    # sets that have nothing in common share a list only where a set has few filled blocks
+    alone = [keys(some(300)) for _ in range(200)]
+    assert sum(bool(a & b) for i, a in enumerate(alone) for b in alone[:i]) < 200
+    for _ in range(200):
+        s = some(int(r.integers(1, 60)) if r.random() < 0.7 else int(r.integers(60, 400)))
+        # as far apart as linked sets can be: shingles go, come or are replaced
+        y, others = s, some(len(s))
+        for gone in range(len(s)):
+            for come in (len(s), gone, 0):
+                t = np.union1d(s[gone:], others[:come]) if r.random() < 0.5 else np.union1d(r.permutation(s)[gone:], others[:come])
+                if rule.linked(len(np.intersect1d(s, t)), len(s) + len(t)):
+                    y = t
+            if 100 * (len(s) - gone) < percent * len(s):
+                break
+        assert keys(s) & keys(y), (s, y)
+
+
 def test_long_chain_of_components(spark):
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1001), (1001, 1000), (2000, 2000)]
     got = {r.node: r.label for r in J.components(spark.createDataFrame(edges, "a long, b long")).collect()}
