@@ -103,6 +103,25 @@ def test_a_chain_of_100000_commits_in_few_rounds(spark, commits, monkeypatch):
     assert found.count() == n + n // 5 - 1 and found.where((F.col("generation") != want) | F.col("generation").isNull()).isEmpty()
 
 
+def test_rounds_carry_numbers_and_open_pairs_only(spark, commits, monkeypatch):
+    from commitlake.operators import ancestry
+
+    kept, cut = [], ancestry._cut
+    monkeypatch.setattr(ancestry, "_cut", lambda x: kept.append(cut(x)) or kept[-1])
+    parents = {"r": [], "s": []} | {f"c{i:02d}": [f"c{i - 1:02d}" if i else "r"] for i in range(12)}
+    parents |= {f"{k}{i:03d}": ["s"] for k in "xy" for i in range(100)}
+    df = table(commits, parents)
+    assert ops.generations(df).count() == len(parents)
+    assert [x.dtypes for x in kept if "string" in dict(x.dtypes).values()] == [[("sha", "string"), ("id", "bigint")]]
+    kept.clear()
+    # a hundred pairs meet at once; one goes on along a chain that is not skipped
+    pairs = [(f"x{i:03d}", f"y{i:03d}") for i in range(100)] + [(f"c{i:02d}",) * 2 for i in range(12)] + [("c11", "s")]
+    found = ops.common_ancestors(df, spark.createDataFrame(pairs, "a string, b string")).collect()
+    assert {(x.a, x.b): x.ancestor for x in found} == {(a, b): "s" if a[0] == "x" else a if a == b else None for a, b in pairs}
+    searched = [x.count() for x in kept if "go" in x.columns]
+    assert len(searched) > 8 and sum(searched[3:]) < 100
+
+
 def brute_rank(ids, edges, rounds, tolerance, percent=85):
     n, rank, done = len(ids), dict.fromkeys(ids, UNIT), 0
     out = {}
