@@ -41,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,9 +53,12 @@ from commitlake.llm.common import mix64, release, runs
 
 SHARD_BYTES = 32_000_000
 BUCKET = 1024
-#: Entries (some 180 bytes each) that an encoder remembers before the older ones go.
+#: Tokens of the splitter (some 40 bytes each) that an encoder remembers at most.
 KNOWN = 250_000
-_MARKS = frozenset(",.!?;:")
+#: Tokens of the splitter that are merged in one call.
+_MERGED = 64
+#: White space, as a class of Arrow's expressions (whose own \\s is ASCII's, without \\v).
+_WHITE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of output that a task holds at once.
 _HELD = 4_000_000
@@ -62,42 +66,55 @@ _HELD = 4_000_000
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def _byte_characters() -> dict[int, str]:
+def _byte_characters() -> np.ndarray:
     """Byte-level BPE's characters for bytes: printable Latin-1 characters stand
     for themselves, the other bytes for the characters from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     others = [b for b in range(256) if b not in plain]
-    return {b: chr(256 + i) for i, b in enumerate(others)}
+    characters = np.arange(256, dtype="<u4")
+    characters[others] = 256 + np.arange(len(others))
+    return characters
 
 
 _BYTE_CHARS = _byte_characters()
 
 
-def _byte_spelling(token: str) -> str:
-    return token.encode().decode("latin-1").translate(_BYTE_CHARS)
+def _byte_kinds() -> np.ndarray:
+    """What a byte is to the splitter: a letter (ASCII's, and U+00C0 to U+00FF), a digit, white
+    space, another sign, or none of these surely (an apostrophe can begin a token like 's)."""
+    kinds = np.full(256, 4, np.uint8)
+    kinds[:128] = [0 if chr(b).isalpha() else 1 if chr(b).isdigit() else 2 if b in b" \t\n\v\f\r" else 3 for b in range(128)]
+    kinds[[39, *range(0x1C, 0x20)]] = 4
+    kinds[[*range(0x80, 0xC0), 0xC3]] = 0
+    return kinds
 
 
-class _Known(dict):
-    """Raw ids of pieces of text, made when they are first asked for."""
+_KINDS = _byte_kinds()
 
-    def __init__(self, make, older: dict):
-        super().__init__({"": b""})
-        self.make, self.older = make, older.get
 
-    def __missing__(self, piece: str) -> bytes:
-        raw = self.older(piece)
-        if raw is None:
-            raw = self.make(piece)
-        self[piece] = raw
-        return raw
+def _laid(ids: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lists that ``codes`` name, in a row, and their ends; lists lie in ``ids`` up to ``ends``."""
+    sizes = np.diff(ends, prepend=0)
+    n = sizes[codes]
+    at = np.cumsum(n)
+    return ids[np.repeat((ends - sizes)[codes] - at + n, n) + np.arange(at[-1] if len(at) else 0)], at
+
+
+def _bytes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of the texts in a row, and the n + 1 edges."""
+    _, edges, data = texts.buffers()
+    edges = np.frombuffer(edges, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]] if data else np.empty(0, np.uint8)
+    return raw, edges - edges[0]
 
 
 class Encoder:
-    """Token ids of whole texts by the tokenizers library, as raw bytes.
+    """Token ids of whole texts by the tokenizers library, as arrays.
 
     A byte-level tokenizer splits a text before it merges, so what is between
-    two splits always has the same ids; these are remembered, the last
-    ``known`` to twice as many, and frequent ones for good. Texts in which
+    two splits always has the same ids: texts are cut at spaces, the different pieces
+    into the splitter's tokens, and each different token is merged once. The ids of
+    ``known`` tokens at most are remembered. Texts in which
     a space stands before other white space, or a special token's string, and
     all texts of other kinds of tokenizers, are encoded as a whole.
     """
@@ -113,46 +130,115 @@ class Encoder:
         self.splits = (
             isinstance(before, ByteLevel) and before.use_regex and not before.add_prefix_space and not self.tokenizer.normalizer
         )
-        specials = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.whole = re.compile("|".join([r" \s", "\0", *specials])).search
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = "|".join([f" [{_WHITE}]", r"\x00", *(re.sub(r"(\W)", r"\\\1", s) for s in specials)])
         self.find = regex.compile(_SPLIT).findall
-        self.merge = self.tokenizer.model.tokenize
+        model = self.tokenizer.model
+        self.merge = model.tokenize
         self.kind = id_type(self.tokenizer.get_vocab_size(), end_id)
-        self.end = array(self.kind, [end_id]).tobytes()
-        self.known, self.most = _Known(self._piece, {}), known
-
-    def forget_older(self) -> None:
-        """Between tasks a worker keeps the last pieces only."""
-        self.known.older = {}.get
-
-    def _raw(self, text: str) -> bytes:
-        return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        """Ids of a piece: of its tokens, each by the merges alone."""
-        word = piece[1:] if piece[0] == " " else piece
-        if word.isalpha():  # a run of letters is one token to the splitter
-            spelt = ("\u0120" + word if word is not piece else word) if word.isascii() else _byte_spelling(piece)
-            return array(self.kind, [t.id for t in self.merge(spelt)]).tobytes()
-        parts = (piece[:-1], piece[-1]) if word[:-1].isalpha() and word[-1] in _MARKS else self.find(piece)
-        if len(parts) > 1:
-            return b"".join(map(self.known.__getitem__, parts))
-        return array(self.kind, [t.id for t in self.merge(_byte_spelling(piece))]).tobytes()
+        self.end = end_id
+        # a character that is in no other token merges with nothing: what it parts can be merged in one call
+        nul = chr(_BYTE_CHARS[0])
+        other = (getattr(model, a, None) for a in ("dropout", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix"))
+        apart = self.splits and not any(other) and not any(nul in t for t in self.tokenizer.get_vocab() if t != nul)
+        self.nul = model.token_to_id(nul) if apart else None
+        self.most = known
+        self.known, self.ids, self.ends = pa.array([], pa.string()), np.empty(0, self.kind), np.empty(0, np.int64)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Raw ids of each text, the end id last."""
-        out = []
-        for t in texts:
-            t = t or ""
-            if not self.splits or self.whole(t):
-                out.append(self._raw(t) + self.end)
-                continue
-            get = self.known.__getitem__
-            out.append(b"".join(map(get, t.replace(" ", "\0 ").split("\0"))) + self.end)
-            if len(self.known) > self.most:
-                self.known = _Known(self._piece, self.known)
+        ids, n = self.encode_array(pa.array(texts, pa.string()))
+        return [x.tobytes() for x in np.split(ids, np.cumsum(n)[:-1])] if texts else []
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, each text's end id last, and their number by text."""
+        if not len(texts):
+            return np.empty(0, self.kind), np.empty(0, np.int64)
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        whole = pc.match_substring_regex(texts, self.whole) if self.splits else pa.array(np.ones(len(texts), bool))
+        # a text without a space is one piece, an empty one too
+        lists = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        starts = lists.offsets.to_numpy().astype(np.int64)
+        starts -= starts[0]
+        pieces = lists.flatten()
+        words = pieces.dictionary_encode()
+        # a space stands before all pieces but a text's first
+        spaced = pc.binary_join_element_wise("", words.dictionary, " ")
+        codes = words.indices.to_numpy().astype(np.int64)
+        codes[starts[:-1]] = len(spaced) + np.arange(len(texts))
+        ids, ends = self._pieces(pa.concat_arrays([spaced, pieces.take(pa.array(starts[:-1]))]))
+        more = []
+        for i in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            codes[starts[i]] = len(ends) + len(more)
+            more.append(np.array(self.tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, self.kind))
+        more.append(np.array([self.end], self.kind))
+        codes = np.insert(codes, starts[1:], len(ends) + len(more) - 1)
+        ends = np.concatenate([ends, len(ids) + np.cumsum([len(x) for x in more])])
+        ids, ends = _laid(np.concatenate([ids, *more]), ends, codes)
+        return ids, np.diff(ends[starts[1:] + np.arange(len(texts))], prepend=0)
+
+    def _pieces(self, pieces: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces, in a row, and their ends: of the splitter's tokens, each by the merges alone.
+
+        No space is in a piece but before it, and no other white space after that."""
+        raw, edges = _bytes(pieces)
+        kinds, first = _KINDS[raw], edges[:-1][edges[1:] > edges[:-1]]
+        begins = np.ones(len(raw), bool)
+        begins[1:] = kinds[1:] != kinds[:-1]
+        begins[first] = True
+        space = first[raw[first] == 32]
+        begins[space[(space + 1 < len(raw)) & ~np.isin(space + 1, first)] + 1] = False
+        # the rest by the splitter's own pattern: runs of white space, other letters and signs
+        unsure = kinds == 4
+        unsure[1:] |= (kinds[1:] == 2) & (kinds[:-1] == 2) | (raw[:-1] == 0xC3) & ((raw[1:] == 0x97) | (raw[1:] == 0xB7))
+        for i in np.unique(np.searchsorted(edges, np.flatnonzero(unsure), side="right") - 1).tolist():
+            at = edges[i]
+            begins[at : edges[i + 1]] = False
+            for token in self.find(pieces[i].as_py()):
+                begins[at] = True
+                at += len(token.encode())
+        begin = np.flatnonzero(begins)
+        at = np.append(begin, len(raw)).astype(np.int32)
+        tokens = pa.StringArray.from_buffers(len(begin), pa.py_buffer(at), pa.py_buffer(raw)).dictionary_encode()
+        ids, ends = _laid(*self._tokens(tokens.dictionary), tokens.indices.to_numpy())
+        return ids, np.append(0, ends)[np.searchsorted(begin, edges[1:])]
+
+    def _tokens(self, tokens: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different tokens of the splitter, in a row, and their ends; new ones are remembered."""
+        found = pc.index_in(tokens, value_set=self.known)
+        new = tokens.filter(found.is_null())
+        ids, ends = self._merged(new)
+        codes = pc.fill_null(found, -1).to_numpy().astype(np.int64)
+        codes[codes < 0] = len(self.known) + np.arange(len(new))
+        ends = np.concatenate([self.ends, len(self.ids) + ends])
+        ids = np.concatenate([self.ids, ids])
+        out = _laid(ids, ends, codes)
+        if len(ends) <= self.most:
+            self.known, self.ids, self.ends = pa.concat_arrays([self.known, new]), ids, ends
+        else:  # of these tokens only
+            n = min(len(tokens), self.most)
+            self.known, self.ends = pa.concat_arrays([tokens[:n]]), out[1][:n].copy()
+            self.ids = out[0][: self.ends[-1] if n else 0].copy()
         return out
 
+    def _merged(self, tokens: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the tokens by the merges alone, in a row, and their ends."""
+        raw, edges = _bytes(pc.binary_join_element_wise("", tokens, "\0"))
+        spelt, ids = _BYTE_CHARS[raw], array("I")
+        step = 1 if self.nul is None else _MERGED
+        ends = []
+        for at in range(0, len(tokens), step):
+            part = spelt[edges[at] + (self.nul is None) : edges[min(at + step, len(tokens))]]
+            ids.extend([t.id for t in self.merge(part.tobytes().decode("utf-32-le"))])
+            ends.append(len(ids))
+        ids = np.frombuffer(ids, np.uintc)
+        if self.nul is None:
+            return ids.astype(self.kind), np.array(ends, np.int64)
+        parts = ids == self.nul
+        begin = np.flatnonzero(parts) - np.arange(len(tokens))
+        ids = ids[~parts].astype(self.kind)
+        return ids, np.append(begin[1:], len(ids)) if len(tokens) else begin
+
 
 def id_type(vocabulary: int, end_id: int) -> str:
     """Type code of the ids in the files."""
@@ -298,7 +384,6 @@ def write(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_file, end_id, known)
-        width = array(encoder.kind).itemsize
         shard, name = TaskContext.get().partitionId(), None
         offset = row = copy = 0
         last: object = encoder  # equal to no key
@@ -308,16 +393,16 @@ def write(
                 fs, folder = _store(path)
                 fs.create_dir(f"{folder}/ids", recursive=True)
                 out = fs.open_output_stream(f"{folder}/ids/{name}")
-            keys, n, copies = batch.column(0).to_pylist(), [], []
+            keys, n, copies = batch.column(0).to_pylist(), [np.empty(0, np.int64)], []
             for part in runs(batch.column(1)):
-                for raw in encoder.encode(part.to_pylist()):
-                    out.write(raw)
-                    n.append(len(raw) // width)
+                ids, of_each = encoder.encode_array(part)
+                out.write(ids)
+                n.append(of_each)
             for k in keys:
                 copy = copy + 1 if k == last else 0
                 copies.append(copy)
                 last = k
-            n = np.array(n, np.int64)
+            n = np.concatenate(n)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -334,7 +419,6 @@ def write(
             offset += int(n.sum())
         if name is not None:
             out.close()
-        encoder.forget_older()
         if not keep:
             _ENCODERS.clear()
             del encoder, last

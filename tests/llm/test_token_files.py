@@ -34,6 +34,10 @@ def ids(raw):
     return np.frombuffer(bytes(raw), "<u4").tolist()
 
 
+def ids32(raw):
+    return np.frombuffer(raw, np.uint16).tolist()
+
+
 ODD = [
     "", " ", "  ", "a  b", "a \n b", "\n\nx", " lead", "trail ", "don't we'll", "a,b, c.", "x  <|endoftext|> y", "<|endoftext|>", "nul\0nul b",
     "Été 日本語 \U0001f600 ß.", "tab\there", "a b  c", "123 45,6", "...!! ?", "\r\n \r\n", "A" * 3000, "word.\nNext line",
@@ -50,6 +54,33 @@ def test_encoder_equals_a_plain_encode():
         assert got == [plain(t) for t in [*texts, None]]
 
 
+def test_encoder_merges_new_tokens_together():
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefghij") for _ in range(9)) for _ in range(640)]
+    texts, calls = [" ".join(r.sample(words, 300)) + "." for _ in range(40)], []
+    e = T.Encoder(FILE, 2)
+    merge = e.merge
+    e.merge = lambda x: calls.append(x) or merge(x)
+    assert [ids32(x) for x in e.encode(texts)] == [plain(t) for t in texts]
+    assert 0 < len(calls) <= 24 and max(map(len, calls)) < 1000  # was a call for every word
+    e.encode(texts)
+    assert len(calls) <= 24
+
+
+@pytest.mark.parametrize(("known", "nul"), [(0, True), (7, True), (100_000, False)])
+def test_encoder_splits_like_the_tokenizer(known, nul):
+    r = random.Random(8)
+    signs = ["'", "'s", "'ll", "\u2019", "×", "÷", "é", "ß", "Ã", "ÿ", "ª", "²", "٣", "日本", "\U0001f600", "e\u0301", "\x1c", "\x85", "\xa0", "\u3000"]
+    signs += ["\n", "\n\n", "\t", "\v", "\r\n", " ", "  ", "a", "Word", "12", "_", "-", ",", "...", "<|endoftext|>", "\0", "\x7f", "\ufeff"]
+    texts = ["".join(r.choice(signs) for _ in range(r.randrange(12))) for _ in range(3000)] + [a + b for a in signs for b in signs]
+    e = T.Encoder(FILE, 2, known)
+    if not nul:
+        e.nul = None  # as for a tokenizer without a character that stays alone
+    got = [x for at in range(0, len(texts), 500) for x in e.encode(texts[at : at + 500])]
+    wrong = [t for t, x in zip(texts, got, strict=True) if ids32(x) != plain(t)]
+    assert wrong == [] and len(e.known) <= known
+
+
 def test_other_tokenizers_are_encoded_whole():
     from tokenizers import Tokenizer
 
