@@ -94,6 +94,19 @@ def test_five_words_and_80_percent(spark):
     assert got == brute(texts, 80, 5)
 
 
+def test_the_pipeline_deals_lists_without_python_tasks(spark, monkeypatch):
+    # lists made anew by Python tasks, while the shuffle fills the heap, took the pipeline over an executor's memory
+    import corpus_pipeline
+
+    def fails(*_):
+        raise AssertionError("lists are made a second time")
+
+    monkeypatch.setattr(J, "_listed", fails)
+    words = [f"w{i}" for i in range(60)]
+    docs = frame(spark, {0: " ".join(words), 1: " ".join([*words[:-1], "x"]), 2: "another text of six words here", 3: None})
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [0, 2, 3]
+
+
 def test_parities_never_miss_a_link():
     r, rule = random.Random(6), J.Rule(3, 90)
     import numpy as np
