@@ -524,6 +524,7 @@ class _Held:
 
     def __init__(self, rule: Rule):
         self.rule, self.rows, self.sets, self.ready = rule, [], [], False
+        self.joined: dict[tuple, tuple] = {}
 
     def add(self, node: dict, label: tuple, s: np.ndarray) -> None:
         self.rows.append((node, label))
@@ -539,10 +540,10 @@ class _Held:
         self.sizes, self.ready = sizes, True
         numbers: dict[tuple, int] = {}
         self.label = np.array([numbers.setdefault(label, len(numbers)) for _, label in self.rows])
-        self.numbers = numbers
 
     def links(self, node: dict, label: tuple, s: np.ndarray) -> Iterator[dict]:
-        """Linked sets in other components, one of each component."""
+        """Linked sets in components that no link of this block has joined yet, one of each:
+        a block gives fewer links than it has components on both sides."""
         if not self.rows:
             return
         if not self.ready:
@@ -556,9 +557,23 @@ class _Held:
         gather = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
         both = np.bincount(self.owner[gather], minlength=len(self.sizes))
         hit = np.flatnonzero(self.rule.linked(both, self.sizes + len(s)))
-        hit = hit[self.label[hit] != self.numbers.get(label, -1)]
-        for i in hit[np.unique(self.label[hit], return_index=True)[1]]:
-            yield self.rows[i][0]
+        hit = hit[np.unique(self.label[hit], return_index=True)[1]]
+        own = self._root(label)
+        for i in hit:
+            other = self._root(self.rows[i][1])
+            if other != own:
+                self.joined[other] = own
+                yield self.rows[i][0]
+
+    def _root(self, label: tuple) -> tuple:
+        """Of the components that links of this block have joined, the one that stands for all."""
+        path = []
+        while label in self.joined:
+            path.append(label)
+            label = self.joined[label]
+        for x in path[:-1]:
+            self.joined[x] = label
+        return label
 
 
 def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT, keep_lists: bool = True) -> DataFrame:

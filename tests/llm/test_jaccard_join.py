@@ -107,6 +107,22 @@ def test_the_pipeline_deals_lists_without_python_tasks(spark, monkeypatch):
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [0, 2, 3]
 
 
+def test_a_block_gives_no_more_links_than_join_its_components():
+    # near copies in components of their own: every pair of them was a link
+    r = np.random.default_rng(4)
+    base = np.unique(r.integers(0, 2**63, 400, dtype=np.uint64))
+    sets = [np.sort(np.delete(base, i)) for i in range(60)] + [np.unique(r.integers(0, 2**63, 400, dtype=np.uint64)) for _ in range(5)]
+    held = J._Held(J.Rule(5, 80))
+    for i in range(0, 65, 2):
+        held.add({"h1": i, "h2": 0}, (i, 0), sets[i])
+    links = [(i, other["h1"]) for i in range(1, 65, 2) for other in held.links({"h1": i, "h2": 0}, (i, 0), sets[i])]
+    assert len(links) == 59
+    root = list(range(65))
+    for a, b in links:
+        root = [root[a] if x == root[b] else x for x in root]
+    assert len(set(root[:60])) == 1 and len(set(root)) == 6
+
+
 def test_parities_never_miss_a_link():
     r, rule = random.Random(6), J.Rule(3, 90)
     import numpy as np
