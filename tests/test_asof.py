@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from conftest import commit, file, url
@@ -101,3 +102,34 @@ def test_one_shuffle_of_the_rows(spark):
     left = spark.range(100).selectExpr("id % 3 AS k", "id AS t", "id AS x")
     text = plan_text(ops.as_of_join(left, {"x": "x"}, ["k"], "t", strict=True)).split("\n\n", 1)[0]
     assert text.count("Exchange") == 1 and "ExistingRDD" not in text
+
+
+def test_left_rows_are_not_doubled(spark):
+    """Each row is shuffled and sorted once (before: doubled behind the shuffle)."""
+    left = spark.range(100).selectExpr("id % 3 AS k", "id AS t", "id AS x")
+    text = plan_text(ops.as_of_join(left, {"x": "x"}, ["k"], "t", strict=True)).split("\n\n", 1)[0]
+    assert "Generate" not in text and text.count("Sort") == 1
+
+
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("together", [20, 10_000])
+def test_hashes_come_back_as_they_were(spark, monkeypatch, short_stretches, strict, together):
+    monkeypatch.setattr(asof, "TOGETHER", together)
+    r = random.Random(6)
+    texts = ["00ff", "00fe", "00f", "00FF", "", "0", "zz", "00ff00", "é", "ff ", None]
+    left = [(r.choice([0, 0, 1, None]), r.choice([None, 3, 3, *range(20)]), r.choice(texts)) for _ in range(200)]
+    df = ops.as_of_join(spark.createDataFrame(left, "k long, t long, x string").repartition(3), {"a": "x"}, ["k"], "t", strict=strict, partitions=4, hashes=["x"])
+
+    def found(k, t):
+        fits = [(u, x is not None, (x or "").encode()) for j, u, x in left if None not in (k, t, u) and j == k and (u < t if strict else u <= t)]
+        best = max(fits, default=None)
+        return best and (best[0], best[2].decode() if best[1] else None)
+
+    want = sorted(((k, t, x, found(k, t)) for k, t, x in left), key=str)
+    assert sorted([(x.k, x.t, x.x, x.found and tuple(x.found)) for x in df.collect()], key=str) == want
+
+
+def test_hashes_are_shuffled_as_bytes(spark, commits):
+    text = plan_text(ops.previous_versions(commits([commit(files=[file("a")])])))
+    sent = [x for x in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", text) if "_octets" in x]
+    assert len(sent) == 1 and sent[0].count("_octets#") == 2 and not re.search(r"_c\d+#", sent[0])

@@ -36,3 +36,10 @@ def test_odd_runs_of_escapes_keep_a_quote_in_its_string(spark, tmp_path):
     row = r'{"sha": "a\\\\", "url": "\\\"}{", "message": "\"}"}'
     (tmp_path / "x.json").write_text(f"[{row}, {row}]")
     assert [x.value for x in json_ranges.record_texts(spark, [str(tmp_path)]).collect()] == [row, row]
+
+
+def test_tables_are_shuffled_and_sorted_before_commits_and_files_are_made(spark):
+    """Hashes and arrays of files go through no shuffle and no sort."""
+    text = plan_text(registry._view(spark, f"{TESTDATA}/sf0.001", files=True))
+    moved = re.findall(r"\) (?:Exchange|Sort|ObjectHashAggregate)\nInput \[\d+\]: \[(.*)\]", text)
+    assert len(moved) >= 4 and all(re.fullmatch(r"((o|l|p)_\w+#\w+(, )?)+", columns) for columns in moved)
