@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import os
+import re
 import tempfile
 
 import pytest
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from commitlake.plans import summarize
+from commitlake.plans.inspect import plan_text
 from commitlake.schema import COMMIT, normalise_dates
 from commitlake.sources import commits_view, load_commits
 from commitlake.streaming import stream_commits
@@ -206,3 +209,24 @@ def test_parquet_stream_with_zone_aware_dates(spark):
         assert spark.sql("select * from aware").first()[0] == 20
     finally:
         query.stop()
+
+
+def test_lines_come_through_the_shuffle_as_they_were(spark, tmp_path):
+    """Small values of a line travel in one number where they fit; others as they are."""
+    lines = [(1, 7, n, q, flag) for n, q, flag in [(1, 3.9, "A"), (15, 0.0, "R"), (16, 5.0, "N"), (-1, 6.0, "X"), (3, -2.5, None), (4, 1e15, "A"), (None, 8.0, "R"), (6, None, "N")]]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(7, "a b")], "p_partkey long, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(1, 2, 1234.5), (2, 2, None)], "o_orderkey long, o_custkey long, o_totalprice double").withColumn("o_orderdate", F.lit("1995-01-01").cast("timestamp_ntz")).write.parquet(str(tmp_path / "orders.parquet"))
+    view = commits_view(spark, str(tmp_path))
+    one, two = view.orderBy("_id").collect()
+    kinds = {"A": "added", "R": "removed", "N": "modified"}
+    key = lambda x: tuple((v is not None, v) for v in x)
+    want = [(None if q is None else int(q), kinds.get(flag)) for _, _, _, q, flag in lines]
+    assert sorted([(f.additions, f.status) for f in one.files], key=key) == sorted(want, key=key)
+    names = {f.additions: f.filename for f in one.files}
+    assert (names[3], names[None], names[5], names[6], names[-2], names[10**15]) == ("a_b.scala", "a_b.", None, None, "a_b", ".a_b")
+    shas = {hashlib.sha1(f"f1-{n}-7".encode()).hexdigest() for _, _, n, _, _ in lines if n is not None} | {None}
+    assert {f.sha for f in one.files} == shas
+    assert (one.stats.additions, two.stats.additions, two.files) == (1234 % 500, None, [])
+    sent = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan_text(view))
+    assert sum("l_packed#" in x for x in sent) >= 1 and not any("o_totalprice#" in x for x in sent)
